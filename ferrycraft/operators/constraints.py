@@ -199,13 +199,14 @@ def audit_constraints(tables: Mapping[str, DataFrame], constraints: Iterable[Con
         elif c.kind == "FOREIGN KEY":
             refs = c.ref_columns or c.columns
             bad = check_foreign_key(tables[c.table], c.columns, tables[c.ref_table], refs)
-            doubled = check_key(tables[c.ref_table], refs, nulls="distinct").agg(
-                F.count(F.lit(1)).alias("parents"))
-            row = bad.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).join(doubled)
-            parts.append(row.select(
-                F.lit(c.name).alias("constraint_name"), F.lit(c.kind).alias("kind"),
-                F.lit(c.table).alias("table_name"), F.col("violations").cast("bigint").alias("violations"),
-                (F.col("parents") > 0).alias("bad_parent")))
+            doubled = check_key(tables[c.ref_table], refs, nulls="distinct")
+            zero = F.lit(0).cast("bigint")
+            both = bad.select(F.col("n").alias("orphans"), zero.alias("doubled")).unionByName(
+                doubled.select(zero.alias("orphans"), F.lit(1).cast("bigint").alias("doubled")))
+            parts.append(both.agg(
+                result(c, F.coalesce(F.sum("orphans"), F.lit(0))).alias("r"),
+                (F.coalesce(F.sum("doubled"), F.lit(0)) > 0).alias("bad_parent"),
+            ).select(F.col("r").dropFields("bad_parent").alias("r"), "bad_parent").select("r.*", "bad_parent"))
     merged = reduce(DataFrame.unionByName, parts)
     status = (
         F.when(F.col("bad_parent"), "INVALID_PARENT").when(F.col("violations") > 0, "VIOLATED").otherwise("VALID"))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, NumericType, StructType
 
+from .conform import one_pass
+
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``table_name, row_count`` of every table."""
@@ -37,13 +39,18 @@ def reconcile_counts(source: DataFrame, target: DataFrame, errors: DataFrame | N
     return both.withColumn("matches", match).withColumn("status", status)
 
 
-def load_summary(recon: DataFrame) -> DataFrame:
-    """``total_tables, passed, failed, overall``."""
+def _summary() -> list[Column]:
     passed = F.count_if(F.col("status") == "PASS")
     failed = F.count_if(F.col("status") != "PASS")
-    return recon.agg(
+    return [
         F.count(F.lit(1)).alias("total_tables"), passed.alias("passed"), failed.alias("failed"),
-        F.when(failed == 0, "PASS").otherwise("FAIL").alias("overall"))
+        F.when(failed == 0, "PASS").otherwise("FAIL").alias("overall"),
+    ]
+
+
+def load_summary(recon: DataFrame) -> DataFrame:
+    """``total_tables, passed, failed, overall``."""
+    return recon.agg(*_summary())
 
 
 def migration_report(recon: DataFrame, views: DataFrame | None = None) -> DataFrame:
@@ -51,14 +58,15 @@ def migration_report(recon: DataFrame, views: DataFrame | None = None) -> DataFr
 
     The per-table list has one entry per migrated table.
     """
-    tables = recon.agg(F.sort_array(F.collect_list(F.struct(
-        "table_name", "source_rows", "target_rows", "matches", "status", "issue"))).alias("tables"))
-    report = load_summary(recon).select(F.struct("*").alias("summary")).join(tables)
+    entry = F.struct("table_name", "source_rows", "target_rows", "matches", "status", "issue")
+    parts = recon.agg(F.struct(*_summary()).alias("summary"), F.sort_array(F.collect_list(entry)).alias("tables"))
     if views is not None:
-        report = report.join(views.agg(F.struct(*[
+        tally = views.agg(F.struct(*[
             F.count_if(F.col("status") == s).alias(s.lower()) for s in ("CREATED", "SKIPPED", "MANUAL")
-        ]).alias("views")))
-    return report.select(F.current_timestamp().alias("generated_at"), "*")
+        ]).alias("views"))
+        parts = parts.unionByName(tally, allowMissingColumns=True).agg(*[
+            F.first(c, ignorenulls=True).alias(c) for c in ("summary", "tables", "views")])
+    return parts.select(F.current_timestamp().alias("generated_at"), "*")
 
 
 def _hashable(c: Column, t: DataType) -> Column:
@@ -102,8 +110,6 @@ def observed_fingerprint(df: DataFrame, name: str = "fingerprint") -> tuple[Data
 
 def column_totals(df: DataFrame, scale: int = 4) -> DataFrame:
     """Per column: rows, nulls, exact sum of numbers at ``scale`` digits, smallest and largest value as text."""
-    from .conform import one_pass
-
     structs = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (ArrayType, MapType, StructType)):
