@@ -110,8 +110,8 @@ def resolve_orphans(child: DataFrame, columns: Sequence[str], parent: DataFrame,
 
 
 def spark_clause(clause: str) -> str:
-    """CHECK text with bracketed identifiers, as a Spark expression."""
-    return re.sub(r"\[([^\]]+)\]", r"`\1`", clause.strip())
+    """CHECK text with bracketed identifiers, as a Spark expression. Brackets in string literals stay."""
+    return re.sub(r"('(?:[^']|'')*')|\[([^\]]+)\]", lambda m: m.group(1) or f"`{m.group(2)}`", clause.strip())
 
 
 def check_expression(df: DataFrame, clause: str) -> DataFrame:

@@ -11,14 +11,19 @@ from ..operators.reconcile import load_metrics
 
 
 def incremental_load(spark: SparkSession, source: str, target: str, checkpoint: str, schema: StructType,
-                     fmt: str = "parquet", files_per_batch: int = 1000, bytes_per_batch: str | None = None,
+                     fmt: str = "parquet", pattern: str | None = None, files_per_batch: int = 1000,
+                     bytes_per_batch: str | None = None,
                      transform: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, float]:
-    """Copy files not copied yet, then stop; returns rows, seconds and rows per second of this run.
+    """Copy the folder's files (those matching ``pattern``) not copied yet, then stop.
+
+    Returns rows, seconds and rows per second of this run.
 
     Batch ``n`` overwrites the folder ``batch_id=n`` of the target. A batch that failed half-way runs again with
     the same files under the same number (the checkpoint says so), so a restart neither loses nor doubles rows.
     """
     reader = spark.readStream.format(fmt).schema(schema)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     reader = reader.option("maxBytesPerTrigger", bytes_per_batch) if bytes_per_batch else reader.option(
         "maxFilesPerTrigger", files_per_batch)
 

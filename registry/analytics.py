@@ -35,9 +35,9 @@ def search_json_tags(spark, d):
 
 
 @query("""SELECT user_id, count(*) AS review_count, round(avg(rating), 2) AS avg_rating
-FROM (SELECT user_id, CAST(value AS INTEGER) % 5 + 1 AS rating FROM events) GROUP BY user_id""")
+FROM (SELECT user_id, CAST(floor(value) AS INTEGER) % 5 + 1 AS rating FROM events) GROUP BY user_id""")
 def group_rating(spark, d):
-    events = table(spark, d, "events").select("user_id", (F.round("value").cast("int") % 5 + 1).alias("rating"))
+    events = table(spark, d, "events").select("user_id", (F.floor("value").cast("int") % 5 + 1).alias("rating"))
     return an.group_rating(events, "user_id", "rating")
 
 
@@ -62,7 +62,8 @@ sum(CAST(o_totalprice AS DECIMAL(12,2))) FILTER (o_orderstatus = 'O') AS "O",
 sum(CAST(o_totalprice AS DECIMAL(12,2))) FILTER (o_orderstatus = 'P') AS "P" FROM orders GROUP BY 1""")
 def pivot_status(spark, d):
     orders = table(spark, d, "orders").withColumn("price", F.col("o_totalprice").cast("decimal(12,2)"))
-    return an.pivot_sum(orders, ["o_orderpriority"], "o_orderstatus", ["F", "O", "P"], F.sum("price"))
+    return an.pivot_sum(orders, ["o_orderpriority"], "o_orderstatus", ["F", "O", "P"],
+                        F.sum("price").cast("decimal(38,2)"))
 
 
 @query("""SELECT o_orderkey, o_orderdate + INTERVAL 30 DAY AS added, date_diff('day', o_orderdate, TIMESTAMP '1999-01-01') AS days_between,

@@ -126,10 +126,10 @@ def domain_check(spark, d):
     return ct.check_domain(table(spark, d, "orders"), "o_orderstatus", ["F", "O"])
 
 
-@query("SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY 1")
+@query("SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 2000) GROUP BY 1")
 def domain_table_check(spark, d):
     """A domain held in a table."""
-    domain = table(spark, d, "supplier").where(F.col("s_acctbal") > 0).select("s_suppkey")
+    domain = table(spark, d, "supplier").where(F.col("s_acctbal") > 2000).select("s_suppkey")
     return ct.check_domain(table(spark, d, "lineitem"), "l_suppkey", domain)
 
 

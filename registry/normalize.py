@@ -87,8 +87,11 @@ def length_profile(spark, d):
     return pf.profile_columns(docs)
 
 
-@query("""SELECT 'event_type' AS column_name, event_type AS value, count(*) AS n FROM events GROUP BY ALL
-UNION ALL SELECT 'kind', CAST(event_id % 3 AS VARCHAR), count(*) FROM events GROUP BY ALL""")
+@query("""SELECT column_name, value, n FROM (SELECT *, count(*) OVER (PARTITION BY column_name) AS distinct_values FROM (
+SELECT 'event_type' AS column_name, event_type AS value, count(*) AS n FROM events GROUP BY ALL
+UNION ALL SELECT 'kind', CAST(event_id % 3 AS VARCHAR), count(*) FROM events GROUP BY ALL
+UNION ALL SELECT 'user_id', CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY ALL
+UNION ALL SELECT 'event_id', CAST(event_id AS VARCHAR), count(*) FROM events GROUP BY ALL)) WHERE distinct_values <= 20""")
 def domain_profile(spark, d):
     """Columns with few values; the keys drop out."""
     events = table(spark, d, "events").select("event_type", (F.col("event_id") % 3).alias("kind"), "user_id", "event_id")

@@ -49,9 +49,9 @@ def incremental_copy(spark, d):
     """Streaming copy of the events, then totals over the copied rows."""
     path = new_path(spark, "events-copy")
     schema = table(spark, d, "events").schema
-    incremental_load(spark, f"{d}/events.parquet", f"{path}/rows", f"{path}/checkpoint", schema)
+    incremental_load(spark, d, f"{path}/rows", f"{path}/checkpoint", schema, pattern="events.parquet")
     return read_incremental(spark, f"{path}/rows").groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(12,2)")).alias("total"))
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(12,2)")).cast("decimal(38,2)").alias("total"))
 
 
 @query("""SELECT event_type, count(*) AS n FROM events WHERE event_type <> 'click' OR event_id % 2 = 0

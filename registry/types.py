@@ -124,7 +124,7 @@ def conform_bson(spark, d):
 
 AUDITED = [
     ColumnSpec("l_orderkey", "smallint"), ColumnSpec("l_quantity", "tinyint"),
-    ColumnSpec("l_extendedprice", "decimal", precision=7, scale=2), ColumnSpec("l_partkey", "nvarchar", max_length=3),
+    ColumnSpec("l_extendedprice", "decimal", precision=7, scale=2), ColumnSpec("l_partkey", "nvarchar", max_length=2),
     ColumnSpec("l_returnflag", "int"), ColumnSpec("code", "uniqueidentifier"), ColumnSpec("weight", "tinyint"),
 ]
 
@@ -135,7 +135,7 @@ JOIN (SELECT 'l_orderkey' AS column_name, count(*) AS present, count(*) FILTER (
  0::BIGINT AS out_of_range, 0::BIGINT AS too_long, NULL::INTEGER AS max_chars FROM lineitem
 UNION ALL SELECT 'l_quantity', count(*), 0, 0, 0, NULL FROM lineitem
 UNION ALL SELECT 'l_extendedprice', count(*), count(*) FILTER (round(l_extendedprice, 2) >= 100000), 0, 0, NULL FROM lineitem
-UNION ALL SELECT 'l_partkey', count(*), 0, 0, count(*) FILTER (l_partkey > 999), max(length(CAST(l_partkey AS VARCHAR))) FROM lineitem
+UNION ALL SELECT 'l_partkey', count(*), 0, 0, count(*) FILTER (l_partkey > 99), CAST(max(length(CAST(l_partkey AS VARCHAR))) AS INTEGER) FROM lineitem
 UNION ALL SELECT 'l_returnflag', count(*), count(*), 0, 0, NULL FROM lineitem
 UNION ALL SELECT 'code', count(*), 0, 0, count(*) FILTER (l_orderkey % 3 <> 0), max(CASE WHEN l_orderkey % 3 = 0 THEN 36 ELSE 37 END) FROM lineitem
 UNION ALL SELECT 'weight', count(*), 0, count(*) FILTER (l_quantity * 10 > 255), 0, NULL FROM lineitem) USING (column_name)""")
@@ -149,8 +149,8 @@ def audit_conformance(spark, d):
 
 
 @query("""SELECT l_orderkey, l_linenumber, array_to_string(list_filter([
-CASE WHEN l_orderkey > 32767 THEN 'l_orderkey' END, CASE WHEN l_partkey > 999 THEN 'l_partkey' END], lambda x: x IS NOT NULL), ',')
-AS bad_columns FROM lineitem WHERE l_orderkey > 32767 OR l_partkey > 999""")
+CASE WHEN l_orderkey > 32767 THEN 'l_orderkey' END, CASE WHEN l_partkey > 99 THEN 'l_partkey' END], lambda x: x IS NOT NULL), ',')
+AS bad_columns FROM lineitem WHERE l_orderkey > 32767 OR l_partkey > 99""")
 def nonconforming_rows(spark, d):
     bad = cf.nonconforming_rows(table(spark, d, "lineitem"), [AUDITED[0], AUDITED[3]], "pg")
     return bad.select("l_orderkey", "l_linenumber", F.array_join("bad_columns", ",").alias("bad_columns"))

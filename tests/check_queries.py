@@ -54,11 +54,30 @@ def compare(spark_rows, spark_columns, sql_rows, sql_columns) -> str | None:
     return None
 
 
+# Spark type names as DuckDB spells them, where they differ.
+DUCKDB_NAMES = {"int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+                "binary": "BLOB"}
+
+
+def type_differences(result, con, sql) -> list[str]:
+    """Columns whose declared types differ between Spark and DuckDB."""
+    declared = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for name, t in result.dtypes:
+        expected = DUCKDB_NAMES.get(t, t.upper())
+        if expected != declared[name] and not (t == "timestamp" and declared[name].startswith("TIMESTAMP")):
+            out.append(f"{name}: {t} / {declared[name]}")
+    return out
+
+
 def check(spark, con, sf_dir, name, fn, sql) -> str | None:
     result = fn(spark, sf_dir)
     rows = result.collect()
     if sql is None:
         return None if rows else "no rows"
+    if os.environ.get("SHOW_TYPES"):
+        for line in type_differences(result, con, sql):
+            print(f"type {name} {line}")
     cursor = con.execute(sql)
     columns = [c[0] for c in cursor.description]
     return compare([tuple(r) for r in rows], result.columns, cursor.fetchall(), columns) or (
