@@ -48,7 +48,8 @@ def nested_object(value: Column) -> Column:
 
 
 def _int_kind(value: Column, path: str) -> Column:
-    return F.when(F.try_variant_get(value, path, "int").isNotNull(), INT).otherwise(BIGINT)
+    number = F.try_variant_get(value, path, "bigint")
+    return F.when(number.between(-2147483648, 2147483647), INT).otherwise(BIGINT)
 
 
 def value_kind(value: Column, shape: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -119,48 +120,63 @@ def map_type(profile: str, data_type: Column, max_length: Column, precision: Col
     raise ValueError(f"unknown profile {profile!r}")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip_outer_parens(expression: Column) -> Column:
     """Drop the parentheses that wrap the whole expression, however many layers.
 
     A layer is removable only if the nesting depth between the leading and the trailing run of
     parentheses never falls below it, so ``(a)+(b)`` keeps both pairs.
     """
-    text = F.trim(expression)
-    lead = F.regexp_extract(text, r"^[\s(]*", 0)
-    trail = F.regexp_extract(F.substring(text, F.length(lead) + 1, F.length(text)), r"[\s)]*$", 0)
-    inner = F.substring(text, F.length(lead) + 1, F.length(text) - F.length(lead) - F.length(trail))
-    opened = F.length(F.regexp_replace(lead, r"\s", ""))
-    closed = F.length(F.regexp_replace(trail, r"\s", ""))
+    part = lambda text, group: F.regexp_extract(text, r"(?s)^([\s(]*)(.*?)([\s)]*)$", group)
+    parens = lambda run: F.length(F.regexp_replace(run, r"\s", ""))
 
     def step(acc: Column, ch: Column) -> Column:
         depth = acc["depth"] + F.when(ch == "(", 1).when(ch == ")", -1).otherwise(0)
         return F.struct(depth.alias("depth"), F.least(acc["low"], depth).alias("low"))
 
-    low = F.aggregate(F.split(inner, ""), F.struct(opened.alias("depth"), opened.alias("low")), step)["low"]
-    layers = F.greatest(F.least(opened, closed, low), F.lit(0))
-    kept = F.concat(F.repeat(F.lit("("), opened - layers), inner, F.repeat(F.lit(")"), closed - layers))
-    return F.when((opened > 0) & (layers > 0), F.trim(kept)).otherwise(text)
+    def unwrap(p: Column) -> Column:
+        low = F.aggregate(F.split(p["inner"], ""), F.struct(
+            p["opened"].alias("depth"), p["opened"].alias("low")), step)["low"]
+        layers = F.greatest(F.least(p["opened"], p["closed"], low), F.lit(0))
+        return let(layers, lambda n: F.trim(F.concat(
+            F.repeat(F.lit("("), p["opened"] - n), p["inner"], F.repeat(F.lit(")"), p["closed"] - n))))
+
+    def wrapped(text: Column) -> Column:
+        return let(F.struct(
+            parens(part(text, 1)).alias("opened"), part(text, 2).alias("inner"),
+            parens(part(text, 3)).alias("closed")), unwrap)
+
+    return let(F.trim(expression), lambda text: F.when(
+        F.startswith(text, F.lit("(")) & F.endswith(text, F.lit(")")), wrapped(text)).otherwise(text))
 
 
 def translate_default(default: Column, target_type: Column, profile: str) -> Column:
     """DEFAULT expression in the target's spelling; NULL means leave the default out."""
     now, new_uuid = (PG_NOW, PG_UUID) if profile == "pg" else (MYSQL_NOW, MYSQL_UUID)
-    value = strip_outer_parens(default)
-    low = F.lower(value)
     truth = F.lit(profile == "pg") & target_type.startswith("boolean")
-    out = F.when(F.coalesce(default, F.lit("")) == "", F.lit(None).cast("string"))
-    for target, spellings in now.items():
-        out = out.when(low.isin(*spellings), target)
-    return (
-        out.when(low.isin(*NEW_UUID), new_uuid)
-        .when(low == "null", "NULL")
-        .when(low.isin("''", "n''"), "''")
-        .when(low == "1", F.when(truth, "true").otherwise("1"))
-        .when(low == "0", F.when(truth, "false").otherwise("0"))
-        .when(value.rlike(_NUMBER), value)
-        .when(low.rlike(r"(?s)^n'.*'$"), F.substring(value, 2, 2147483647))
-        .when(value.rlike(r"(?s)^'.*'$"), value)
-    )
+
+    def translated(value: Column) -> Column:
+        return let(F.lower(value), lambda low: by_form(value, low))
+
+    def by_form(value: Column, low: Column) -> Column:
+        out = F.when(low.isin(*NEW_UUID), new_uuid)
+        for target, spellings in now.items():
+            out = out.when(low.isin(*spellings), target)
+        return (
+            out.when(low == "null", "NULL")
+            .when(low.isin("''", "n''"), "''")
+            .when(low == "1", F.when(truth, "true").otherwise("1"))
+            .when(low == "0", F.when(truth, "false").otherwise("0"))
+            .when(value.rlike(_NUMBER), value)
+            .when(low.rlike(r"(?s)^n'.*'$"), F.substring(value, 2, 2147483647))
+            .when(value.rlike(r"(?s)^'.*'$"), value)
+        )
+
+    return F.when(default != "", let(strip_outer_parens(default), translated))
 
 
 @dataclass(frozen=True)

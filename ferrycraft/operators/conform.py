@@ -15,6 +15,30 @@ _TEXT = ("char", "nchar", "varchar", "nvarchar", "text", "ntext") + TEXT_CAST_TY
 _CHUNK = 100
 
 
+# Ranges of the integer types, and what their text looks like.
+_RANGES = {"smallint": (-2**15, 2**15 - 1), "int": (-2**31, 2**31 - 1), "bigint": (-2**63, 2**63 - 1)}
+_INTEGER_TEXT = r"^\s*[+-]?[0-9]{1,19}\s*$"
+_NUMBER_TEXT = r"(?i)^\s*[+-]?(inf(inity)?|nan|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)[fd]?\s*$"
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def fit(value: Column, source_type: str, target: str) -> Column:
+    """The value as ``target``, or NULL.
+
+    A failed ``try_cast`` to a number raises and catches an exception inside Spark, which is slow when many
+    rows fail; a range or pattern test keeps those rows away from it.
+    """
+    number = source_type in _NUMBERS or source_type.startswith("decimal")
+    if number and target in _RANGES:
+        low, high = _RANGES[target]
+        return F.when(value.between(low, high), value.try_cast(target))
+    if source_type == "string" and target in _RANGES:
+        return F.when(value.rlike(_INTEGER_TEXT), value.try_cast(target))
+    if source_type == "string" and (target in ("float", "double") or target.startswith("decimal")):
+        return F.when(value.rlike(_NUMBER_TEXT), value.try_cast(target))
+    return value.try_cast(target)
+
+
 def conformed(spec: ColumnSpec, source_type: str, profile: str, normalize: bool = True) -> Column:
     """One column at its target type; a value that does not fit becomes NULL."""
     c = F.col(f"`{spec.name}`")
@@ -26,11 +50,13 @@ def conformed(spec: ColumnSpec, source_type: str, profile: str, normalize: bool
         return c if source_type == "binary" else c.cast("string").cast("binary")
     if source_type == "binary" and target.startswith("decimal"):
         return F.conv(F.hex(c), 16, 10).try_cast(target)
-    if source_type == "boolean" or target != "boolean":
-        value = c.try_cast(target)
+    if target != "boolean":
+        return fit(c, source_type, target)
+    if source_type in ("boolean", "string"):
+        value = c.try_cast("boolean")
     else:
-        value = c.try_cast("int").try_cast("boolean") if source_type != "string" else c.try_cast("boolean")
-    return value.cast("int") if target == "boolean" and profile == "mysql" else value
+        value = c != 0
+    return value.cast("int") if profile == "mysql" else value
 
 
 def conform(df: DataFrame, specs: Iterable[ColumnSpec], profile: str = "pg", normalize: bool = True) -> DataFrame:

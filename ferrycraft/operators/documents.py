@@ -45,18 +45,26 @@ def flatten_documents(docs: DataFrame, doc: str = "doc", keep: Iterable[str] = (
     level = lambda n: f"__level_{n}"
     out = docs.select(*keep, entries(dt.as_object(F.col(doc)), None).alias(level(1)))
     for n in range(2, max_depth + 1):
-        opened = F.filter(F.col(level(n - 1)), lambda e: e["fields"].isNotNull())
-        out = out.withColumn(level(n), F.flatten(F.transform(opened, lambda e: entries(e["fields"], e["steps"]))))
-
-    def leaf(e: Column) -> Column:
-        return F.struct(e["steps"].alias("steps"), e["value"].alias("value"))
-
-    last = F.transform(F.col(level(max_depth)), lambda e: F.when(
-        F.size(e["fields"]) > 0, F.raise_error(F.lit(f"document nested deeper than {max_depth} levels"))
-    ).otherwise(e))
-    levels = [F.col(level(n)) for n in range(1, max_depth)] + [last]
-    leaves = F.transform(F.filter(F.concat(*levels), lambda e: e["fields"].isNull()), leaf)
-    return out.select(*keep, F.inline(leaves))
+        above = F.col(level(n - 1))
+        opened = F.filter(above, lambda e: e["fields"].isNotNull())
+        # NULL, and no work at this and all deeper levels, where nothing is left to open.
+        out = out.withColumn(level(n), F.when(
+            F.exists(above, lambda e: e["fields"].isNotNull()),
+            F.flatten(F.transform(opened, lambda e: entries(e["fields"], e["steps"])))))
+
+    def leaves(n: int) -> Column:
+        if n == max_depth:
+            checked = F.transform(F.col(level(n)), lambda e: F.when(
+                F.size(e["fields"]) > 0, F.raise_error(F.lit(f"document nested deeper than {max_depth} levels"))
+            ).otherwise(e))
+        else:
+            checked = F.col(level(n))
+        found = F.transform(F.filter(checked, lambda e: e["fields"].isNull()), lambda e: F.struct(
+            e["steps"].alias("steps"), e["value"].alias("value")))
+        return found if n == 1 else F.coalesce(found, none)
+
+    none = F.array().cast("array<struct<steps:array<string>,value:variant>>")
+    return out.select(*keep, F.inline(F.concat(*[leaves(n) for n in range(1, max_depth + 1)])))
 
 
 def infer_schema(docs: DataFrame, doc: str = "doc", profile: str = "pg", sample: int | float | None = None,

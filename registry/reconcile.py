@@ -3,8 +3,12 @@
 from pyspark.sql import functions as F
 
 from ferrycraft.operators import reconcile as rc
+from ferrycraft.operators.documents import parse_documents
+from ferrycraft.operators.normalize import document_array, explode_child
+from ferrycraft.session import spread
 
 from . import query, table
+from .inputs import order_documents
 
 _RECON = """SELECT t AS table_name, s AS source_rows, g AS target_rows, CAST(NULL AS VARCHAR) AS issue, s = g AS matches,
 CASE WHEN s = g THEN 'PASS' ELSE 'FAIL' END AS status FROM (
@@ -82,12 +86,7 @@ def diff_by_key(spark, d):
 WHERE o_orderkey % 50 = 3 UNION ALL SELECT -1, 0, count(*) FROM orders WHERE o_orderkey % 50 = 4""")
 def reconcile_arrays(spark, d):
     """Items exploded to a child table that lost some rows and has rows of an unknown parent."""
-    from ferrycraft.operators.documents import parse_documents
-    from ferrycraft.operators.normalize import document_array, explode_child
-
-    from .inputs import order_documents
-
-    docs = parse_documents(order_documents(spark, d)).withColumn("items", document_array(F.col("doc"), ["items"]))
+    docs = parse_documents(spread(order_documents(spark, d))).withColumn("items", document_array(F.col("doc"), ["items"]))
     children = explode_child(docs, "o_orderkey", F.col("items"), fields={"qty": (["qty"], "int")})
     k = F.col("o_orderkey") % 50
     lost = children.where(~((k == 3) & (F.col("pos") == 0)))
