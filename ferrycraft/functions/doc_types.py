@@ -35,16 +35,15 @@ STORED_TYPES = {
 }
 
 
-def as_object(value: Column) -> Column:
-    """The value's fields when it is an object, else NULL."""
-    return F.try_variant_get(value, "$", "map<string,variant>")
+def as_object(value: str) -> str:
+    """SQL: the value's fields when it is an object, else NULL."""
+    return f"try_variant_get({value}, '$', 'map<string,variant>')"
 
 
-def nested_object(value: Column) -> Column:
-    """The value's fields when it is a nested document: an object without a ``$`` key. Else NULL."""
-    fields = as_object(value)
-    wrapper = F.exists(F.map_keys(fields), lambda k: F.startswith(k, F.lit("$")))
-    return F.when(~wrapper, fields)
+def nested_object(value: str) -> str:
+    """SQL: the value's fields when it is a nested document (an object without a ``$`` key), else NULL."""
+    plain = "m -> not exists(map_keys(m), k -> startswith(k, '$'))"
+    return f"get(filter(array({as_object(value)}), {plain}), 0)"
 
 
 def _int_kind(value: Column, path: str) -> Column:

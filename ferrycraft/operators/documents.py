@@ -32,39 +32,27 @@ def flatten_documents(docs: DataFrame, doc: str = "doc", keep: Iterable[str] = (
     """
     keep = list(keep)
 
-    def entries(fields: Column, prefix: Column | None) -> Column:
-        def entry(e: Column) -> Column:
-            own = F.array(e["key"])
-            return F.struct(
-                (own if prefix is None else F.concat(prefix, own)).alias("steps"),
-                e["value"].alias("value"),
-                dt.nested_object(e["value"]).alias("fields"),
-            )
-        return F.transform(F.map_entries(fields), entry)
-
-    level = lambda n: f"__level_{n}"
-    out = docs.select(*keep, entries(dt.as_object(F.col(doc)), None).alias(level(1)))
-    for n in range(2, max_depth + 1):
-        above = F.col(level(n - 1))
-        opened = F.filter(above, lambda e: e["fields"].isNotNull())
-        # NULL, and no work at this and all deeper levels, where nothing is left to open.
-        out = out.withColumn(level(n), F.when(
-            F.exists(above, lambda e: e["fields"].isNotNull()),
-            F.flatten(F.transform(opened, lambda e: entries(e["fields"], e["steps"])))))
+    def entries(fields: str, prefix: str) -> str:
+        return (f"transform(map_entries({fields}), e -> struct({prefix}array(e.key)) as steps, e.value as value, "
+                f"{dt.nested_object('e.value')} as fields))")
 
-    def leaves(n: int) -> Column:
+    def leaves(n: int) -> str:
+        checked = f"level_{n}"
         if n == max_depth:
-            checked = F.transform(F.col(level(n)), lambda e: F.when(
-                F.size(e["fields"]) > 0, F.raise_error(F.lit(f"document nested deeper than {max_depth} levels"))
-            ).otherwise(e))
-        else:
-            checked = F.col(level(n))
-        found = F.transform(F.filter(checked, lambda e: e["fields"].isNull()), lambda e: F.struct(
-            e["steps"].alias("steps"), e["value"].alias("value")))
-        return found if n == 1 else F.coalesce(found, none)
-
-    none = F.array().cast("array<struct<steps:array<string>,value:variant>>")
-    return out.select(*keep, F.inline(F.concat(*[leaves(n) for n in range(1, max_depth + 1)])))
+            checked = (f"transform({checked}, e -> if(size(e.fields) > 0, "
+                       f"raise_error('document nested deeper than {max_depth} levels'), e))")
+        return (f"coalesce(transform(filter({checked}, e -> e.fields is null), e -> struct(e.steps, e.value)), "
+                "cast(array() as array<struct<steps: array<string>, value: variant>>))")
+
+    opened = docs.select(*keep, F.expr(entries(dt.as_object(f"`{doc}`"), "concat(")).alias("level_1"))
+    for n in range(2, max_depth + 1):
+        above = f"level_{n - 1}"
+        nested = f"transform(filter({above}, p -> p.fields is not null), p -> {entries('p.fields', 'concat(p.steps, ')})"
+        # NULL, and no work at this and all deeper levels, where nothing is left to open.
+        opened = opened.select("*", F.expr(
+            f"case when exists({above}, p -> p.fields is not null) then flatten({nested}) end").alias(f"level_{n}"))
+    levels = ", ".join(leaves(n) for n in range(1, max_depth + 1))
+    return opened.select(*keep, F.expr(f"inline(concat({levels}))"))
 
 
 def infer_schema(docs: DataFrame, doc: str = "doc", profile: str = "pg", sample: int | float | None = None,

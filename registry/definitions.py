@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ferrycraft.operators import definitions as df
 from ferrycraft.operators.catalog import definitions as scoped
-from ferrycraft.session import spread
 
 from . import inputs, query, table
 from .inputs import DEFINITIONS_SQL, sql_literal
@@ -17,7 +16,7 @@ WHERE definition <> '' AND regexp_matches(definition, pattern, 'i')"""
 
 
 def _findings(spark, d, profile):
-    return df.scan_definitions(spread(inputs.definitions(spark, d)), profile)
+    return df.scan_definitions(inputs.definitions(spark, d), profile)
 
 
 @query(_findings_sql("pg"))

@@ -11,7 +11,7 @@ from .inputs import DEFINITIONS_SQL
 
 
 def _orders(spark, d):
-    return dc.parse_documents(spread(inputs.order_documents(spark, d)))
+    return dc.parse_documents(inputs.order_documents(spark, d))
 
 
 @query("""SELECT o_orderkey, unnest([{'path': '_id', 'v': '{"$oid":"' || lpad(upper(to_hex(o_orderkey)), 24, '0') || '"}'},

@@ -6,6 +6,7 @@
 from pyspark.sql import functions as F
 
 from ferrycraft.functions.sql_types import BSON_TYPES
+from ferrycraft.session import spread
 
 from . import table
 
@@ -73,7 +74,8 @@ def dict_columns(spark, d):
     default = F.lit(None).cast("string")
     for i, f in enumerate(DEFAULTS):
         default = F.when(form == i, _spark_default(f)).otherwise(default)
-    rows = table(spark, d, "part").withColumn("o", F.explode(F.sequence(F.lit(1), (F.col("p_partkey") % 7 + 1).cast("int"))))
+    parts = spread(table(spark, d, "part").select("p_partkey", "p_brand", "p_size", "p_type"))
+    rows = parts.withColumn("o", F.explode(F.sequence(F.lit(1), (F.col("p_partkey") % 7 + 1).cast("int"))))
     return rows.select(
         F.upper("p_brand").alias("table_schema"), F.concat(F.lit("T"), "p_partkey").alias("table_name"),
         F.concat(F.lit("Col"), "o").alias("column_name"), F.col("o").alias("ordinal_position"),
@@ -164,7 +166,7 @@ def definitions(spark, d):
     doc_id = F.col("doc_id")
     pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), (doc_id % len(values) + 1).cast("int"))
     text = F.concat(F.col("text"), F.lit("\n"), pick(SNIPPETS))
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents").select("doc_id", "source", "text")).select(
         F.concat(F.col("source"), F.lit(".d"), doc_id).alias("object"),
         pick(["VIEW", "FUNCTION", "PROCEDURE"]).alias("object_type"), F.col("source").alias("schema"),
         F.concat(F.lit("d"), doc_id).alias("name"), F.when(doc_id % 97 == 5, "").otherwise(text).alias("definition"))
@@ -177,7 +179,7 @@ def mixed_documents(spark, d):
         e % 5 == 2, F.concat(F.lit(',"v":"t'), e, F.lit('"'))).when(e % 5 == 3, ',"v":null').otherwise("")
     n = F.when(e % 2 == 0, F.concat(F.lit(',"n":'), e)).otherwise(F.concat(F.lit(',"n":'), e, F.lit(".25")))
     w = F.when(e % 3 == 0, F.concat(F.lit(',"w":'), e + 5000000000)).otherwise(F.concat(F.lit(',"w":'), e))
-    return table(spark, d, "events").select(
+    return spread(table(spark, d, "events").select("event_id")).select(
         "event_id", F.concat(F.lit('{"_id":'), e, v, n, w, F.lit("}")).alias("value"))
 
 
@@ -187,7 +189,7 @@ def order_documents(spark, d):
     item = lambda i: F.struct(
         ((k * 7 + i) % 200).alias("product"), (i + 1).alias("qty"), (k % 100 + i).cast("double").alias("price"))
     items = F.transform(F.slice(F.array(*[F.lit(i) for i in range(4)]), F.lit(1), (k % 5).cast("int")), item)
-    return table(spark, d, "orders").select("o_orderkey", F.to_json(F.struct(
+    return spread(table(spark, d, "orders")).select("o_orderkey", F.to_json(F.struct(
         F.struct(F.lpad(F.hex(k), 24, "0").alias("$oid")).alias("_id"),
         F.struct(F.col("o_custkey").alias("key"), F.struct(F.col("o_orderpriority").alias("level")).alias("priority")).alias(
             "customer"),

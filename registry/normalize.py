@@ -14,7 +14,7 @@ ITEM_FIELDS = {"product": (["product"], "bigint"), "qty": (["qty"], "int"), "pri
 
 
 def _documents(spark, d):
-    return parse_documents(spread(inputs.order_documents(spark, d)))
+    return parse_documents(inputs.order_documents(spark, d))
 
 
 @query(f"SELECT o_orderkey, pos, product, qty, price FROM {ORDER_ITEMS_SQL}")
