@@ -73,8 +73,18 @@ def check_foreign_key(child: DataFrame, columns: Sequence[str], parent: DataFram
     """Child keys without a parent, with their row count ``n``; a key with any null part is not checked."""
     parent_columns = list(parent_columns or columns)
     keys = child.select(*columns).where(~_any_null(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    parents = parent.select(*[F.col(f"`{p}`").alias(c) for p, c in zip(parent_columns, columns, strict=True)])
-    return keys.join(parents, list(columns), "left_anti")
+    return unmatched(keys, parent, dict(zip(columns, parent_columns, strict=True)))
+
+
+def unmatched(keys: DataFrame, parent: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Rows of an already grouped ``keys`` without a row in ``parent`` (``columns``: key to parent column).
+
+    An outer join with a marker, because the optimizer moves an anti join below the grouping, where it would
+    meet every row of a hot key. The join reuses the grouping's partitioning.
+    """
+    known = parent.select(*[F.col(f"`{p}`").alias(k) for k, p in columns.items()]).distinct()
+    marked = keys.join(known.withColumn("__known", F.lit(True)), list(columns), "left")
+    return marked.where(F.col("__known").isNull()).select(*keys.columns)
 
 
 def orphan_rows(child: DataFrame, columns: Sequence[str], parent: DataFrame,
@@ -123,7 +133,7 @@ def check_domain(df: DataFrame, column: str, allowed: Iterable | DataFrame) -> D
     """Values outside the domain and their row counts. A large domain is given as a one-column DataFrame."""
     values = df.where(F.col(f"`{column}`").isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     if isinstance(allowed, DataFrame):
-        return values.join(allowed.toDF(column), column, "left_anti")
+        return unmatched(values, allowed, {column: allowed.columns[0]})
     return values.where(~F.col(f"`{column}`").isin(*allowed))
 
 
@@ -138,7 +148,8 @@ def apply_delete(child: DataFrame, columns: Sequence[str], deleted: DataFrame, a
     if action == "CASCADE":
         return child.join(gone, list(columns), "left_anti")
     if action in ("RESTRICT", "NO ACTION"):
-        return gone.join(child.select(*columns).distinct(), list(columns), "left_semi")
+        used = child.select(*columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0)
+        return gone.join(used, list(columns), "left_semi")
     if action in ("SET NULL", "SET DEFAULT"):
         fill = default if action == "SET DEFAULT" else {}
         marked = child.join(gone.withColumn("__gone", F.lit(True)), list(columns), "left")

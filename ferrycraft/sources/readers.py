@@ -15,7 +15,7 @@ from ..operators.documents import parse_documents
 CSV_NULL = "\\N"
 FETCH_ROWS = 5000
 CSV_OPTIONS = {
-    "header": "true", "nullValue": CSV_NULL, "emptyValue": "", "quote": '"', "escape": '"', "encoding": "UTF-8",
+    "header": "true", "nullValue": CSV_NULL, "quote": '"', "escape": '"', "encoding": "UTF-8",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 
@@ -81,7 +81,7 @@ def load_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a staged CSV back as ``schema``; a value that does not parse fails the job."""
     raw = StructType([StructField(f.name, StringType() if isinstance(f.dataType, BinaryType) else f.dataType)
                       for f in schema.fields])
-    df = spark.read.schema(raw).options(**CSV_OPTIONS, multiLine="true", mode="FAILFAST").csv(path)
+    df = spark.read.schema(raw).options(**CSV_OPTIONS, emptyValue="", multiLine="true", mode="FAILFAST").csv(path)
     return df.select(*[
         (parse_binary_literal(F.col(f.name)) if isinstance(f.dataType, BinaryType) else F.col(f.name)).alias(f.name)
         for f in schema.fields

@@ -60,7 +60,7 @@ def csv_columns(df: DataFrame, normalize: bool = True) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "errorifexists", normalize: bool = True) -> None:
-    csv_columns(df, normalize).write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    csv_columns(df, normalize).write.mode(mode).options(**CSV_OPTIONS, emptyValue='""').csv(path)
 
 
 def csv_null_collisions(df: DataFrame) -> DataFrame:
