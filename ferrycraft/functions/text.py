@@ -32,7 +32,7 @@ def normalize_text(text: Column) -> Column:
 
 
 def strip_nul(text: Column) -> Column:
-    return F.translate(text, "\x00", "")
+    return F.replace(text, F.lit("\x00"), F.lit(""))
 
 
 def binary_literal(data: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -72,19 +72,25 @@ def check_foreign_key(child: DataFrame, columns: Sequence[str], parent: DataFram
                       parent_columns: Sequence[str] | None = None) -> DataFrame:
     """Child keys without a parent, with their row count ``n``; a key with any null part is not checked."""
     parent_columns = list(parent_columns or columns)
-    keys = child.select(*columns).where(~_any_null(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    return unmatched(keys, parent, dict(zip(columns, parent_columns, strict=True)))
+    keys = _key_counts(child, {c: c for c in columns}, "n")
+    parents = _key_counts(parent, dict(zip(columns, parent_columns, strict=True)), "__parents")
+    return unmatched(keys, parents, columns, "__parents")
 
 
-def unmatched(keys: DataFrame, parent: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Rows of an already grouped ``keys`` without a row in ``parent`` (``columns``: key to parent column).
+def _key_counts(df: DataFrame, columns: Mapping[str, str], alias: str) -> DataFrame:
+    """Rows per complete key; ``columns`` maps output names to the frame's columns."""
+    keys = df.select(*[F.col(f"`{c}`").alias(k) for k, c in columns.items()])
+    return keys.where(~_any_null(list(columns))).groupBy(*columns).agg(F.count(F.lit(1)).alias(alias))
+
+
+def unmatched(keys: DataFrame, parents: DataFrame, columns: Iterable[str], marker: str) -> DataFrame:
+    """Rows of an already grouped ``keys`` without a row in the equally grouped ``parents``.
 
     An outer join with a marker, because the optimizer moves an anti join below the grouping, where it would
-    meet every row of a hot key. The join reuses the grouping's partitioning.
+    meet every row of a hot key. The join reuses both groupings' partitioning.
     """
-    known = parent.select(*[F.col(f"`{p}`").alias(k) for k, p in columns.items()]).distinct()
-    marked = keys.join(known.withColumn("__known", F.lit(True)), list(columns), "left")
-    return marked.where(F.col("__known").isNull()).select(*keys.columns)
+    marked = keys.join(parents, list(columns), "left")
+    return marked.where(F.col(marker).isNull()).select(*keys.columns)
 
 
 def orphan_rows(child: DataFrame, columns: Sequence[str], parent: DataFrame,
@@ -133,7 +139,7 @@ def check_domain(df: DataFrame, column: str, allowed: Iterable | DataFrame) -> D
     """Values outside the domain and their row counts. A large domain is given as a one-column DataFrame."""
     values = df.where(F.col(f"`{column}`").isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     if isinstance(allowed, DataFrame):
-        return unmatched(values, allowed, {column: allowed.columns[0]})
+        return unmatched(values, _key_counts(allowed, {column: allowed.columns[0]}, "__known"), [column], "__known")
     return values.where(~F.col(f"`{column}`").isin(*allowed))
 
 
@@ -209,8 +215,11 @@ def audit_constraints(tables: Mapping[str, DataFrame], constraints: Iterable[Con
             parts.append(bad.agg(result(c, F.coalesce(F.sum(extra), F.lit(0))).alias("r")).select("r.*"))
         elif c.kind == "FOREIGN KEY":
             refs = c.ref_columns or c.columns
-            bad = check_foreign_key(tables[c.table], c.columns, tables[c.ref_table], refs)
-            doubled = check_key(tables[c.ref_table], refs, nulls="distinct")
+            keys = _key_counts(tables[c.table], {k: k for k in c.columns}, "n")
+            # Both uses of the grouped parent share one shuffle.
+            parents = _key_counts(tables[c.ref_table], dict(zip(c.columns, refs, strict=True)), "__parents")
+            bad = unmatched(keys, parents, c.columns, "__parents")
+            doubled = parents.where(F.col("__parents") > 1)
             zero = F.lit(0).cast("bigint")
             both = bad.select(F.col("n").alias("orphans"), zero.alias("doubled")).unionByName(
                 doubled.select(zero.alias("orphans"), F.lit(1).cast("bigint").alias("doubled")))
