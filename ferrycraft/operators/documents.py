@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import doc_types as dt
 from ..functions.text import target_column
+from .conform import one_pass
 
 MAX_DEPTH = 16
 
@@ -126,7 +127,7 @@ def audit_projection(docs: DataFrame, schema: DataFrame | list[Row], profile: st
             F.lit(r["field"]).alias("field"), F.lit(r["target_type"]).alias("target_type"),
             F.count_if(held).alias("present"), F.count_if(held & lost).alias("lost"),
         ))
-    return docs.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+    return one_pass(docs, counts)
 
 
 def _extended(value: Column, type_name: str) -> Column:

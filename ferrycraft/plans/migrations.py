@@ -17,8 +17,7 @@ from ..functions.sql_types import ColumnSpec
 from ..operators.conform import audit_conformance, conform
 from ..operators.constraints import Constraint, audit_constraints
 from ..operators.definitions import compatibility_gate, scan_definitions
-from ..operators.documents import (infer_schema, malformed_documents, parse_documents, project_documents,
-                                   rows_to_documents, schema_rows)
+from ..operators.documents import infer_schema, parse_documents, project_documents, rows_to_documents, schema_rows
 from ..operators.reconcile import load_metrics, migration_report, reconcile_counts
 from ..session import new_path
 from ..sources.writers import write_table
@@ -84,12 +83,12 @@ def migrate_documents(spark: SparkSession, collections: Mapping[str, DataFrame],
     """
     def job(name: str):
         def run():
-            lines = collections[name].select("value")
-            bad = malformed_documents(lines).count()
-            if bad:
-                raise ValueError(f"{bad} malformed documents")
-            staged = new_path(spark, "documents")
-            parse_documents(lines).select("doc").write.parquet(staged)
+            seen, staged = Observation(), new_path(spark, "documents")
+            parsed = parse_documents(collections[name].select("value"))
+            malformed = F.count_if(F.col("value").isNotNull() & F.col("doc").isNull())
+            parsed.observe(seen, malformed.alias("malformed")).select("doc").write.parquet(staged)
+            if seen.get["malformed"]:
+                raise ValueError(f"{seen.get['malformed']} malformed documents")
             docs = spark.read.schema("doc variant").parquet(staged)
             schema = schema_rows(infer_schema(docs, profile=profile, sample=sample))
             return project_documents(docs, schema, profile), f"{target}/{name.lower()}", "parquet"

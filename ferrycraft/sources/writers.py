@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from ..functions.text import binary_literal, normalize_text
+from ..operators.conform import one_pass
 from ..operators.documents import rows_to_documents
 from .readers import CSV_NULL, CSV_OPTIONS
 
@@ -66,10 +67,10 @@ def export_csv(df: DataFrame, path: str, mode: str = "errorifexists", normalize:
 def csv_null_collisions(df: DataFrame) -> DataFrame:
     """Per text column, values equal to the NULL marker: staged CSV would turn them into NULL."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    return df.agg(F.array(*[
+    return one_pass(df, [
         F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(f"`{c}`") == CSV_NULL).alias("collisions"))
         for c in text
-    ]).alias("c")).select(F.inline("c"))
+    ])
 
 
 def write_documents(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
