@@ -1,8 +1,7 @@
 """The source's dictionary as catalogue tables.
 
-Inputs are dictionary tables as DataFrames, of one database or of many; every function is one set-based
-query over all tables, not a query per table. Columns are the usual INFORMATION_SCHEMA ones in lower case;
-pass ``by=("server", …)`` style extra key columns in ``within`` when several databases share the input.
+Inputs are one database's dictionary tables as DataFrames; every function is one set-based query over all
+tables, not a query per table. Columns are the usual INFORMATION_SCHEMA ones in lower case.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ferrycraft.functions.sql_types import ColumnSpec
 from ferrycraft.operators.constraints import Constraint
-from ferrycraft.operators.reconcile import diff_tables, fingerprint
+from ferrycraft.operators.reconcile import diff_tables
 from ferrycraft.plans import migrations as mg
 from ferrycraft.session import shared_dir, spread, stage
 from ferrycraft.sources import readers, writers
