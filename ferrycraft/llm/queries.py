@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrycraft.llm import pivot_simhash
+from ferrycraft.llm import pivot_simhash, shard_packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +32,9 @@ def op10_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word SimHash, linked at two differing bits or fewer."""
     found = pivot_simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query()
+def op9_shard_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty shards of near equal bytes; equal texts stay together."""
+    return shard_packing.pack_shards(table(spark, sf_dir, "documents"), shards=40)
