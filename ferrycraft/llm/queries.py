@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrycraft.llm import pivot_simhash, shard_packing
+from ferrycraft.llm import piece_codec, pivot_simhash, shard_packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every text and the text they decode to, as digests."""
+    coded = piece_codec.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                               decoded=True)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query()
 def op10_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word SimHash, linked at two differing bits or fewer."""
