@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrycraft.llm import piece_codec, pivot_simhash, shard_packing
+from ferrycraft.llm import piece_codec, pivot_simhash, shard_packing, token_blocks
+from ferrycraft.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +45,15 @@ def op10_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query()
+def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level ids in files of patched frame-of-reference blocks, read back."""
+    path = new_path(spark, "tokens")
+    token_blocks.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return token_blocks.read_tokens(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query()
 def op9_shard_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forty shards of near equal bytes; equal texts stay together."""
