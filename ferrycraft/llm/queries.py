@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrycraft.llm import piece_codec, pivot_simhash, shard_packing, token_blocks
+from ferrycraft.llm import fm_decontam, piece_codec, pivot_simhash, shard_packing, token_blocks
 from ferrycraft.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,15 @@ def op10_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query()
+def op6_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word benchmark passages in every document."""
+    found = fm_decontam.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query()
 def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level ids in files of patched frame-of-reference blocks, read back."""
