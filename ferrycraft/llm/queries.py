@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrycraft.llm import fm_decontam, piece_codec, pivot_simhash, shard_packing, token_blocks
+from ferrycraft.llm import fm_decontam, piece_codec, pivot_simhash, secret_scan, shard_packing, token_blocks
 from ferrycraft.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text and in its decoded layers."""
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+              for kind in secret_scan.KINDS]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.listed(F.col("spans")).alias("spans"), "skipped")
+
+
 @query()
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text and the text they decode to, as digests."""
