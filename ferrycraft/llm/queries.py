@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text and in its decoded layers."""
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
               for kind in secret_scan.KINDS]
     return found.select("doc_id", *counts, F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
                         secret_scan.listed(F.col("spans")).alias("spans"), "skipped")
