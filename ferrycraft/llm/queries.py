@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrycraft.llm import fm_decontam, piece_codec, pivot_simhash, secret_scan, shard_packing, token_blocks
+from ferrycraft.llm import fm_decontam, line_quality, piece_codec, pivot_simhash, secret_scan, shard_packing, token_blocks
 from ferrycraft.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.listed(F.col("spans")).alias("spans"), "skipped")
 
 
+@query()
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the content share of every text."""
+    docs = table(spark, sf_dir, "documents")
+    judged = line_quality.judge(docs, line_quality.fit(docs, table(spark, sf_dir, "labels")))
+    return judged.drop("content")
+
+
 @query()
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text and the text they decode to, as digests."""
