@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrycraft.llm import fm_decontam, line_quality, piece_codec, pivot_simhash, secret_scan, shard_packing, token_blocks
+from ferrycraft.llm import fm_decontam, line_quality, piece_codec, pivot_simhash, quality_qda, secret_scan, shard_packing, token_blocks
 from ferrycraft.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,12 @@ def op10_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query()
+def op5_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores learned outside the held-out fold."""
+    return quality_qda.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op6_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word benchmark passages in every document."""
