@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrycraft.llm import fm_decontam, line_quality, piece_codec, pivot_simhash, quality_qda, secret_scan, shard_packing, token_blocks
+from ferrycraft.llm import fm_decontam, line_quality, piece_codec, pivot_simhash, quality_qda, secret_scan, shard_packing, suffix_dedup, token_blocks
 from ferrycraft.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,15 @@ def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("content")
 
 
+@query()
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without its 400-byte repeats."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text and the text they decode to, as digests."""
