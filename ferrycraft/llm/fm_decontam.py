@@ -167,7 +167,7 @@ def occurrences(coded: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.nda
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id", width: int = 10,
-                  text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+                  text: str = "text", block_words: int = BLOCK_WORDS, keep_text: bool = False) -> DataFrame:
     """``(key, n_words, n_hit, items, spans)`` for every row of ``docs``.
 
     A window is ``width`` consecutive words of an item, or a shorter item's whole words; a word inside any
@@ -176,12 +176,13 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", it
     The benchmark reaches the tasks in broadcasts of at most about ``block_words`` words, searched one after the
     other. NULL and wordless texts have no words and no hits, wordless items no windows, a NULL item id counts as the
     empty string; items with equal ids count once; repeated rows and NULL keys are kept; an empty benchmark hits
-    nothing; further columns are ignored.
+    nothing; further columns are ignored. With ``keep_text`` the text, NULL as empty, comes second.
     """
+    kept_columns = [key, "text"] if keep_text else [key]
     context = docs.sparkSession.sparkContext
     shared = [context.broadcast(p) for p in phrase_blocks(benchmark, item, width, text, block_words)]
     schema = texts_of(docs, key, text=text).select(
-        key, F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
+        *kept_columns, F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
         F.lit([""]).alias("items"), F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))).alias("spans")
     ).schema
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -211,7 +212,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", it
             hit = np.cumsum(change)[:-1] > 0
             n_hit = np.add.reduceat(hit, starts[:-1], dtype=np.int64)
             spans = [spans_of(texts[i], hit[starts[i]:starts[i + 1] - 1]) if n_hit[i] else [] for i in range(len(texts))]
-            yield with_columns(block, [key], n_words=sizes.astype(np.int64), n_hit=n_hit,
+            yield with_columns(block, kept_columns, n_words=sizes.astype(np.int64), n_hit=n_hit,
                                items=pa.array([sorted(h) for h in holders], pa.list_(pa.string())),
                                spans=pa.array(spans, span))
 

@@ -237,14 +237,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 
 def judge(docs: DataFrame, field: Field | None, key: str = "doc_id", text: str = "text",
-          share: float = CONTENT_SHARE) -> DataFrame:
+          share: float = CONTENT_SHARE, keep_text: bool = False) -> DataFrame:
     """``(key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, content, content_words, kept)``.
 
     Words are stretches without ASCII white space. ``content`` has a flag for each line that has a word. A text
     of fewer than 50 words, or with over half of them in repeated three-word windows, fails; any other is kept when
     content lines hold the share of its words. Without a field all lines count as content. NULL and empty texts have
-    no words and fail; repeated rows and NULL keys are kept apart; further columns are ignored.
+    no words and fail; repeated rows and NULL keys are kept apart; further columns are ignored. With ``keep_text``
+    the text, NULL as empty, comes second.
     """
+    kept_columns = [key, "text"] if keep_text else [key]
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,12 +259,12 @@ def judge(docs: DataFrame, field: Field | None, key: str = "doc_id", text: str =
             content, words = sums[ends[1:]] - sums[ends[:-1]], found.counts["n_words"]
             failed = (words < MIN_WORDS) | (100 * found.counts["n_repeat_words"] > MAX_REPEAT_PERCENT * words)
             yield with_columns(
-                block, [key], **{n: found.counts[n] for n in names}, base_failed=failed,
+                block, kept_columns, **{n: found.counts[n] for n in names}, base_failed=failed,
                 content=pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(labels.astype(bool))),
                 content_words=content, kept=~failed & (content >= share * words))
 
     source = texts_of(docs, key, text=text)
     zero, flag = F.lit(0).cast("long"), F.lit(True)
     return source.mapInArrow(run, source.select(
-        key, *(zero.alias(n) for n in names), flag.alias("base_failed"), F.array(flag).alias("content"),
+        *kept_columns, *(zero.alias(n) for n in names), flag.alias("base_failed"), F.array(flag).alias("content"),
         zero.alias("content_words"), flag.alias("kept")).schema)

@@ -227,15 +227,18 @@ def scan(text: str, limit: int = LAYER_BYTES) -> tuple[list[Span], list[Span], i
     return base, sorted(every, key=lambda s: (s[0], s[2], s[1])), skipped
 
 
-def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LAYER_BYTES) -> DataFrame:
+def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LAYER_BYTES,
+                 keep_text: bool = False) -> DataFrame:
     """``(key, base, spans, skipped)`` for every row; both lists hold ``kind``, ``start`` and ``end`` in code points.
 
     ``base`` are secrets in the text itself. ``spans`` adds what decoded layers hold (percent and Unicode escapes,
     base64, compressed streams, nested in any order), mapped to the characters of the text they come from; a layer
     inside base64 or a compressed stream maps to the whole of it. A span that is there already is not added again.
     ``skipped`` counts streams that come to more than ``limit`` bytes: they are reported, not unwrapped. NULL and
-    empty texts have no spans; repeated rows and NULL keys are kept; further columns are ignored.
+    empty texts have no spans; repeated rows and NULL keys are kept; further columns are ignored. With ``keep_text``
+    the text, NULL as empty, comes second.
     """
+    kept_columns = [key, "text"] if keep_text else [key]
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def rows(spans: list[Span]) -> list[dict]:
@@ -244,14 +247,14 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", limit
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             found = [scan(t.decode(), limit) for t in block.texts()]
-            yield with_columns(block, [key], base=pa.array([rows(b) for b, _, _ in found], span),
+            yield with_columns(block, kept_columns, base=pa.array([rows(b) for b, _, _ in found], span),
                                spans=pa.array([rows(s) for _, s, _ in found], span),
                                skipped=pa.array([n for _, _, n in found], pa.int32()))
 
     source = texts_of(docs, key, text=text)
     one = F.array(F.struct(F.lit("").alias("kind"), F.lit(0).alias("start"), F.lit(0).alias("end")))
     return source.mapInArrow(run, source.select(
-        key, one.alias("base"), one.alias("spans"), F.lit(0).alias("skipped")).schema)
+        *kept_columns, one.alias("base"), one.alias("spans"), F.lit(0).alias("skipped")).schema)
 
 
 def listed(spans: Column) -> Column:
