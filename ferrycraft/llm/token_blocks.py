@@ -17,9 +17,10 @@ payload in the format below (all numbers little-endian).
 from __future__ import annotations
 
 import functools
+import json
 import os
 from collections.abc import Iterator
-from zlib import crc32
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,16 +35,87 @@ BLOCK = 256
 SHARE = 0.9
 #: Ids of a segment, but for a longer document, which is a segment of its own.
 SEGMENT = 1 << 18
-#: Documents tokenized in a call.
-CALL = 50
+#: Chunks joined to a text, and texts tokenized in a call.
+JOINED, CALL = 500, 50
+#: Characters of chunks that a worker's table holds before it starts anew; results don't depend on it.
+TABLE_CHARS = 6 << 20
 
 
-@functools.lru_cache(4)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given this worker one core
-    from tokenizers import Tokenizer
+class Encoder:
+    """A byte-level tokenizer in one worker, with a table of the ids of chunks it has met.
+
+    A byte-level model parts a text at every space between two characters that are no white space, so a text of
+    such spaces is its first word and then chunks of a space and a word. Chunks that the table lacks are tokenized
+    joined to texts: only the first token of a chunk begins with its space, so they part again.
+    """
 
-    return Tokenizer.from_file(path)
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given this worker one core
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(path)
+        plan = json.loads(self.model.to_str())
+        before = plan["pre_tokenizer"] or {}
+        self.splits = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                       and not before.get("add_prefix_space") and not plan["normalizer"]
+                       and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"]
+                                   for t in plan["added_tokens"]))
+        vocabulary = self.model.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self._clear()
+
+    def _clear(self) -> None:
+        self.table: dict[str, int] = {}
+        self.flat, self.sizes, self.held = np.zeros(0, np.uint32), np.zeros(0, np.int64), 0
+
+    def _direct(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for low in range(0, len(texts), CALL)
+                for e in self.model.encode_batch_fast(texts[low:low + CALL], add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Take words into the table: -1 for those that begin or end with white space or are empty."""
+        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
+        ids = self._direct(["".join(" " + w for w in plain[low:low + JOINED]) for low in range(0, len(plain), JOINED)])
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        firsts = np.flatnonzero(self.opens[ids])
+        if len(firsts) != len(plain):
+            each = self._direct([" " + w for w in plain])
+            ids, firsts = np.concatenate(each), np.cumsum([0, *map(len, each)])[:-1]
+        self.table.update(dict.fromkeys(words, -1))
+        self.table.update(zip(plain, range(len(self.sizes), len(self.sizes) + len(plain))))
+        self.sizes = np.concatenate([self.sizes, np.diff(firsts, append=len(ids))])
+        self.flat = np.concatenate([self.flat, ids])
+        self.held += sum(map(len, words))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The library's ids of every text."""
+        if not self.splits:
+            return self._direct(texts)
+        split = [t.split(" ") for t in texts]
+        if self.held > TABLE_CHARS:
+            self._clear()
+        fresh = set(chain.from_iterable(s[1:] for s in split)).difference(self.table)
+        if fresh:
+            self._learn(list(fresh))
+        starts, find = np.cumsum(self.sizes) - self.sizes, self.table.__getitem__
+        found = []
+        for first, words in zip(self._direct([s[0] for s in split]), split):
+            at = np.fromiter(map(find, words[1:]), np.int64, len(words) - 1)
+            if words[0][-1:].isspace() or not words[0] or len(at) and at.min() < 0:
+                found.append(None)  # runs of white space: the whole text is tokenized below
+                continue
+            sizes = self.sizes[at]
+            ends = np.cumsum(sizes)
+            places = np.repeat(starts[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+            found.append(np.concatenate([first, self.flat[places]]))
+        rest = iter(self._direct([t for t, f in zip(texts, found) if f is None]))
+        return [next(rest) if f is None else f for f in found]
+
+
+@functools.lru_cache(4)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 @functools.lru_cache(33)
@@ -151,13 +223,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
 
     Documents are dealt to range partitions of the key, so the order needs no single task; a partition is a file and
     holds its number, ``part``;
-    ``first`` counts the ids of the file before a segment. NULL and empty texts give the end id alone; rows with equal keys are ordered by text;
+    ``first`` counts the ids of the file before a segment. NULL and empty texts give the end id alone; rows with equal keys are ordered by the hash of the text;
     NULL keys come first; an empty table gives a table without segments; further columns are ignored.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part, first = _tokenizer(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, first = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         keys, lengths, held, size = [], [], [], 0
 
         def segment() -> pa.RecordBatch:
@@ -167,14 +239,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
                 "payload": [pack(ids)]}, schema=schema)
 
         for rows in blocks(batches):
-            texts = rows.texts()
-            for low in range(0, len(texts), CALL):
-                coded = encoder.encode_batch_fast([t.decode() for t in texts[low:low + CALL]], add_special_tokens=False)
-                keys.append(rows.rows.column(0).slice(low, CALL))
-                for one in coded:
-                    held.append(np.array(one.ids + [end_id], np.uint32))
-                    lengths.append(len(held[-1]))
-                    size += len(held[-1])
+            for row, ids in enumerate(encoder.encode([t.decode() for t in rows.texts()])):
+                keys.append(rows.rows.column(0).slice(row, 1))
+                held.append(np.append(ids, np.uint32(end_id)))
+                lengths.append(len(held[-1]))
+                size += len(held[-1])
                 if size >= SEGMENT:
                     yield segment()
                     first += size
@@ -187,7 +256,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
     layout = f"part int, first long, keys array<{kind}>, lengths array<int>, payload binary"
     schema = pa.schema([("part", pa.int32()), ("first", pa.int64()), ("keys", pa.list_(_arrow(source, key))),
                         ("lengths", pa.list_(pa.int32())), ("payload", pa.binary())])
-    ordered = source.repartitionByRange(slots(docs), key, "text").sortWithinPartitions(key, "text")
+    # The hash keeps texts out of the sample of range keys, and parts rows that repeat a key.
+    by = [F.col(key), F.xxhash64("text")]
+    ordered = source.repartitionByRange(slots(docs), *by).sortWithinPartitions(*by)
     # Packed ids hardly shrink further.
     ordered.mapInArrow(run, layout).write.option("compression", "none").parquet(path)
 
