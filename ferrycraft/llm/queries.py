@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrycraft.llm import fm_decontam, line_quality, piece_codec, pivot_simhash, quality_qda, secret_scan, shard_packing, suffix_dedup, token_blocks
+from ferrycraft.llm import fm_decontam, line_quality, piece_codec, pivot_simhash, quality_qda, secret_scan, shard_packing, suffix_dedup, token_blocks, url_lists
 from ferrycraft.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,67 @@ def op6_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def _dated(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Captures and list entries made from the pages: a fetch day for each, and for each address, host and domain
+    an entry, a later one that lifts it and one that sets it again, dated by the pages that have it."""
+    day = F.expr("date_add(date '2023-01-01', cast(page_id * 37 % 1096 AS int))")
+    captures = pages.select("page_id", "url", day.alias("fetched_at"))
+    host = url_lists.host_of(F.col("url"))
+    own = pages.select("page_id", F.explode(F.array(
+        F.struct(F.lit("pages").alias("list"), F.lit("url").alias("kind"), url_lists.url_key(F.col("url")).alias("key")),
+        F.struct(F.lit("hosts").alias("list"), F.lit("host").alias("kind"), host.alias("key")),
+        F.struct(F.lit("domains").alias("list"), F.lit("domain").alias("kind"),
+                 F.element_at(url_lists.parents(host), 2).alias("key")))).alias("e"))
+    known = own.where("e.key IS NOT NULL").groupBy("e.list", "e.kind", "e.key").agg(
+        F.min("page_id").alias("first"), F.count("*").alias("n"))
+    first = "date_add(date '2023-01-01', cast(first * 91 % 700 AS int))"
+    moves = F.expr(f"""array(named_struct('dated', {first}, 'blocks', true),
+        named_struct('dated', date_add({first}, cast(20 + n * 13 % 200 AS int)), 'blocks', false),
+        named_struct('dated', date_add({first}, cast(300 + n * 7 % 90 AS int)), 'blocks', true))""")
+    return captures, known.select("list", "kind", "key", F.explode(moves).alias("m")).select("list", "kind", "key", "m.*")
+
+
+@query(r"""
+WITH captures AS (
+    SELECT page_id, url, DATE '2023-01-01' + CAST(page_id * 37 % 1096 AS INTEGER) AS fetched_at,
+        regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*') AS head,
+        lower(regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1),
+            '^.*@', ''), '\.?(:[0-9]*)?$', '')) AS host
+    FROM pages),
+addressed AS (
+    SELECT *, lower(head) || regexp_replace(substr(url, length(head) + 1), '#.*$', '') AS address,
+        string_split(host, '.') AS labels FROM captures),
+known AS (
+    SELECT list, kind, key, min(page_id) AS first, count(*) AS n FROM (
+        SELECT page_id, 'pages' AS list, 'url' AS kind, address AS key FROM addressed
+        UNION ALL SELECT page_id, 'hosts', 'host', host FROM addressed
+        UNION ALL SELECT page_id, 'domains', 'domain', array_to_string(labels[2:], '.') FROM addressed
+            WHERE len(labels) > 2)
+    WHERE key IS NOT NULL GROUP BY ALL),
+entries AS (
+    SELECT list, kind, key, DATE '2023-01-01' + CAST(first * 91 % 700 AS INTEGER) AS dated, true AS blocks FROM known
+    UNION ALL SELECT list, kind, key,
+        DATE '2023-01-01' + CAST(first * 91 % 700 + 20 + n * 13 % 200 AS INTEGER), false FROM known
+    UNION ALL SELECT list, kind, key,
+        DATE '2023-01-01' + CAST(first * 91 % 700 + 300 + n * 7 % 90 AS INTEGER), true FROM known),
+keys AS (
+    SELECT page_id, fetched_at, 'url' AS kind, address AS key FROM addressed
+    UNION ALL SELECT page_id, fetched_at, 'host', host FROM addressed
+    UNION ALL SELECT page_id, fetched_at, 'domain', array_to_string(labels[i:], '.')
+        FROM addressed, unnest(range(1, greatest(len(labels), 2))) AS t(i)),
+latest AS (
+    SELECT page_id, list, arg_max(blocks, (dated, blocks)) AS blocks
+    FROM keys JOIN entries USING (kind, key) WHERE dated <= fetched_at GROUP BY page_id, list, kind, key)
+SELECT c.page_id, c.url, c.fetched_at, count(l.list) > 0 AS blocked, count(l.list) AS n_active,
+    coalesce(string_agg(DISTINCT l.list, ',' ORDER BY l.list), '') AS lists
+FROM captures c LEFT JOIN latest l ON l.page_id = c.page_id AND l.blocks
+GROUP BY c.page_id, c.url, c.fetched_at
+""")
+def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against dated lists of addresses, hosts and domains, as of its fetch day."""
+    return url_lists.filter_urls(*_dated(table(spark, sf_dir, "pages")))
+
+
 @query()
 def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level ids in files of patched frame-of-reference blocks, read back."""
