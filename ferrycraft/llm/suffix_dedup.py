@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrycraft.llm.blocks import Block, blocks, slots, texts_of
-from ferrycraft.session import stage
+from ferrycraft.session import new_path
 
 SPAN = 400
 #: Bytes of a gram; a window holds SPAN - GRAM + 1 of them.
-GRAM = 128
+GRAM = 64
 #: Bytes hashed at a time, small enough for a core's cache.
 HASH_BYTES = 512 << 10
 #: Contexts sorted at a time, and the most that one gram may have to be sorted.
@@ -36,6 +36,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bits of a position in the value that anchors are chosen by; the bits above are the gram's hash.
 PLACE = np.uint64(28)
+#: An anchor's context in one number: first window, bytes from it to the anchor, and further windows, 16 bits each.
+FIELD = 16
 
 
 class PrefixHashes:
@@ -106,11 +108,11 @@ def _anchored(texts: DataFrame, span: int, gram: int) -> DataFrame:
         for block in blocks(batches, HASH_BYTES):
             text, *rest = anchors(block, span, gram)
             ids = block.rows.column(0).take(pa.array(text))
-            kinds = (np.int64, np.int32, np.int32, np.int32)
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c.astype(k)) for c, k in zip(rest, kinds))],
-                                             names=["id", "gram", "at", "low", "high"])
+            grams, at, low, high = rest
+            place = low << 2 * FIELD | at - low << FIELD | high - low
+            yield pa.RecordBatch.from_arrays([ids, pa.array(grams), pa.array(place)], names=["id", "gram", "place"])
 
-    return texts.mapInArrow(run, "id binary, gram long, at int, low int, high int")
+    return texts.mapInArrow(run, "id binary, gram long, place long")
 
 
 def _contexts(texts: DataFrame, span: int) -> DataFrame:
@@ -118,22 +120,22 @@ def _contexts(texts: DataFrame, span: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[bytes] = set()
-            out: dict[str, list] = {n: [] for n in ("gram", "context", "id", "low", "high", "off", "bytes")}
+            out: dict[str, list] = {n: [] for n in ("gram", "context", "id", "low", "last", "off", "bytes")}
             for row in range(batch.num_rows):
                 own, text = batch.column(0)[row].as_py(), batch.column(1)[row].as_py().encode()
                 for place in batch.column(2)[row].as_py():
-                    low, high = place["low"], place["high"]
-                    part, off = text[low:high + span], place["at"] - low
+                    low, off = place["place"] >> 2 * FIELD, place["place"] >> FIELD & (1 << FIELD) - 1
+                    last = place["place"] & (1 << FIELD) - 1
+                    part = text[low:low + last + span]
                     name = blake2b(part, digest_size=16, salt=off.to_bytes(4, "little")).digest()
-                    for column, value in zip(out, (place["gram"], name, own, low, high, off,
-                                                   None if name in seen else part)):
+                    for column, value in zip(out, (place["gram"], name, own, low, last, off, None if name in seen else part)):
                         out[column].append(value)
                     seen.add(name)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     schema = pa.schema([("gram", pa.int64()), ("context", pa.binary()), ("id", pa.binary()), ("low", pa.int32()),
-                        ("high", pa.int32()), ("off", pa.int32()), ("bytes", pa.binary())])
-    return texts.mapInArrow(run, "gram long, context binary, id binary, low int, high int, off int, bytes binary")
+                        ("last", pa.int32()), ("off", pa.int32()), ("bytes", pa.binary())])
+    return texts.mapInArrow(run, "gram long, context binary, id binary, low int, last int, off int, bytes binary")
 
 
 def common_extension(hashes: PrefixHashes, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -257,11 +259,11 @@ def repeated_windows(parts: list[bytes], offs: np.ndarray, group: np.ndarray, sp
     return out
 
 
-_VERDICT = "gram long, context binary, first int, last int"
+_VERDICT = "context binary, first int, last int"
 
 
 def _by_sorting(contexts: DataFrame, span: int) -> DataFrame:
-    """``(gram, context, first, last)``: runs of windows shared by contexts of a gram."""
+    """``(context, first, last)``: runs of windows shared by contexts of a gram."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, names, offs, parts = [], [], [], []
 
@@ -269,13 +271,13 @@ def _by_sorting(contexts: DataFrame, span: int) -> DataFrame:
             """Windows of the first ``count`` contexts, which end with a gram."""
             own = np.array(grams[:count], np.int64)
             several = np.flatnonzero(np.concatenate([[False], own[1:] == own[:-1]]) | np.concatenate([own[1:] == own[:-1], [False]]))
-            out: dict[str, list] = {n: [] for n in ("gram", "context", "first", "last")}
+            out: dict[str, list] = {n: [] for n in ("context", "first", "last")}
             if len(several):
                 chosen = several.tolist()
                 runs = repeated_windows([parts[i] for i in chosen], np.array([offs[i] for i in chosen]), own[several], span)
                 for i, spans in zip(chosen, runs):
                     for first, last in spans:
-                        for column, value in zip(out, (grams[i], names[i], first, last)):
+                        for column, value in zip(out, (names[i], first, last)):
                             out[column].append(value)
             for column in (grams, names, offs, parts):
                 del column[:count]
@@ -291,7 +293,7 @@ def _by_sorting(contexts: DataFrame, span: int) -> DataFrame:
                     column.append(value)
         yield settled(len(grams))
 
-    schema = pa.schema([("gram", pa.int64()), ("context", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])
+    schema = pa.schema([("context", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])
     dealt = contexts.select("gram", "context", "off", "bytes").repartition(slots(contexts), "gram")
     return dealt.sortWithinPartitions("gram", "context").mapInArrow(run, _VERDICT)
 
@@ -312,7 +314,7 @@ def _by_digest(contexts: DataFrame, span: int) -> DataFrame:
     windows = contexts.select("gram", "context", "off", "bytes").mapInArrow(
         run, "gram long, context binary, first int, window binary").distinct()
     twice = windows.groupBy("gram", "window").count().where("count > 1").select("gram", "window")
-    return windows.join(twice, ["gram", "window"]).select("gram", "context", "first", F.col("first").alias("last"))
+    return windows.join(twice, ["gram", "window"]).select("context", "first", F.col("first").alias("last"))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM,
@@ -325,31 +327,42 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", spa
     no bytes; texts shorter than ``span`` stay whole; an empty table gives no rows; further columns are ignored.
     A gram with over ``hot`` different contexts is resolved window by window, with the same result.
     """
+    if span >> FIELD:
+        raise ValueError("spans of 64 KB and more need wider fields for places")
     source = texts_of(docs, key, text=text)
     named = source.select(key, F.unhex(F.md5("text")).alias("id"), "text")
     long = named.where(F.octet_length("text") >= span).select("id", "text")
-    placed = stage(_anchored(long, span, gram), "anchors")
-    repeated = placed.groupBy("gram").count().where("count > 1").select(F.col("gram").alias("twice"))
+    placed = _table(_anchored(long, span, gram), "anchors")
+    # As tables, both sides of a join are plain scans: AQE can then split what is dealt by a frequent gram or context.
+    repeated = _table(placed.groupBy("gram").count().where("count > 1").select(F.col("gram").alias("twice")), "repeated")
     places = placed.join(repeated, F.col("gram") == F.col("twice")).groupBy("id").agg(
-        F.collect_set(F.struct("gram", "at", "low", "high")).alias("places"))
-    held = stage(_contexts(long.join(places, "id").select("id", "text", "places"), span), "contexts")
+        F.collect_set(F.struct("gram", "place")).alias("places"))
+    held = _table(_contexts(long.join(places, "id").select("id", "text", "places"), span), "contexts")
 
-    counted = held.groupBy("gram", "context").agg(F.count("*").alias("n"), F.max(F.col("high") - F.col("low")).alias("last"))
-    whole = counted.where("n > 1").select("gram", "context", F.lit(0).alias("first"), "last")
-    crowded = stage(counted.groupBy("gram").count().where(F.col("count") > hot).select("gram"), "crowded")
+    counted = _table(held.groupBy("gram", "context").agg(
+        F.count("*").alias("n"), F.max("last").alias("last")), "counted")
+    whole = counted.where("n > 1").select("context", F.lit(0).alias("first"), "last")
+    crowded = _table(counted.groupBy("gram").count().where(F.col("count") > hot).select("gram"), "crowded")
     bodies = held.where(F.col("bytes").isNotNull())
     if crowded.isEmpty():
         shared = _by_sorting(bodies, span)
     else:
         shared = _by_sorting(bodies.join(crowded, "gram", "left_anti"), span).union(
             _by_digest(bodies.join(crowded, "gram", "left_semi"), span))
-    verdicts = shared.union(whole)
-    spans = held.select("gram", "context", "id", "low").join(verdicts, ["gram", "context"]).groupBy("id").agg(
+    verdicts = _table(shared.union(whole), "verdicts")
+    spans = held.select("context", "id", "low").join(verdicts, "context").groupBy("id").agg(
         F.collect_set(F.struct((F.col("low") + F.col("first")).alias("start"),
                                (F.col("low") + F.col("last") + span).alias("end"))).alias("found"))
     return _without(named.join(spans, "id", "left").select(key, "text", "found"), key)
 
 
+def _table(df: DataFrame, label: str) -> DataFrame:
+    """Written to the shared folder and read again; hashes and overlapping contexts want the denser codec."""
+    path = new_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _without(rows: DataFrame, key: str) -> DataFrame:
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
