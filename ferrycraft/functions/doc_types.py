@@ -56,7 +56,14 @@ def value_kind(value: Column, shape: Column) -> Column:
 
     A JSON number with a fraction parses as an exact decimal but stands for a double.
     """
-    wrapper = lambda key: F.startswith(shape, F.lit(f"OBJECT<`{key}`: "))
+    def wrapper(key: str, beside: str | None = None) -> Column:
+        """The key is the object's only one (or stands with ``beside``): further fields must not be lost."""
+        names = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+        alone = F.size(names) == 1
+        if beside:
+            alone = alone | ((F.size(names) == 2) & F.array_contains(names, beside))
+        return F.startswith(shape, F.lit(f"OBJECT<`{key}`: ")) & alone
+
     return (
         F.when(shape == "VOID", VOID)
         .when(shape == "STRING", TEXT)
@@ -73,7 +80,7 @@ def value_kind(value: Column, shape: Column) -> Column:
         .when(wrapper("$numberInt"), INT)
         .when(wrapper("$numberLong"), _int_kind(value, "$['$numberLong']"))
         .when(wrapper("$numberDouble"), DOUBLE)
-        .when(wrapper("$binary"), BINARY)
+        .when(wrapper("$binary", "$type"), BINARY)
         .when(wrapper("$regularExpression"), TEXT)
         .when(F.startswith(shape, F.lit("OBJECT")), JSON)
         .otherwise(TEXT)
@@ -134,7 +141,8 @@ def read_value(doc: Column, steps: list[str], rank: int, kinds: int, profile: st
             F.timestamp_millis(get("['$date']", "bigint")),
             F.timestamp_millis(get("['$date']['$numberLong']", "bigint")),
             get("['$date']", "timestamp"),
-            get("", "timestamp"),
+            # A number would be read as seconds since 1970.
+            F.when(F.schema_of_variant(get("", "variant")).rlike("^(TIMESTAMP|DATE)"), get("", "timestamp")),
         ])
     if rank == RANK[DATE]:
         return get("", "date")
@@ -148,6 +156,9 @@ def read_value(doc: Column, steps: list[str], rank: int, kinds: int, profile: st
     payloads = [get(n, "string") for n in numbers]
     payloads += [get(f"['{key}']", "string") for kind, key in (
         (OID, "$oid"), (DECIMAL, "$numberDecimal"), (DATETIME, "$date")) if has(kind)]
+    if has(JSON) and payloads:  # an object with a wrapper's key among others is no wrapper
+        alone = F.size(F.map_keys(get("", "map<string,variant>"))) == 1
+        payloads = [F.when(alone, p) for p in payloads]
     plain = get("", "string")
     if profile == "mysql" and has(BOOLEAN):
         plain = F.when(

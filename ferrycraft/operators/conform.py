@@ -11,13 +11,10 @@ from ..functions.sql_types import TEXT_CAST_TYPES, ColumnSpec
 from ..functions.text import normalize_text
 
 _TEXT = ("char", "nchar", "varchar", "nvarchar", "text", "ntext") + TEXT_CAST_TYPES
-# Aggregates per pass: wide enough to share the scan, narrow enough to stay within generated-code limits.
-_CHUNK = 100
 
-
-# Ranges of the integer types, and what their text looks like.
+# Ranges of the integer types, and what their text looks like; leading zeros don't count as digits.
 _RANGES = {"smallint": (-2**15, 2**15 - 1), "int": (-2**31, 2**31 - 1), "bigint": (-2**63, 2**63 - 1)}
-_INTEGER_TEXT = r"^\s*[+-]?[0-9]{1,19}\s*$"
+_INTEGER_TEXT = r"^\s*[+-]?0*[0-9]{1,19}\s*$"
 _NUMBER_TEXT = r"(?i)^\s*[+-]?(inf(inity)?|nan|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)[fd]?\s*$"
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -92,19 +89,15 @@ def audit_conformance(df: DataFrame, specs: Iterable[ColumnSpec], profile: str =
             (F.max(F.char_length(text)) if is_text else F.lit(None).cast("int")).alias("max_chars"),
         )
 
-    return one_pass(df, [metrics(s) for s in specs])
+    return one_pass(df, [metrics(s) for s in specs], "column_name string, stored_type string, present bigint, "
+                    "failed bigint, out_of_range bigint, too_long bigint, max_chars int")
 
 
-def one_pass(df: DataFrame, structs: list[Column]) -> DataFrame:
-    """Aggregate structs, one output row each; very wide lists are split into a few passes."""
-    parts = [
-        df.agg(F.array(*structs[i:i + _CHUNK]).alias("m")).select(F.inline("m"))
-        for i in range(0, len(structs), _CHUNK)
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def one_pass(df: DataFrame, structs: list[Column], schema: str) -> DataFrame:
+    """Aggregate structs in one scan, one output row each; without structs an empty frame of the schema."""
+    if not structs:
+        return df.sparkSession.createDataFrame([], schema)
+    return df.agg(F.array(*structs).alias("m")).select(F.inline("m"))
 
 
 def nonconforming_rows(df: DataFrame, specs: Iterable[ColumnSpec], profile: str = "pg") -> DataFrame:

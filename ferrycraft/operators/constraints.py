@@ -11,8 +11,10 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
+from pyspark.sql.utils import AnalysisException, ParseException
 
 from .conform import one_pass
 
@@ -25,7 +27,7 @@ def check_not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return one_pass(df, [
         F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(f"`{c}`").isNull()).alias("nulls"))
         for c in columns
-    ])
+    ], "column_name string, nulls bigint")
 
 
 def _any_null(columns: Sequence[str]) -> Column:
@@ -125,9 +127,47 @@ def resolve_orphans(child: DataFrame, columns: Sequence[str], parent: DataFrame,
     raise ValueError(f"unknown resolution {how!r}")
 
 
+# Functions of CHECK clauses that go by another name in Spark, with the same arguments.
+_FUNCTIONS = {"isnull": "coalesce", "len": "length", "datalength": "octet_length", "charindex": "locate",
+              "getdate": "current_timestamp", "sysdatetime": "current_timestamp", "newid": "uuid"}
+_CLAUSE_TOKEN = re.compile(r"N?'(?:[^']|'')*'|\[[^\]]+\]|\w+|\s+|.", re.S)
+
+
+def _like_pattern(literal: str) -> str:
+    """A LIKE literal with character classes, as the literal of a regular expression."""
+    parts = re.findall(r"\[\^?[^\]]+\]|.", literal[literal.index("'") + 1:-1].replace("''", "'"), re.S)
+    text = "".join({"%": ".*", "_": "."}.get(p, p if len(p) > 1 else re.escape(p)) for p in parts)
+    return "r'(?s)^" + text.replace("'", "\\x27") + "$'"
+
+
 def spark_clause(clause: str) -> str:
-    """CHECK text with bracketed identifiers, as a Spark expression. Brackets in string literals stay."""
-    return re.sub(r"('(?:[^']|'')*')|\[([^\]]+)\]", lambda m: m.group(1) or f"`{m.group(2)}`", clause.strip())
+    """CHECK text as a Spark expression: bracketed identifiers, renamed functions, character classes of LIKE.
+
+    String literals are left as they are, but for the pattern of such a LIKE.
+    """
+    tokens, out = _CLAUSE_TOKEN.findall(clause.strip()), []
+    for i, token in enumerate(tokens):
+        following = next((t for t in tokens[i + 1:] if not t.isspace()), "")
+        if token[0] == "[" and len(token) > 1:
+            token = f"`{token[1:-1]}`"
+        elif following == "(" and token.lower() in _FUNCTIONS:
+            token = _FUNCTIONS[token.lower()]
+        elif token.lower() == "like" and "[" in following and following.endswith("'"):
+            token = "RLIKE"
+        elif token.endswith("'") and len(token) > 1:
+            before = next((t for t in reversed(out) if not t.isspace()), "")
+            token = _like_pattern(token) if before == "RLIKE" else token.removeprefix("N")
+        out.append(token)
+    return "".join(out)
+
+
+def unresolved(df: DataFrame, clause: str) -> str | None:
+    """Why the clause is no condition over the frame's columns, or None when it is one."""
+    try:
+        kind = df.select(F.expr(spark_clause(clause)).alias("c")).schema["c"].dataType
+    except (AnalysisException, ParseException) as e:
+        return str(e)
+    return None if isinstance(kind, BooleanType) else f"the clause is a {kind.simpleString()}, not a condition"
 
 
 def check_expression(df: DataFrame, clause: str) -> DataFrame:
@@ -184,13 +224,21 @@ class Constraint:
 
 
 def audit_constraints(tables: Mapping[str, DataFrame], constraints: Iterable[Constraint]) -> DataFrame:
-    """``constraint_name, kind, table_name, violations, status`` per constraint.
+    """``constraint_name, kind, table_name, violations, status, reason`` per constraint.
 
     ``violations`` counts rows (for keys: rows beyond those allowed). All row-level constraints of a table
     share one scan; keys and references add one combined aggregate each. A reference to a parent key that
-    is not unique is INVALID_PARENT.
+    is not unique is INVALID_PARENT. A constraint that can't be resolved against the tables (a clause with a function
+    that Spark lacks, a missing column or table) is SKIPPED with the reason, and the others are audited.
     """
-    constraints = list(constraints)
+    given, constraints, skipped = list(constraints), [], []
+    for c in given:
+        reason = _unresolved(tables, c)
+        if reason is None:
+            constraints.append(c)
+        else:
+            skipped.append((c.name, c.kind, c.table, None, "SKIPPED", reason))
+    schema = "constraint_name string, kind string, table_name string, violations bigint, status string, reason string"
     result = lambda c, violations: F.struct(
         F.lit(c.name).alias("constraint_name"), F.lit(c.kind).alias("kind"), F.lit(c.table).alias("table_name"),
         violations.cast("bigint").alias("violations"), F.lit(False).alias("bad_parent"))
@@ -206,7 +254,7 @@ def audit_constraints(tables: Mapping[str, DataFrame], constraints: Iterable[Con
         else:
             continue
         by_table.setdefault(c.table, []).append(result(c, F.count_if(F.coalesce(broken, F.lit(False)))))
-    parts += [one_pass(tables[t], structs) for t, structs in by_table.items()]
+    parts += [tables[t].agg(F.array(*structs).alias("m")).select(F.inline("m")) for t, structs in by_table.items()]
     for c in constraints:
         if c.kind in ("PRIMARY KEY", "UNIQUE"):
             primary = c.kind == "PRIMARY KEY"
@@ -227,10 +275,23 @@ def audit_constraints(tables: Mapping[str, DataFrame], constraints: Iterable[Con
                 result(c, F.coalesce(F.sum("orphans"), F.lit(0))).alias("r"),
                 (F.coalesce(F.sum("doubled"), F.lit(0)) > 0).alias("bad_parent"),
             ).select(F.col("r").dropFields("bad_parent").alias("r"), "bad_parent").select("r.*", "bad_parent"))
+    if not parts:
+        return SparkSession.active().createDataFrame(skipped, schema)
     merged = reduce(DataFrame.unionByName, parts)
     status = (
         F.when(F.col("bad_parent"), "INVALID_PARENT").when(F.col("violations") > 0, "VIOLATED").otherwise("VALID"))
-    return merged.withColumn("status", status).drop("bad_parent")
+    report = merged.withColumn("status", status).drop("bad_parent").withColumn("reason", F.lit(None).cast("string"))
+    return report.unionByName(report.sparkSession.createDataFrame(skipped, schema)) if skipped else report
+
+
+def _unresolved(tables: Mapping[str, DataFrame], c: Constraint) -> str | None:
+    for name, columns in ((c.table, c.columns), (c.ref_table, c.ref_columns)):
+        if name and name not in tables:
+            return f"no table {name}"
+        missing = [k for k in columns if name and k not in tables[name].columns]
+        if missing:
+            return f"no column {', '.join(missing)} in {name}"
+    return unresolved(tables[c.table], c.clause) if c.kind == "CHECK" else None
 
 
 def constraint_tally(report: DataFrame) -> DataFrame:

@@ -6,6 +6,19 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    MapType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from ..functions import doc_types as dt
 from ..functions.text import target_column
@@ -127,17 +140,38 @@ def audit_projection(docs: DataFrame, schema: DataFrame | list[Row], profile: st
             F.lit(r["field"]).alias("field"), F.lit(r["target_type"]).alias("target_type"),
             F.count_if(held).alias("present"), F.count_if(held & lost).alias("lost"),
         ))
-    return one_pass(docs, counts)
+    return one_pass(docs, counts, "field string, target_type string, present bigint, lost bigint")
 
 
-def _extended(value: Column, type_name: str) -> Column:
-    """Extended JSON wrapper of the Spark types that JSON cannot express."""
-    if type_name.startswith("decimal"):
+def _instant(value: Column, kind: DataType) -> Column:
+    """ISO text in UTC whatever the session's zone; dates and zone-less timestamps are taken as UTC."""
+    if isinstance(kind, TimestampType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        seconds = F.unix_micros(value).cast("decimal(20,0)") / F.lit(1000000)
+        value = epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    text = value.cast("timestamp_ntz").cast("string")
+    fraction = F.rpad(F.regexp_extract(text, r"\.([0-9]+)$", 1), 6, "0")
+    return F.concat(F.replace(F.regexp_replace(text, r"\.[0-9]+$", ""), F.lit(" "), F.lit("T")), F.lit("."), fraction, F.lit("Z"))
+
+
+def _extended(value: Column, kind: DataType) -> Column:
+    """The value with Extended JSON wrappers for what JSON cannot express, at any depth."""
+    if isinstance(kind, DecimalType):
         return F.when(value.isNotNull(), F.struct(value.cast("string").alias("$numberDecimal")))
-    if type_name in ("timestamp", "timestamp_ntz", "date"):
-        instant = F.date_format(value.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-        return F.when(value.isNotNull(), F.struct(instant.alias("$date")))
-    if type_name == "binary":
+    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+        return F.when(value.isNotNull(), F.struct(_instant(value, kind).alias("$date")))
+    if isinstance(kind, (FloatType, DoubleType)):
+        text = value.cast("string")
+        special = text.isin("NaN", "Infinity", "-Infinity")
+        return F.parse_json(F.when(special, F.concat(F.lit('{"$numberDouble":"'), text, F.lit('"}'))).otherwise(text))
+    if isinstance(kind, StructType):
+        return F.when(value.isNotNull(), F.struct(*[
+            _extended(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]))
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda v: _extended(v, kind.elementType))
+    if isinstance(kind, MapType):
+        return F.transform_values(value, lambda _, v: _extended(v, kind.valueType))
+    if isinstance(kind, BinaryType):
         payload = F.struct(F.translate(F.base64(value), "\r\n", "").alias("base64"), F.lit("00").alias("subType"))
         return F.when(value.isNotNull(), F.struct(payload.alias("$binary")))
     return value
@@ -145,6 +179,6 @@ def _extended(value: Column, type_name: str) -> Column:
 
 def rows_to_documents(df: DataFrame, doc: str = "doc", keep: Iterable[str] = ()) -> DataFrame:
     """Each row as one Extended JSON document string; field names are lower case and nulls are kept."""
-    fields = [_extended(F.col(f"`{f.name}`"), f.dataType.simpleString()).alias(f.name.lower())
+    fields = [_extended(F.col(f"`{f.name}`"), f.dataType).alias(f.name.lower())
               for f in df.schema.fields]
     return df.select(*keep, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias(doc))

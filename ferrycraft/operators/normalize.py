@@ -113,7 +113,8 @@ def money_totals(df: DataFrame, columns: Iterable[str], precision: int = 12, sca
             F.sum(exact).cast("decimal(38,10)").alias("sum_before"),
             F.sum(money).cast(f"decimal(38,{scale})").alias("sum_after"),
         ))
-    return one_pass(df, structs)
+    return one_pass(df, structs, "column_name string, changed bigint, lost bigint, sum_before decimal(38,10), "
+                    f"sum_after decimal(38,{scale})")
 
 
 def dual_read_diff(documents: DataFrame, key: str, elements: Column, fields: Mapping[str, tuple[list[str], str]],

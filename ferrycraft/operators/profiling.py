@@ -26,22 +26,28 @@ def profile_columns(df: DataFrame, columns: Iterable[str] | None = None) -> Data
             (F.count(c) == F.count(F.lit(1))).alias("populated"),
             longest.alias("max_chars"),
         ))
-    return one_pass(df, structs).withColumn(
+    return one_pass(df, structs, "column_name string, total bigint, present bigint, populated boolean, max_chars int").withColumn(
         "suggested", F.when(F.col("max_chars").isNotNull(), F.format_string("VARCHAR(%d)", "max_chars")))
 
 
+def distinct_estimates(df: DataFrame, columns: Iterable[str], max_values: int = 20, rsd: float = 0.05) -> DataFrame:
+    """``column_name, estimate, may_be_small`` of every column, from one scan. The margin covers the estimate's error."""
+    return one_pass(df, [
+        F.struct(F.lit(c).alias("column_name"), F.approx_count_distinct(f"`{c}`", rsd).alias("estimate"))
+        for c in columns
+    ], "column_name string, estimate bigint").withColumn(
+        "may_be_small", F.col("estimate") <= max_values * (1 + 4 * rsd) + 1)
+
+
 def profile_domains(df: DataFrame, columns: Iterable[str], max_values: int = 20, rsd: float = 0.05) -> DataFrame:
     """Values and counts of the columns with few distinct values (ENUM candidates).
 
-    One scan estimates every column's distinct count; only columns that may be small are then counted
-    exactly, all in one pass, and columns over the limit drop out. The margin covers the estimate's error.
+    The columns that ``distinct_estimates`` flags as small are counted exactly, all in one pass, and those over
+    the limit drop out; that report says which columns were not counted and why.
     """
-    columns = list(columns)
-    estimate = df.agg(*[F.approx_count_distinct(f"`{c}`", rsd).alias(c) for c in columns]).first()
-    small = [c for c in columns if estimate[c] <= max_values * (1 + 4 * rsd) + 1]
-    empty = df.sparkSession.createDataFrame([], "column_name string, value string, n bigint")
+    small = [r["column_name"] for r in distinct_estimates(df, columns, max_values, rsd).collect() if r["may_be_small"]]
     if not small:
-        return empty
+        return df.sparkSession.createDataFrame([], "column_name string, value string, n bigint")
     pairs = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in small
     ])))

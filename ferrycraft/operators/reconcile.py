@@ -121,7 +121,7 @@ def column_totals(df: DataFrame, scale: int = 4) -> DataFrame:
         structs.append(F.struct(
             F.lit(f.name).alias("column_name"), F.count(F.lit(1)).alias("total_rows"),
             F.count_if(c.isNull()).alias("nulls"), total.alias("exact_sum")))
-    return one_pass(df, structs)
+    return one_pass(df, structs, f"column_name string, total_rows bigint, nulls bigint, exact_sum decimal(38,{scale})")
 
 
 def reconcile_arrays(parents: DataFrame, key: str, array: str, children: DataFrame, child_key: str) -> DataFrame:

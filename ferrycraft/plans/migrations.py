@@ -17,7 +17,14 @@ from ..functions.sql_types import ColumnSpec
 from ..operators.conform import audit_conformance, conform
 from ..operators.constraints import Constraint, audit_constraints
 from ..operators.definitions import compatibility_gate, scan_definitions
-from ..operators.documents import infer_schema, parse_documents, project_documents, rows_to_documents, schema_rows
+from ..operators.documents import (
+    infer_schema,
+    malformed_documents,
+    parse_documents,
+    project_documents,
+    rows_to_documents,
+    schema_rows,
+)
 from ..operators.reconcile import load_metrics, migration_report, reconcile_counts
 from ..session import new_path
 from ..sources.writers import write_table
@@ -25,11 +32,13 @@ from ..sources.writers import write_table
 
 @dataclass
 class Migration:
-    """Outcome of a run: ``recon`` per table, nested ``report``, and rows, seconds and rows/s per table."""
+    """Outcome of a run: ``recon`` per table, nested ``report``, rows, seconds and rows/s per table, and the
+    malformed documents kept aside per collection."""
 
     recon: DataFrame
     report: DataFrame
     metrics: dict[str, dict[str, float]] = field(default_factory=dict)
+    rejected: dict[str, int] = field(default_factory=dict)
 
 
 def _run(spark: SparkSession, jobs: Mapping[str, Callable[[], tuple[DataFrame, str, str]]], mode: str) -> Migration:
@@ -40,14 +49,14 @@ def _run(spark: SparkSession, jobs: Mapping[str, Callable[[], tuple[DataFrame, s
         try:
             rows, path, fmt = job()
             seen = Observation()
+            read = spark.read if fmt == "text" else spark.read.schema(rows.schema)
+            before = read.format(fmt).load(path).count() if mode == "append" and _exists(spark, path) else 0
             write_table(rows.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode, fmt)
             n = seen.get["rows"]
-            written = spark.read.format(fmt).load(path) if fmt == "text" else spark.read.schema(
-                rows.schema).format(fmt).load(path)
-            loaded.append((name, n, written.count()))
+            loaded.append((name, n, read.format(fmt).load(path).count() - before))
             metrics[name] = load_metrics(n, time.monotonic() - started)
         except Exception as e:  # noqa: BLE001 - reported per table
-            errors.append((name, str(e).splitlines()[0][:300]))
+            errors.append((name, str(e)))
     schema = "table_name string, row_count bigint"
     source = spark.createDataFrame([(t, s) for t, s, _ in loaded] + [(t, -1) for t, _ in errors], schema)
     target = spark.createDataFrame([(t, w) for t, _, w in loaded] + [(t, 0) for t, _ in errors], schema)
@@ -56,6 +65,11 @@ def _run(spark: SparkSession, jobs: Mapping[str, Callable[[], tuple[DataFrame, s
     return Migration(recon, migration_report(recon), metrics)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def migrate_tables(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, Iterable[ColumnSpec]]], target: str,
                    profile: str = "pg", mode: str = "errorifexists") -> Migration:
     """Relational to relational: each table conformed and written under ``target``."""
@@ -79,16 +93,25 @@ def migrate_documents(spark: SparkSession, collections: Mapping[str, DataFrame],
                       skip: Iterable[str] = ()) -> Migration:
     """Documents to relational: text parsed once into staged VARIANT, schema inferred, rows projected.
 
-    ``collections``: name to JSON lines in column ``value``. A collection with malformed lines is an ERROR.
+    ``collections``: name to JSON lines in column ``value``. Malformed lines are written to ``_rejected/<name>`` under
+    the target and the rest is loaded; ``rejected`` of the result counts them. A collection with nothing else is an
+    ERROR.
     """
+    rejected: dict[str, int] = {}
+
     def job(name: str):
         def run():
             seen, staged = Observation(), new_path(spark, "documents")
             parsed = parse_documents(collections[name].select("value"))
             malformed = F.count_if(F.col("value").isNotNull() & F.col("doc").isNull())
-            parsed.observe(seen, malformed.alias("malformed")).select("doc").write.parquet(staged)
-            if seen.get["malformed"]:
-                raise ValueError(f"{seen.get['malformed']} malformed documents")
+            parsed.observe(seen, malformed.alias("malformed"), F.count("doc").alias("good")).select("doc").where(
+                "doc IS NOT NULL").write.parquet(staged)
+            if bad := seen.get["malformed"]:
+                rejected[name] = bad
+                malformed_documents(collections[name].select("value")).write.mode(mode).text(
+                    f"{target}/_rejected/{name.lower()}")
+                if not seen.get["good"]:
+                    raise ValueError(f"{bad} malformed documents")
             docs = spark.read.schema("doc variant").parquet(staged)
             schema = schema_rows(infer_schema(docs, profile=profile, sample=sample))
             return project_documents(docs, schema, profile), f"{target}/{name.lower()}", "parquet"
@@ -96,7 +119,8 @@ def migrate_documents(spark: SparkSession, collections: Mapping[str, DataFrame],
     skipped = set(skip)
     names = [n for n in collections
              if n not in skipped and not n.startswith("system.") and not n.startswith("_")]
-    return _run(spark, {name: job(name) for name in sorted(names)}, mode)
+    done = _run(spark, {name: job(name) for name in sorted(names)}, mode)
+    return Migration(done.recon, done.report, done.metrics, rejected)
 
 
 @dataclass

@@ -66,10 +66,8 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def spread(scan: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has slots.
+    """Deal a scan's rows out round-robin: for CPU-heavy work over files that make few splits.
 
-    For CPU-heavy work over a few small files. A large input already has more splits than slots and
-    passes through without a shuffle.
+    Always a shuffle, so call it only where the files are known to be few and the work to be heavy.
     """
-    slots = partitions or scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(slots) if scan.rdd.getNumPartitions() < slots else scan
+    return scan.repartition(partitions or scan.sparkSession.sparkContext.defaultParallelism)

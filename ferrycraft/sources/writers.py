@@ -70,7 +70,7 @@ def csv_null_collisions(df: DataFrame) -> DataFrame:
     return one_pass(df, [
         F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(f"`{c}`") == CSV_NULL).alias("collisions"))
         for c in text
-    ])
+    ], "column_name string, collisions bigint")
 
 
 def write_documents(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
