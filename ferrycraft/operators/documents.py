@@ -24,8 +24,6 @@ from ..functions import doc_types as dt
 from ..functions.text import target_column
 from .conform import one_pass
 
-MAX_DEPTH = 16
-
 
 def parse_documents(lines: DataFrame, text: str = "value", doc: str = "doc") -> DataFrame:
     """Add the parsed document; malformed text gives NULL (see ``malformed_documents``)."""
@@ -36,15 +34,28 @@ def malformed_documents(lines: DataFrame, text: str = "value") -> DataFrame:
     return lines.where(F.col(text).isNotNull() & F.try_parse_json(F.col(text)).isNull())
 
 
+def document_depth(docs: DataFrame, doc: str = "doc") -> int:
+    """Levels of nesting of the deepest document, arrays included; one aggregate, one number to the driver."""
+    shape = F.regexp_replace(F.schema_of_variant(F.col(doc)), "(`[^`]*`)+", "")
+    step = lambda t: F.when(t == ">", -1).otherwise(1)
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    deepest = F.aggregate(
+        F.regexp_extract_all(shape, F.lit("(OBJECT<|ARRAY<|>)"), F.lit(1)), start,
+        lambda at, t: F.struct((at["now"] + step(t)).alias("now"), F.greatest(at["most"], at["now"] + step(t)).alias("most")))
+    return docs.agg(F.max(deepest["most"])).first()[0] or 1
+
+
 def flatten_documents(docs: DataFrame, doc: str = "doc", keep: Iterable[str] = (),
-                      max_depth: int = MAX_DEPTH) -> DataFrame:
+                      max_depth: int | None = None) -> DataFrame:
     """One row per leaf: ``keep`` columns, ``steps`` (key path), ``value`` (VARIANT).
 
     Nested documents are opened level by level inside the row, so the scan is read once and only leaves are
-    emitted. Arrays and ``$`` wrappers are leaves; an empty nested document has none. A document deeper
-    than ``max_depth`` fails the job rather than losing fields.
+    emitted. Arrays and ``$`` wrappers are leaves; an empty nested document has none. The number of levels is
+    measured first, so give documents that are parsed already; with ``max_depth`` it is not, and a deeper
+    document fails the job rather than losing fields.
     """
     keep = list(keep)
+    max_depth = max_depth or document_depth(docs, doc)
 
     def entries(fields: str, prefix: str) -> str:
         return (f"transform(map_entries({fields}), e -> struct({prefix}array(e.key)) as steps, e.value as value, "
@@ -70,13 +81,17 @@ def flatten_documents(docs: DataFrame, doc: str = "doc", keep: Iterable[str] = (
 
 
 def infer_schema(docs: DataFrame, doc: str = "doc", profile: str = "pg", sample: int | float | None = None,
-                 seed: int = 0, max_depth: int = MAX_DEPTH) -> DataFrame:
+                 seed: int = 0, max_depth: int | None = None, sample_by: str | None = None) -> DataFrame:
     """One row per field path: ``field, steps, rank, kinds, present, column_name, target_type``.
 
     Widening is the maximum of a rank, so it is combined on the map side and shuffles one row per field
-    and task. ``sample``: a whole number reads the first documents, a fraction a random share.
+    and task. ``sample``: a whole number reads the first documents, a fraction a random share,
+    or with ``sample_by`` the share of keys with the lowest MD5, the same in every run and engine.
     """
-    if isinstance(sample, float):
+    if isinstance(sample, float) and sample_by:
+        digest = F.conv(F.left(F.md5(F.col(sample_by).cast("string")), F.lit(8)), 16, 10).cast("bigint")
+        docs = docs.where(digest < int(sample * (1 << 32)))
+    elif isinstance(sample, float):
         docs = docs.sample(fraction=sample, seed=seed)
     elif sample:
         docs = docs.limit(sample)

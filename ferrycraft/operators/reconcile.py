@@ -7,7 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, NumericType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    MapType,
+    NumericType,
+    StructType,
+    VariantType,
+)
 
 from .conform import one_pass
 
@@ -69,19 +77,37 @@ def migration_report(recon: DataFrame, views: DataFrame | None = None) -> DataFr
     return parts.select(F.current_timestamp().alias("generated_at"), "*")
 
 
-def _hashable(c: Column, t: DataType) -> Column:
-    return F.to_json(c) if isinstance(t, (MapType,)) else c
+def _canonical(c: Column, t: DataType) -> Column:
+    """The value in a form that JSON shows in one way only: map entries in order, bytes in hexadecimal."""
+    if isinstance(t, MapType):
+        return F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(
+            value_text(e["key"], t.keyType).alias("key"), value_text(e["value"], t.valueType).alias("value"))))
+    if isinstance(t, StructType):
+        return F.when(c.isNotNull(), F.struct(*[_canonical(c.getField(f.name), f.dataType).alias(f.name) for f in t.fields]))
+    if isinstance(t, ArrayType):
+        return F.transform(c, lambda v: _canonical(v, t.elementType))
+    return F.hex(c) if isinstance(t, BinaryType) else c
 
 
-def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """64-bit hash of the row, nulls and column positions included."""
+def value_text(c: Column, t: DataType) -> Column:
+    """A value of any type as text, NULL for NULL."""
+    if isinstance(t, VariantType):
+        return F.to_json(c)
+    if isinstance(t, (MapType, StructType, ArrayType)):
+        return F.when(c.isNotNull(), F.to_json(F.struct(_canonical(c, t).alias("v")), {"ignoreNullFields": "false"}))
+    return _canonical(c, t).cast("string")
+
+
+def row_text(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """The row as one text: each value behind its length, ``~`` for NULL, so no two rows look alike."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    parts = []
-    for name in columns or df.columns:
-        c = F.col(f"`{name}`")
-        # xxhash64 skips nulls; the flag keeps (NULL, x) apart from (x, NULL).
-        parts += [c.isNull(), _hashable(c, types[name])]
-    return F.xxhash64(*parts)
+    values = [value_text(F.col(f"`{name}`"), types[name]) for name in columns or df.columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("~")) for v in values])
+
+
+def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """60 bits of the MD5 of the row's text, which other engines can compute as well."""
+    return F.conv(F.substring(F.md5(row_text(df, columns)), 1, 15), 16, 10).cast("bigint")
 
 
 def fingerprint_columns(df: DataFrame) -> list[Column]:

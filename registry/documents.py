@@ -49,11 +49,15 @@ def mixed_type_widening(spark, d):
     return _schema(dc.parse_documents(inputs.mixed_documents(spark, d)), "mysql")
 
 
-@query(None)
+@query("""WITH kept AS (SELECT event_id FROM events WHERE CAST('0x' || left(md5('' || event_id), 8) AS BIGINT) < CAST(floor(0.1 * 4294967296) AS BIGINT))
+SELECT '_id' AS field, '_id' AS column_name, 'INT' AS target_type, count(*) AS present FROM kept
+UNION ALL SELECT 'v', 'v', 'LONGTEXT', count(*) FILTER (event_id % 5 <> 4) FROM kept
+UNION ALL SELECT 'n', 'n', 'DOUBLE', count(*) FROM kept UNION ALL SELECT 'w', 'w', 'BIGINT', count(*) FROM kept""")
 def sampled_schema(spark, d):
-    """Schema from a random tenth of the documents."""
+    """Schema from a tenth of the documents, chosen by the hash of their key."""
     docs = dc.parse_documents(inputs.mixed_documents(spark, d))
-    return dc.infer_schema(docs, sample=0.1, seed=7).select("field", "column_name", "target_type")
+    return dc.infer_schema(docs, profile="mysql", sample=0.1, sample_by="event_id").select(
+        "field", "column_name", "target_type", "present")
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
@@ -127,3 +131,31 @@ def naming_collisions(spark, d):
 WHERE object_type = 'VIEW'""")
 def definition_store(spark, d):
     return store(inputs.definitions(spark, d))
+
+
+@query("""SELECT 't' AS field, 'TIMESTAMPTZ' AS target_type, count(*) AS present, count(*) FILTER (event_id % 3 <> 0) AS lost FROM events
+UNION ALL SELECT 'w', 'JSONB', count(*), 0 FROM events""")
+def audit_mixed_instants(spark, d):
+    """Instants among numbers and booleans, which are no instants; wrappers among objects with more fields."""
+    docs = stage(dc.parse_documents(inputs.instant_documents(spark, d)).select("doc"), "instants")
+    return dc.audit_projection(docs, dc.infer_schema(docs))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN ts END AS t, CASE WHEN event_id % 2 = 0 THEN '{"$numberLong":"' || event_id || '"}'
+ELSE '{"$numberLong":"' || event_id || '","x":1}' END AS w FROM events""")
+def project_mixed_instants(spark, d):
+    docs = stage(dc.parse_documents(inputs.instant_documents(spark, d)).select("event_id", "doc"), "instants")
+    rows = dc.project_documents(docs, dc.infer_schema(docs), keep=["event_id"])
+    return rows.withColumn("t", F.col("t").cast("timestamp_ntz"))
+
+
+@query(f"""SELECT p_partkey, '{'.'.join(f'l{i}' for i in range(1, 31))}' AS path, '' || p_partkey AS v FROM part
+UNION ALL SELECT p_partkey, 'l1.s', '"' || p_brand || '"' FROM part""")
+def flatten_deep_documents(spark, d):
+    """Documents of thirty levels: the depth is taken from the data."""
+    opened = "".join('{"l%d":' % i for i in range(1, 31))
+    text = F.concat(F.lit(opened), F.col("p_partkey"), F.lit("}" * 29), F.lit(',"s":"'), F.col("p_brand"), F.lit('"}}'))
+    lines = table(spark, d, "part").select("p_partkey", F.replace(text, F.lit("}" * 29 + ","), F.lit("}" * 28 + ",")).alias("value"))
+    docs = stage(dc.parse_documents(lines).select("p_partkey", "doc"), "deep")
+    leaves = dc.flatten_documents(docs, keep=["p_partkey"])
+    return leaves.select("p_partkey", F.array_join("steps", ".").alias("path"), F.to_json("value").alias("v"))

@@ -183,6 +183,16 @@ def mixed_documents(spark, d):
         "event_id", F.concat(F.lit('{"_id":'), e, v, n, w, F.lit("}")).alias("value"))
 
 
+def instant_documents(spark, d):
+    """Events with a field t that is an instant, a number or a boolean, and a field w that is a wrapper or a wider object."""
+    e = F.col("event_id")
+    t = F.when(e % 3 == 0, F.concat(F.lit('{"$date":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), F.lit('"}'))).when(
+        e % 3 == 1, e.cast("string")).otherwise("true")
+    w = F.concat(F.lit('{"$numberLong":"'), e, F.lit('"'), F.when(e % 2 == 0, "").otherwise(',"x":1'), F.lit("}"))
+    return spread(table(spark, d, "events").select("event_id", "ts")).select(
+        "event_id", F.concat(F.lit('{"t":'), t, F.lit(',"w":'), w, F.lit("}")).alias("value"))
+
+
 def order_documents(spark, d):
     """Orders as nested Extended JSON with an array of up to four items, all derived from the order's row."""
     k = F.col("o_orderkey")

@@ -44,6 +44,25 @@ def migrate_documents(spark, d):
     return _recon(mg.migrate_documents(spark, {"orders": docs, "broken": cut, "_hidden": docs}, new_path(spark, "rows")))
 
 
+@query("SELECT 'customer' AS table_name, count(*) AS source_rows, count(*) AS target_rows, 'PASS' AS status FROM customer")
+def migrate_append(spark, d):
+    """A second run that appends is reconciled by what it added."""
+    tables, path = {"customer": _tables(spark, d)["customer"]}, new_path(spark, "appended")
+    mg.migrate_tables(spark, tables, path, "mysql", mode="append")
+    return _recon(mg.migrate_tables(spark, tables, path, "mysql", mode="append"))
+
+
+@query("""SELECT 'orders' AS table_name, count(*) FILTER (o_orderkey % 9 <> 0) AS source_rows,
+count(*) FILTER (o_orderkey % 9 <> 0) AS target_rows, 'PASS' AS status, count(*) FILTER (o_orderkey % 9 = 0) AS rejected FROM orders""")
+def migrate_partly_malformed(spark, d):
+    """Every ninth document is cut off: those are kept aside, the others loaded."""
+    docs, path = inputs.order_documents(spark, d), new_path(spark, "partly")
+    cut = docs.select(F.when(F.col("o_orderkey") % 9 == 0, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")).alias("value"))
+    done = mg.migrate_documents(spark, {"orders": cut}, path)
+    kept_aside = spark.read.text(f"{path}/_rejected/orders").agg(F.count(F.lit(1)).alias("rejected"))
+    return _recon(done).withColumn("rejected", F.lit(kept_aside.first()[0]))
+
+
 @query("""SELECT 'customer.c_name too long' AS finding, count(*) FILTER (length(c_name) > 10) AS n FROM customer
 UNION ALL SELECT 'pk_customer', 0 FROM (SELECT 1)
 UNION ALL SELECT 'ck_balance', count(*) FILTER (c_acctbal < 0) FROM customer

@@ -43,9 +43,18 @@ def migration_report(spark, d):
         F.array_join(F.transform("tables", lambda t: F.concat(t["table_name"], F.lit(":"), t["status"])), ",").alias("tables"))
 
 
-@query(None)
+_LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+         "l_returnflag", "l_linestatus", "l_shipdate"]
+_TEXT = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')" for c in _LINE)
+
+
+@query(f"""SELECT count(*) AS rows, CAST(sum(CAST(('0x' || left(md5({_TEXT}), 15)) AS BIGINT)) AS DECIMAL(38,0)) AS row_hash_sum,
+{", ".join(f"count(*) FILTER ({c} IS NULL) AS nulls__{c}" for c in _LINE)} FROM (SELECT * REPLACE (
+CASE WHEN l_linenumber = 3 THEN NULL ELSE l_returnflag END AS l_returnflag) FROM lineitem)""")
 def fingerprint(spark, d):
-    return rc.fingerprint(table(spark, d, "lineitem"))
+    """Content of a table whatever its row order, by a hash that both engines have."""
+    lines = table(spark, d, "lineitem").select(_LINE)
+    return rc.fingerprint(lines.withColumn("l_returnflag", F.when(F.col("l_linenumber") != 3, F.col("l_returnflag"))))
 
 
 @query("""SELECT column_name, total_rows, nulls, CAST(exact_sum AS DECIMAL(38,4)) AS exact_sum FROM (

@@ -17,16 +17,21 @@ def read_table(spark, d):
                               (F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp")) & (F.col("l_quantity") > 10))
 
 
-@query("SELECT event_id, user_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+@query("""SELECT event_id, user_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k, ts, ts AS nested_ts,
+CAST(value AS DECIMAL(12,2)) AS amount FROM events""")
 def document_roundtrip(spark, d):
     """Rows written as JSON documents and read back as VARIANT."""
     path = new_path(spark, "events-json")
-    writers.write_documents(table(spark, d, "events").drop("ts"), path)
+    nested = F.array(F.struct("ts", F.col("value").cast("decimal(12,2)").alias("amount")))
+    writers.write_documents(table(spark, d, "events").withColumn("nested", nested), path)
     doc = lambda p, t: F.try_variant_get("doc", p, t)
     return readers.read_documents(spark, path).select(
         doc("$.event_id", "bigint").alias("event_id"), doc("$.user_id", "bigint").alias("user_id"),
         doc("$.event_type", "string").alias("event_type"), doc("$.value", "double").alias("value"),
-        F.get_json_object(doc("$.props", "string"), "$.k").cast("int").alias("k"))
+        F.get_json_object(doc("$.props", "string"), "$.k").cast("int").alias("k"),
+        doc("$.ts['$date']", "timestamp").cast("timestamp_ntz").alias("ts"),
+        doc("$.nested[0].ts['$date']", "timestamp").cast("timestamp_ntz").alias("nested_ts"),
+        doc("$.nested[0].amount['$numberDecimal']", "decimal(12,2)").alias("amount"))
 
 
 @query("SELECT doc_id, nfc_normalize(replace(text, chr(0), '')) AS text, lang, source, n_chars FROM documents")
@@ -54,6 +59,15 @@ def incremental_copy(spark, d):
         F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(12,2)")).cast("decimal(38,2)").alias("total"))
 
 
+@query("SELECT CAST(count(*) AS DOUBLE) AS rows FROM events")
+def incremental_rows(spark, d):
+    """Rows that a copy in several batches reports."""
+    path, events = new_path(spark, "events-batches"), table(spark, d, "events")
+    events.repartition(6).write.parquet(f"{path}/source")
+    done = incremental_load(spark, f"{path}/source", f"{path}/rows", f"{path}/checkpoint", events.schema, files_per_batch=1)
+    return spark.createDataFrame([(float(done["rows"]),)], "rows double")
+
+
 @query("""SELECT event_type, count(*) AS n FROM events WHERE event_type <> 'click' OR event_id % 2 = 0
 GROUP BY event_type""")
 def partition_overwrite(spark, d):

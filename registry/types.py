@@ -191,3 +191,14 @@ def target_names(spark, d):
         tx.target_table(F.col("p_brand"), F.col("p_name")).alias("pg_table"),
         tx.index_identifier(F.col("p_name"), F.repeat("p_type", F.lit(9))).alias("pg_index"),
         tx.index_identifier(F.col("p_name"), F.repeat("p_type", F.lit(12)), "mysql").alias("mysql_index"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 2 THEN NULL ELSE l_orderkey END AS k FROM lineitem""")
+def conform_integer_text(spark, d):
+    """Integers as text: with leading zeros to 25 digits, plain with a sign, and a number of 25 digits that no BIGINT holds."""
+    n = F.col("l_linenumber") % 3
+    text = F.when(n == 0, F.lpad(F.col("l_orderkey").cast("string"), 25, "0")).when(
+        n == 1, F.concat(F.lit(" +"), F.col("l_orderkey"))).otherwise(F.concat(F.lit("1"), F.lpad(F.col("l_orderkey").cast("string"), 24, "0")))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", text.alias("k"))
+    specs = [ColumnSpec("l_orderkey", "bigint"), ColumnSpec("l_linenumber", "int"), ColumnSpec("k", "bigint")]
+    return cf.conform(rows, specs, "pg")

@@ -130,3 +130,22 @@ def test_terms(spark):
     index = layout.build_term_index(df, "id", "t")
     assert sorted(tuple(r) for r in index.collect()) == [(1, "cat"), (1, "dog"), (1, "the"), (2, "cat"), (2, "élan")]
     assert [r["id"] for r in layout.search_terms(index, "id", ["CAT", "the"]).collect()] == [1]
+
+
+@pytest.mark.parametrize("clause,spark_text", [
+    ("([a]>(0))", "(`a`>(0))"), ("(len([n])=(2))", "(length(`n`)=(2))"), ("(isnull([a],(0))>(1))", "(coalesce(`a`,(0))>(1))"),
+    ("[n]=N'[x] len('", "`n`='[x] len('"), ("[n] like '[A-Z]_%'", "`n` RLIKE r'(?s)^[A-Z]..*$'"), ("[n] like 'a%'", "`n` like 'a%'")])
+def test_clauses(clause, spark_text):
+    assert ct.spark_clause(clause) == spark_text
+
+
+def test_unresolved_constraints_are_skipped(spark):
+    t = {"t": spark.createDataFrame([(1, "AB"), (-2, "xb")], "a int, n string")}
+    rules = [ct.Constraint("bad", "CHECK", "t", clause="(isdate([n])=(1))"), ct.Constraint("no", "CHECK", "t", clause="[a]"),
+             ct.Constraint("gone", "PRIMARY KEY", "u", ("a",)), ct.Constraint("col", "NOT NULL", "t", ("z",)),
+             ct.Constraint("ok", "CHECK", "t", clause="[n] like '[A-Z]%'"), ct.Constraint("syntax", "CHECK", "t", clause="((")]
+    out = {r["constraint_name"]: (r["status"], r["violations"], r["reason"]) for r in ct.audit_constraints(t, rules).collect()}
+    assert out.pop("ok") == ("VIOLATED", 1, None)
+    assert {v[:2] for v in out.values()} == {("SKIPPED", None)} and all(v[2] for v in out.values()) and len(out) == 5
+    assert ct.audit_constraints(t, []).count() == 0
+    assert ct.audit_constraints(t, rules[:1]).count() == 1

@@ -126,3 +126,38 @@ def test_flatten_keeps_every_leaf(spark, docs):
     flat = dc.flatten_documents(dc.parse_documents(rows), keep=["i"]).select("i", "steps", F.to_json("value").alias("v"))
     got = sorted((r["i"], tuple(r["steps"]), repr(json.loads(r["v"]))) for r in flat.collect())
     assert got == sorted((i, path, repr(v)) for i, d in enumerate(docs) for path, v in leaves(d))
+
+
+def test_instants_do_not_depend_on_the_zone(spark):
+    rows = spark.sql("""SELECT timestamp'2020-01-01 00:00:00Z' AS t, timestamp_ntz'2020-03-08 02:30:00.5' AS n, date'2020-01-02' AS d,
+        array(struct(timestamp'2020-07-01 12:00:00.25Z' AS at, 1.50BD AS m)) AS a, map('k', X'6869') AS b, double('NaN') AS x, 1.5D AS y""")
+    want = None
+    for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            text = dc.rows_to_documents(rows).first()["doc"]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        want = want or text
+        assert text == want
+    doc = json.loads(want)
+    assert doc["t"] == {"$date": "2020-01-01T00:00:00.000000Z"} and doc["n"] == {"$date": "2020-03-08T02:30:00.500000Z"}
+    assert doc["d"] == {"$date": "2020-01-02T00:00:00.000000Z"} and doc["x"] == {"$numberDouble": "NaN"} and doc["y"] == 1.5
+    assert doc["a"] == [{"at": {"$date": "2020-07-01T12:00:00.250000Z"}, "m": {"$numberDecimal": "1.50"}}]
+    assert doc["b"] == {"k": {"$binary": {"base64": "aGk=", "subType": "00"}}}
+
+
+def test_wrapper_with_other_fields_is_an_object(spark):
+    docs = documents(spark, ['{"a":{"$numberLong":"5","x":1}}', '{"a":"t"}', '{"a":{"$numberLong":"7"}}'])
+    rows = dc.project_documents(docs, dc.infer_schema(docs))
+    assert sorted(r[0] for r in rows.collect()) == ["7", "t", '{"$numberLong":"5","x":1}']
+
+
+@pytest.mark.parametrize("text,depth", [('{"a":1}', 1), ('{"a":{"b":[{"c":1}]}}', 4), ("{}", 1), ('{"OBJECT<`x>":{"y":1}}', 2)])
+def test_depth(spark, text, depth):
+    assert dc.document_depth(documents(spark, [text])) == depth
+
+
+def test_nothing_to_audit(spark):
+    docs = documents(spark, ["{}"])
+    assert dc.audit_projection(docs, []).count() == 0

@@ -109,3 +109,12 @@ def test_top_per_group_limits_before_the_shuffle(spark):
     assert top.where("g = 0").count() == 2
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_fingerprint_takes_every_type(spark):
+    rows = spark.sql("""SELECT map('b', 1, 'a', 2) AS m, struct(map('x', array(1)) AS n) AS s, parse_json('{"q":1}') AS v, X'00' AS b,
+        CAST(NULL AS array<int>) AS a""")
+    turned = spark.sql("""SELECT map('a', 2, 'b', 1) AS m, struct(map('x', array(1)) AS n) AS s, parse_json('{"q":1}') AS v, X'00' AS b,
+        CAST(NULL AS array<int>) AS a""")
+    assert rc.fingerprint(rows).first() == rc.fingerprint(turned).first()
+    assert rc.fingerprint(rows.drop("v")).first()[1] != rc.fingerprint(rows).first()[1]

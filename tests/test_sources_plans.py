@@ -151,3 +151,11 @@ def test_audit_moves_nothing(spark, shop):
     audit = mg.audit_source({"shop": (shop, SPECS)}, "pg", [Constraint("pk", "PRIMARY KEY", "shop", ("Id",))], views)
     assert {r["column_name"]: r["too_long"] for r in audit.conformance.collect()}["name"] == 1
     assert audit.constraints.first()["status"] == "VALID" and audit.gate.first()["gate"] == "FAIL"
+
+
+def test_every_batch_is_counted(spark, tmp_path):
+    """Progress reports keep the last hundred batches only."""
+    source = str(tmp_path / "in")
+    spark.range(0, 260, numPartitions=130).write.parquet(source)
+    done = incremental_load(spark, source, str(tmp_path / "out"), str(tmp_path / "check"), spark.range(1).schema, files_per_batch=1)
+    assert done["rows"] == 260 and read_incremental(spark, str(tmp_path / "out")).count() == 260
