@@ -62,6 +62,13 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col(rank) <= n)
 
 
+def outer_top_per_group(parents: DataFrame, key: str, children: DataFrame, child_key: str, order: Sequence[Column], n: int,
+                        rank: str = "rn") -> DataFrame:
+    """Every parent with its first ``n`` children, or with NULLs when it has none (what OUTER APPLY … TOP n does)."""
+    first = top_per_group(children, [child_key], order, n, rank)
+    return parents.join(first, parents[key] == first[child_key], "left")
+
+
 def pivot_sum(df: DataFrame, rows: Sequence[str], column: str, values: Sequence[str], amount: Column) -> DataFrame:
     """PIVOT with a fixed value list, so no extra pass looks for the values."""
     return df.groupBy(*rows).pivot(column, list(values)).agg(amount)
@@ -78,9 +85,30 @@ def concat_per_group(df: DataFrame, group: Sequence[str], value: str, alias: str
 
 
 def date_arithmetic(df: DataFrame, ts: str, days: int, until: Column) -> DataFrame:
-    """Forms of DATEADD, DATEDIFF, CONVERT and ISNULL."""
+    """Forms of DATEADD, DATEDIFF and CONVERT to a date."""
     return df.withColumns({
         "added": F.timestamp_add("DAY", F.lit(days), F.col(ts)),
         "days_between": F.timestamp_diff("DAY", F.col(ts), until),
         "as_date": F.col(ts).cast("date"),
     })
+
+
+# Date styles of CONVERT as patterns.
+CONVERT_STYLES = {101: "MM/dd/yyyy", 103: "dd/MM/yyyy", 104: "dd.MM.yyyy", 112: "yyyyMMdd", 120: "yyyy-MM-dd HH:mm:ss"}
+
+
+def is_null(value: Column, instead: Column) -> Column:
+    """ISNULL(value, instead)."""
+    return F.coalesce(value, instead)
+
+
+def convert(value: Column, target: str, style: int | None = None) -> Column:
+    """CONVERT(target, value, style): an instant as text in a style, or a cast that gives NULL where it fails."""
+    if style is not None:
+        return F.date_format(value, CONVERT_STYLES[style])
+    return value.try_cast(target)
+
+
+def before_now(ts: Column) -> Column:
+    """Whether an instant lies before GETDATE()."""
+    return ts < F.current_timestamp()

@@ -94,11 +94,17 @@ def check_clauses(checks: DataFrame, constraints: DataFrame) -> DataFrame:
 
 
 def table_indexes(indexes: DataFrame, index_columns: DataFrame) -> DataFrame:
-    """Secondary indexes with key columns in order, comma separated. INCLUDE columns are not part of the key."""
+    """Secondary indexes with key columns in order, comma separated. INCLUDE columns are not part of the key.
+
+    ``is_unique_constraint`` marks indexes that a UNIQUE constraint brings along, so they are not created twice; a
+    dictionary without that column marks none.
+    """
+    backing = F.col("is_unique_constraint") == 1 if "is_unique_constraint" in indexes.columns else F.lit(False)
     chosen = indexes.where((F.col("is_primary_key") == 0) & F.col("index_name").isNotNull()).select(
-        *_TABLE, "index_name", "is_unique")
+        *_TABLE, "index_name", "is_unique", F.coalesce(backing, F.lit(False)).alias("is_unique_constraint"))
     parts = index_columns.where(F.col("key_ordinal") > 0).select(*_TABLE, "index_name", "column_name", "key_ordinal")
-    return chosen.join(parts, [*_TABLE, "index_name"]).groupBy(*_TABLE, "index_name", "is_unique").agg(
+    return chosen.join(parts, [*_TABLE, "index_name"]).groupBy(
+        *_TABLE, "index_name", "is_unique", "is_unique_constraint").agg(
         F.array_join(ordered_list(F.col("key_ordinal"), F.lower("column_name")), ",").alias("columns"),
     ).withColumns({"index_name": F.lower("index_name"), "is_unique": F.col("is_unique") == 1})
 

@@ -9,11 +9,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sql_types import ColumnSpec
+from ..operators.catalog import build_manifest
 from ..operators.conform import audit_conformance, conform
 from ..operators.constraints import Constraint, audit_constraints
 from ..operators.definitions import compatibility_gate, scan_definitions
@@ -131,12 +133,20 @@ class Audit:
     constraints: DataFrame | None
     findings: DataFrame | None
     gate: DataFrame | None
+    manifest: DataFrame | None = None
+    report: DataFrame | None = None
 
 
 def audit_source(tables: Mapping[str, tuple[DataFrame, Iterable[ColumnSpec]]], profile: str = "pg",
-                 constraints: Iterable[Constraint] = (), definitions: DataFrame | None = None) -> Audit:
+                 constraints: Iterable[Constraint] = (), definitions: DataFrame | None = None,
+                 dictionary: Mapping[str, DataFrame] | None = None) -> Audit:
     """What a migration would meet, without moving data: values that do not fit, broken constraints, constructs
-    to rewrite. All results are lazy."""
+    to rewrite. All results are lazy.
+
+    ``dictionary``: the arguments of ``build_manifest`` (``tables``, ``columns``, ``primary``, …); with it the audit has
+    the manifest of the whole source. ``report`` is one row: what each part found, and PASS when nothing stands in the
+    way.
+    """
     parts = [audit_conformance(df, specs, profile).select(F.lit(name).alias("table_name"), "*")
              for name, (df, specs) in tables.items()]
     conformance = None
@@ -145,4 +155,34 @@ def audit_source(tables: Mapping[str, tuple[DataFrame, Iterable[ColumnSpec]]], p
     constraints = list(constraints)
     broken = audit_constraints({n: df for n, (df, _) in tables.items()}, constraints) if constraints else None
     findings = scan_definitions(definitions, profile) if definitions is not None else None
-    return Audit(conformance, broken, findings, compatibility_gate(findings) if findings is not None else None)
+    gate = compatibility_gate(findings) if findings is not None else None
+    manifest = build_manifest(**dictionary) if dictionary else None
+    return Audit(conformance, broken, findings, gate, manifest, _audit_report(conformance, broken, gate, manifest))
+
+
+def _audit_report(conformance: DataFrame | None, broken: DataFrame | None, gate: DataFrame | None,
+                  manifest: DataFrame | None) -> DataFrame | None:
+    """One row from the parts that there are, each of them one aggregate row."""
+    parts = []
+    if manifest is not None:
+        parts.append(manifest.agg(F.count(F.lit(1)).alias("tables"), F.sum(F.size("columns")).alias("columns")))
+    if conformance is not None:
+        parts.append(conformance.agg(
+            F.sum("failed").alias("failed_values"), F.sum("out_of_range").alias("values_out_of_range"),
+            F.sum("too_long").alias("values_too_long")))
+    if broken is not None:
+        parts.append(broken.agg(
+            F.count_if(F.col("status") == "VALID").alias("valid_constraints"),
+            F.count_if(F.col("status") == "SKIPPED").alias("skipped_constraints"),
+            F.count_if(~F.col("status").isin("VALID", "SKIPPED")).alias("broken_constraints")))
+    if gate is not None:
+        parts.append(gate.select("gate", "blockers", "warnings", "info"))
+    if not parts:
+        return None
+    out = parts[0].withColumn("__one", F.lit(1))
+    for p in parts[1:]:
+        out = out.join(p.withColumn("__one", F.lit(1)), "__one")
+    bad = [F.col(c) > 0 for c in ("failed_values", "values_out_of_range", "values_too_long", "broken_constraints", "blockers")
+           if c in out.columns]
+    failed = reduce(lambda a, b: a | b, bad) if bad else F.lit(False)
+    return out.drop("__one").withColumn("overall", F.when(failed, "FAIL").otherwise("PASS"))

@@ -77,3 +77,26 @@ def date_arithmetic(spark, d):
 def concat_per_group(spark, d):
     """The five event types are the bound on each group's list."""
     return an.concat_per_group(table(spark, d, "events"), ["user_id"], "event_type")
+
+
+@query("""SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 4 = 0 THEN o_orderstatus END, '?') AS filled,
+strftime(o_orderdate, '%d.%m.%Y') AS german, strftime(o_orderdate, '%Y%m%d') AS compact, TRY_CAST(CASE WHEN o_orderkey % 3 = 0
+THEN 'x' ELSE '' || o_orderkey END AS INTEGER) AS number, true AS past FROM orders""")
+def scalar_forms(spark, d):
+    """ISNULL, CONVERT to text and to a number, and a comparison with GETDATE."""
+    k, when = F.col("o_orderkey"), F.col("o_orderdate")
+    return table(spark, d, "orders").select(
+        k, an.is_null(F.when(k % 4 == 0, F.col("o_orderstatus")), F.lit("?")).alias("filled"),
+        an.convert(when, "string", 104).alias("german"), an.convert(when, "string", 112).alias("compact"),
+        an.convert(F.when(k % 3 == 0, "x").otherwise(k.cast("string")), "int").alias("number"), an.before_now(when).alias("past"))
+
+
+@query("""SELECT o_orderkey, l_linenumber, l_quantity, rn FROM orders LEFT JOIN (SELECT l_orderkey, l_linenumber, l_quantity,
+CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_linenumber, l_partkey, l_suppkey) AS INTEGER) AS rn FROM lineitem
+WHERE l_quantity > 30) ON l_orderkey = o_orderkey AND rn <= 2""")
+def outer_top_items(spark, d):
+    """OUTER APPLY: orders without a large item stay."""
+    items = table(spark, d, "lineitem").where("l_quantity > 30")
+    out = an.outer_top_per_group(table(spark, d, "orders"), "o_orderkey", items, "l_orderkey", [
+        F.desc("l_quantity"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")], 2)
+    return out.select("o_orderkey", "l_linenumber", "l_quantity", "rn")

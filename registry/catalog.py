@@ -57,7 +57,7 @@ def dictionary_checks(spark, d):
 
 
 @query("""SELECT upper(p_brand) AS table_schema, 'T' || p_partkey AS table_name, 'ix_t' || p_partkey AS index_name,
-p_partkey % 2 = 1 AS is_unique, 'col2,col1' AS columns FROM part WHERE p_partkey % 4 <> 0 AND p_partkey % 11 <> 0""")
+p_partkey % 2 = 1 AS is_unique, p_partkey % 6 = 1 AS is_unique_constraint, 'col2,col1' AS columns FROM part WHERE p_partkey % 4 <> 0 AND p_partkey % 11 <> 0""")
 def dictionary_indexes(spark, d):
     return c.table_indexes(inputs.dict_indexes(spark, d), inputs.dict_index_columns(spark, d))
 

@@ -136,7 +136,8 @@ def dict_indexes(spark, d):
     return table(spark, d, "part").select(
         F.upper("p_brand").alias("table_schema"), F.concat(F.lit("T"), p).alias("table_name"),
         F.when(p % 11 != 0, F.concat(F.lit("IX_T"), p)).alias("index_name"), (p % 2).cast("int").alias("is_unique"),
-        F.when(p % 4 == 0, 1).otherwise(0).alias("is_primary_key"))
+        F.when(p % 4 == 0, 1).otherwise(0).alias("is_primary_key"),
+        F.when(p % 6 == 1, 1).otherwise(0).alias("is_unique_constraint"))
 
 
 def dict_index_columns(spark, d):

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ferrycraft.functions.sql_types import ColumnSpec
+from ferrycraft.operators import catalog
 from ferrycraft.operators.constraints import Constraint
 from ferrycraft.plans import migrations as mg
 from ferrycraft.session import new_path
@@ -79,3 +80,19 @@ def audit_source(spark, d):
     broken = audit.constraints.select(F.col("constraint_name").alias("finding"), F.col("violations").alias("n"))
     gate = audit.gate.select(F.lit("blockers").alias("finding"), F.col("blockers").alias("n"))
     return long.unionByName(broken).unionByName(gate)
+
+
+@query("""SELECT (SELECT count(*) FROM part WHERE p_size % 5 <> 0) AS tables, count(*) FILTER (length(c_name) > 10) AS values_too_long,
+0::BIGINT AS failed_values, 1::BIGINT AS valid_constraints, 1::BIGINT AS skipped_constraints,
+CASE WHEN count(*) FILTER (c_acctbal < 0) > 0 THEN 1 ELSE 0 END::BIGINT AS broken_constraints, 'FAIL' AS gate, 'FAIL' AS overall FROM customer""")
+def audit_report(spark, d):
+    """The whole audit in one row: dictionary, values, constraints and definitions."""
+    rules = [Constraint("pk_customer", "PRIMARY KEY", "customer", ("c_custkey",)),
+             Constraint("ck_balance", "CHECK", "customer", clause="([c_acctbal]>=(0))"),
+             Constraint("ck_odd", "CHECK", "customer", clause="(isdate([c_name])=(1))")]
+    dictionary = {"tables": catalog.base_tables(inputs.dict_tables(spark, d)), "columns": catalog.table_columns(inputs.dict_columns(spark, d)),
+                  "primary": catalog.key_columns(inputs.dict_constraints(spark, d), inputs.dict_key_usage(spark, d)),
+                  "indexes": catalog.table_indexes(inputs.dict_indexes(spark, d), inputs.dict_index_columns(spark, d))}
+    audit = mg.audit_source({"customer": _tables(spark, d)["customer"]}, "pg", rules, inputs.definitions(spark, d), dictionary)
+    return audit.report.select("tables", "values_too_long", "failed_values", "valid_constraints", "skipped_constraints",
+                               "broken_constraints", "gate", "overall")

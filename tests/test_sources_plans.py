@@ -12,7 +12,7 @@ from ferrycraft.functions.sql_types import ColumnSpec
 from ferrycraft.operators.constraints import Constraint
 from ferrycraft.operators.reconcile import diff_tables
 from ferrycraft.plans import migrations as mg
-from ferrycraft.session import shared_dir, spread, stage
+from ferrycraft.session import scratch, shared_dir, spread, stage
 from ferrycraft.sources import readers, writers
 from ferrycraft.streaming.incremental import incremental_load, read_incremental
 
@@ -159,3 +159,13 @@ def test_every_batch_is_counted(spark, tmp_path):
     spark.range(0, 260, numPartitions=130).write.parquet(source)
     done = incremental_load(spark, source, str(tmp_path / "out"), str(tmp_path / "check"), spark.range(1).schema, files_per_batch=1)
     assert done["rows"] == 260 and read_incremental(spark, str(tmp_path / "out")).count() == 260
+
+
+def test_scratch_drops_what_was_staged(spark):
+    kept = stage(spark.range(3))
+    with scratch(spark):
+        gone = stage(spark.range(5))
+        assert gone.count() == 5
+        path = gone.inputFiles()[0].removeprefix("file:")
+        assert os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3
