@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 from collections.abc import Iterator
 
@@ -10,9 +11,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Every code point below U+0300 is unchanged by NFC and never composes with what precedes it,
-# so text made only of those needs no normalisation.
-_MAY_CHANGE_UNDER_NFC = r"[^\x{0000}-\x{02FF}]"
+
+def nfc_suspects() -> list[int]:
+    """Code points that text in NFC may lack or hold only in some places (quick check "no" or "maybe").
+
+    Those that NFC changes, combining marks, and the second halves of compositions, the vowels and final
+    consonants of Hangul among them. Text without any of them is in NFC.
+    """
+    second = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    out = set()
+    for point in range(0x110000):
+        char = chr(point)
+        parts = unicodedata.decomposition(char)
+        if parts and parts[0] != "<" and " " in parts:
+            second.add(int(parts.split()[1], 16))
+        if unicodedata.combining(char) or (parts and not unicodedata.is_normalized("NFC", char)):
+            out.add(point)
+    return sorted(out | second)
+
+
+@functools.cache
+def _may_change_under_nfc() -> str:
+    """The suspects as a character class of ranges."""
+    ranges: list[list[int]] = []
+    for point in nfc_suspects():
+        if ranges and point == ranges[-1][1] + 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(rf"\x{{{a:04X}}}-\x{{{b:04X}}}" for a, b in ranges) + "]"
 
 
 @F.pandas_udf(StringType())
@@ -24,11 +51,11 @@ def _nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def normalize_text(text: Column) -> Column:
     """NUL characters removed, then Unicode NFC.
 
-    Spark has no built-in normaliser. The Python function is fed NULL for every row that cannot change, so
-    only the few affected strings cross to Python, in one scan.
+    Spark has no built-in normaliser. The Python function is fed NULL for every row that passes the quick check,
+    whatever its script, so only the few strings that may change cross to Python, in one scan.
     """
     clean = strip_nul(text)
-    return F.coalesce(_nfc(F.when(clean.rlike(_MAY_CHANGE_UNDER_NFC), clean)), clean)
+    return F.coalesce(_nfc(F.when(clean.rlike(_may_change_under_nfc()), clean)), clean)
 
 
 def strip_nul(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 import datetime
 import decimal
+import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +134,26 @@ def test_nothing_below_300_changes_under_nfc():
     import unicodedata
     low = "".join(map(chr, range(0x300)))
     assert unicodedata.normalize("NFC", low) == low
+
+
+def test_quick_check_of_nfc():
+    """Over all code points: text of unsuspected ones stays as it is, alone, in pairs with marks, and in any order."""
+    from ferrycraft.functions.text import nfc_suspects
+
+    suspects = set(nfc_suspects())
+    safe = [chr(p) for p in range(0x110000) if p not in suspects and not 0xD800 <= p < 0xE000]
+    assert all(unicodedata.is_normalized("NFC", c) for c in safe)
+    rng = random.Random(1)
+    for _ in range(5):
+        rng.shuffle(safe)
+        assert unicodedata.is_normalized("NFC", "".join(safe))
+    changing = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000 and unicodedata.normalize("NFC", "a" + chr(p)) != "a" + chr(p)]
+    assert set(changing) <= suspects and len(suspects) < 5000
+    assert not {ord(c) for c in "Привет мир 漢字 한국어 नमस्ते العربية"} & suspects - {ord("्")}
+
+
+def test_normalize_every_script(spark):
+    texts = ["Привет", "漢字", "한국어", "e\u0301", "\u1100\u1161\u11a8", "\u212b", "\uf900", "\u0928\u093c", "a\x00b", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", tx.normalize_text(F.col("t")).alias("t"))
+    want = {i: t and unicodedata.normalize("NFC", t.replace("\x00", "")) for i, t in enumerate(texts)}
+    assert {r["i"]: r["t"] for r in rows.collect()} == want
