@@ -78,7 +78,28 @@ def op5_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query()
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query(f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS passage
+    FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+found AS (
+    SELECT doc_id, i, s.n, item FROM (
+        SELECT doc_id, i, l.n, array_to_string(w[i:i + l.n - 1], ' ') AS passage
+        FROM (SELECT DISTINCT n FROM windows) l, docs, unnest(range(1, len(w) - l.n + 2)) AS t(i)) s
+    JOIN windows USING (n, passage)),
+hits AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM found, unnest(range(0, n)) AS t(k) GROUP BY doc_id),
+held AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN held USING (doc_id)
+""")
 def op6_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word benchmark passages in every document."""
     found = fm_decontam.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
