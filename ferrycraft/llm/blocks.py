@@ -60,5 +60,14 @@ def with_columns(block: Block, names: list[str], **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(kept + made, names=names + list(columns))
 
 
+def hashed_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """About ``most`` rows (all, when there are fewer): those whose key's hash is lowest, the same in every run.
+
+    A threshold on the hash, from one count, and no sorting: tasks send the driver nothing but the chosen rows.
+    """
+    share = min(1.0, most / max(1, df.count()))
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int(share * (1 << 40)))
+
+
 def slots(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrycraft.llm.blocks import Block, blocks, texts_of, with_columns
+from ferrycraft.llm.blocks import Block, blocks, hashed_sample, texts_of, with_columns
 
 SYMBOLS = b"#*$%&|<>"
 SPACE = b"\t\n\v\f\r "
-#: Labelled documents that the field is trained on: those with the lowest hash of their key.
+#: Labelled documents, about, that the field is trained on: those with the lowest hash of their key.
 TRAIN_DOCS = 2000
 #: Lines of a training sequence; longer documents give several.
 TRAIN_LINES = 64
@@ -205,14 +205,14 @@ def train(features: np.ndarray, labels: np.ndarray, ends: np.ndarray) -> Field:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
         most: int = TRAIN_DOCS) -> Field | None:
-    """Train on at most ``most`` labelled documents; None when no label meets a document.
+    """Train on about ``most`` labelled documents; None when no label meets a document.
 
     Only these documents' line features reach the driver. Rows with a NULL key or label are left out of training;
     a key with several labels or rows gives several sequences.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(
         F.col(key).alias("of"), F.col(label).cast("int").alias("label"))
-    chosen = known.orderBy(F.xxhash64("of"), "of", "label").limit(most)
+    chosen = hashed_sample(known, "of", most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):

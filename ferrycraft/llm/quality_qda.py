@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrycraft.llm.blocks import Block, blocks, texts_of, with_columns
+from ferrycraft.llm.blocks import Block, blocks, hashed_sample, texts_of, with_columns
 from ferrycraft.session import stage
 
 FOLDS = 5
 #: Share of the scaled identity in each class covariance.
 SHRINKAGE = 0.1
 THRESHOLD = 0.3
-#: Learned rows, those with the lowest hash of their key, that the scale of the scores is fitted on.
+#: Learned rows, about, those with the lowest hash of their key, that the scale of the scores is fitted on.
 CALIBRATION_ROWS = 10000
 
 STATISTICS = ("bytes", "words", "word_bytes", "lines", "capitals", "symbols", "pipes", "shouts", "digits", "other_marks",
@@ -149,7 +149,7 @@ def fit(rows: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
     """Learn from all labelled rows of ``measured`` outside the held-out fold.
 
     Each task sums its rows' moments, Spark adds them up, and a few hundred numbers reach the driver, with the
-    statistics of at most ``CALIBRATION_ROWS`` rows that set the scale of the scores. With
+    statistics of about ``CALIBRATION_ROWS`` rows that set the scale of the scores. With
     fewer than two rows of a class there is no density to learn: the result is then the share of class 1.
     """
     width = len(STATISTICS)
@@ -177,9 +177,8 @@ def fit(rows: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
     if counts.min() < 2:
         return float(counts[1] / counts.sum()) if counts.sum() else 0.5
     model = discriminant(counts, total[:, 1:1 + width], total[:, 1 + width:].reshape(2, width, width), shrinkage)
-    sample = seen.orderBy(F.xxhash64("of"), "of", "class", "statistics").limit(CALIBRATION_ROWS).select(
-        "class", "statistics").collect()
-    return model.calibrated(np.array([r["statistics"] for r in sample]), np.array([r["class"] for r in sample]))
+    sample = sorted(tuple(r) for r in hashed_sample(seen, "of", CALIBRATION_ROWS).select("class", "statistics").collect())
+    return model.calibrated(np.array([own for _, own in sample]), np.array([c for c, _ in sample]))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
