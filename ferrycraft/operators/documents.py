@@ -45,6 +45,14 @@ def document_depth(docs: DataFrame, doc: str = "doc") -> int:
     return docs.agg(F.max(deepest["most"])).first()[0] or 1
 
 
+def level_bound(docs: DataFrame, doc: str = "doc", near: int = 16) -> int:
+    """Levels that are enough to open every document: the most objects in one, or if these are many the depth."""
+    shape = F.schema_of_variant(F.col(doc))
+    objects = (F.length(shape) - F.length(F.replace(shape, F.lit("OBJECT<"), F.lit("")))) / len("OBJECT<")
+    most = docs.agg(F.max(objects.cast("int"))).first()[0] or 1
+    return most if most <= near else document_depth(docs, doc)
+
+
 def flatten_documents(docs: DataFrame, doc: str = "doc", keep: Iterable[str] = (),
                       max_depth: int | None = None) -> DataFrame:
     """One row per leaf: ``keep`` columns, ``steps`` (key path), ``value`` (VARIANT).
@@ -55,7 +63,7 @@ def flatten_documents(docs: DataFrame, doc: str = "doc", keep: Iterable[str] = (
     document fails the job rather than losing fields.
     """
     keep = list(keep)
-    max_depth = max_depth or document_depth(docs, doc)
+    max_depth = max_depth or level_bound(docs, doc)
 
     def entries(fields: str, prefix: str) -> str:
         return (f"transform(map_entries({fields}), e -> struct({prefix}array(e.key)) as steps, e.value as value, "

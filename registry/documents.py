@@ -21,7 +21,7 @@ def _orders(spark, d):
 {'path': 'tags', 'v': '["' || o_orderstatus || '","' || o_orderpriority || '"]'}], recursive := true) FROM orders""")
 def flatten_documents(spark, d):
     """Leaves of the nested order documents as (path, JSON text), but for the numbers with fractions."""
-    leaves = dc.flatten_documents(_orders(spark, d), keep=["o_orderkey"])
+    leaves = dc.flatten_documents(_orders(spark, d), keep=["o_orderkey"], max_depth=4)
     flat = leaves.select("o_orderkey", F.array_join("steps", ".").alias("path"), F.to_json("value").alias("v"))
     return flat.where(~F.col("path").isin("total", "items"))
 
@@ -34,7 +34,7 @@ def _schema(df, profile):
 FROM (VALUES ('_id', 'CHAR(24)'), ('customer.key', 'INTEGER'), ('customer.priority.level', 'TEXT'), ('status', 'TEXT'),
 ('total', 'DOUBLE PRECISION'), ('placed', 'TIMESTAMPTZ'), ('tags', 'JSONB'), ('items', 'JSONB')) v(f, t)""")
 def infer_order_schema(spark, d):
-    return _schema(_orders(spark, d), "pg")
+    return dc.infer_schema(_orders(spark, d), profile="pg", max_depth=4).select("field", "column_name", "target_type", "present")
 
 
 @query("SELECT 'k' AS field, 'k' AS column_name, 'INT' AS target_type, count(*) AS present FROM events")

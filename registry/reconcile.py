@@ -6,6 +6,8 @@ from ferrycraft.operators import reconcile as rc
 from ferrycraft.operators.documents import parse_documents
 from ferrycraft.operators.normalize import document_array, explode_child
 
+from ferrycraft.session import spread
+
 from . import query, table
 from .inputs import order_documents
 
@@ -53,7 +55,7 @@ _TEXT = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} A
 CASE WHEN l_linenumber = 3 THEN NULL ELSE l_returnflag END AS l_returnflag) FROM lineitem)""")
 def fingerprint(spark, d):
     """Content of a table whatever its row order, by a hash that both engines have."""
-    lines = table(spark, d, "lineitem").select(_LINE)
+    lines = spread(table(spark, d, "lineitem").select(_LINE))
     return rc.fingerprint(lines.withColumn("l_returnflag", F.when(F.col("l_linenumber") != 3, F.col("l_returnflag"))))
 
 

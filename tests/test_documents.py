@@ -156,6 +156,8 @@ def test_wrapper_with_other_fields_is_an_object(spark):
 @pytest.mark.parametrize("text,depth", [('{"a":1}', 1), ('{"a":{"b":[{"c":1}]}}', 4), ("{}", 1), ('{"OBJECT<`x>":{"y":1}}', 2)])
 def test_depth(spark, text, depth):
     assert dc.document_depth(documents(spark, [text])) == depth
+    assert dc.level_bound(documents(spark, [text])) >= depth - text.count("[")
+    assert dc.level_bound(documents(spark, [text]), near=0) == depth
 
 
 def test_nothing_to_audit(spark):
