@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 
 
 # All suspects lie above; a class of one range spares most texts the class of hundreds.
-_BEYOND_LATIN = r"[^\x{0000}-\x{02FF}]"
+_BEYOND_LATIN, _LATIN = r"[^\x{0000}-\x{02FF}]", r"[\x{0000}-\x{02FF}]+"
 
 
 _GAP = 16
@@ -62,7 +62,7 @@ def normalize_text(text: Column) -> Column:
     whatever its script, so only the few strings that may change cross to Python, in one scan.
     """
     clean = strip_nul(text)
-    return F.coalesce(_nfc(F.when(clean.rlike(_BEYOND_LATIN) & clean.rlike(_may_change_under_nfc()), clean)), clean)
+    return F.coalesce(_nfc(F.when(clean.rlike(_BEYOND_LATIN) & F.regexp_replace(clean, _LATIN, "").rlike(_may_change_under_nfc()), clean)), clean)
 
 
 def strip_nul(text: Column) -> Column:
