@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import base64
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections import deque
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -30,9 +30,22 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A-Fa-f]{2})+|&#(?:[xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
-WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,}\r?\n)+[A-Za-z0-9+/]+={0,2}")
-#: Bytes that a compressed layer may come to; larger ones are not unwrapped, and counted.
+#: Runs of base64 on lines below each other, of any width, also indented, quoted or as string literals.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:(?:[\"'][\x20\t]*[+,]?)?\\?[\x20\t]*\r?\n[\x20\t>#*|\"']*[A-Za-z0-9+/_-]++)++={0,2}")
+BETWEEN = re.compile(r"(?:[\"'][\x20\t]*[+,]?)?\\?[\x20\t]*\r?\n[\x20\t>#*|\"']*")
+#: How gzip, bz2, xz, zstd and zlib streams begin in base64.
+HEADS = re.compile(r"H4sI|Qlpo|/Td6WFo|KLUv/|eA[E-H]|eF[4-7]|eJ[w-z]|eN[o-r]")
+#: Characters of base64 by which a stream is told from a chance likeness of its head.
+HEAD = 1024
+#: Bytes that a compressed layer is unwrapped by at a time; larger ones are scanned in pieces, and counted.
 LAYER_BYTES = 64 << 20
+#: Bytes that a piece repeats of the one before, for secrets across the cut.
+OVERLAP = 1 << 20
+#: Bytes that a stream is fed and read by.
+STEP = 1 << 16
+ZLIB = type(zlib.decompressobj())
+#: Memory that an xz or zstd window may take; streams that ask for more are refused, and counted.
+WINDOW_BYTES = 256 << 20
 
 Span = tuple[int, int, int]
 
@@ -113,34 +126,66 @@ def _rewritten(layer: Layer, pattern: re.Pattern, decode: Callable[[str], str])
     return Layer("".join(out), pieces)
 
 
-def _unpacked(data: bytes, limit: int) -> bytes | None:
-    """The content of a compressed stream; None when it is none, ValueError when over ``limit`` bytes."""
+def _engine(data: bytes):
+    """A decompressor for the stream that the bytes begin with, if any."""
     if data[:2] == b"\x1f\x8b":
-        engine = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2], "big") % 31 == 0:
-        engine = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        engine = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\0":
-        engine = lzma.LZMADecompressor(memlimit=limit)
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        try:
-            reader = zstandard.ZstdDecompressor(max_window_size=limit).stream_reader(data)
-            out = reader.read(limit + 1)
-        except zstandard.ZstdError:
-            return None
-        if len(out) > limit:
-            raise ValueError("layer too large")
-        return out
-    else:
-        return None
-    try:
-        out = engine.decompress(data, limit + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return None
-    if len(out) > limit:
-        raise ValueError("layer too large")
-    return out
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2], "big") % 31 == 0:
+        return zlib.decompressobj()
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\0":
+        return lzma.LZMADecompressor(memlimit=WINDOW_BYTES)
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor(max_window_size=WINDOW_BYTES).decompressobj()
+    return None
+
+
+def _member(engine, data: bytes) -> Iterator[bytes]:
+    """What one member holds, in bounded steps; returns the bytes behind it."""
+    zstd = not isinstance(engine, (ZLIB, bz2.BZ2Decompressor, lzma.LZMADecompressor))
+    step = 256 if zstd else STEP  # zstd doesn't bound what it returns
+    for low in range(0, len(data), step):
+        part = data[low:low + step]
+        out = engine.decompress(part) if zstd else engine.decompress(part, STEP)
+        yield out
+        while not zstd and not engine.eof and (out if isinstance(engine, ZLIB) else not engine.needs_input):
+            out = engine.decompress(getattr(engine, "unconsumed_tail", b""), STEP)
+            yield out
+        if engine.eof:
+            return engine.unused_data + data[low + step:]
+    return b""
+
+
+def _unpacked(data: bytes, limit: int) -> Iterator[bytes | None]:
+    """The content of a compressed stream, all its members, in pieces of about ``limit`` bytes that overlap.
+
+    None, once each, for coming to more than ``limit`` bytes and for a window over WINDOW_BYTES; nothing for other bytes.
+    """
+    held, fresh, cut, refused = bytearray(), 0, False, False
+    while (engine := _engine(data)) is not None:
+        member = _member(engine, data)
+        data = b""
+        while True:
+            try:
+                out = next(member)
+            except StopIteration as end:  # further members, perhaps behind padding
+                data = end.value if _engine(end.value) is not None else end.value.lstrip(b"\0")
+                break
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, zstandard.ZstdError) as error:
+                refused |= "memory" in str(error).lower()
+                break
+            for low in range(0, len(out), limit):
+                if fresh and len(held) + len(out) - low > limit:
+                    yield bytes(held)
+                    del held[:-min(OVERLAP, limit // 2)]
+                    fresh, cut = 0, True
+                held += out[low:low + limit]
+                fresh += len(out[low:low + limit])
+    if fresh:
+        yield bytes(held)
+    if cut or refused:
+        yield None
 
 
 def _readable(data: bytes) -> str | None:
@@ -153,70 +198,117 @@ def _readable(data: bytes) -> str | None:
 
 
 def _content(data: bytes, limit: int) -> str | None:
-    inner = _unpacked(data, limit)
-    return _text(inner) if inner else _readable(data)
+    """The text of bytes that are no stream, when they are readable or a rule or a decoder hits in them."""
+    text = _readable(data)
+    if text is None:
+        text = _text(data)
+        if not (BASE64.search(text) or PERCENT.search(text) or ESCAPE.search(text) or WRAPPED.search(text)
+                or next(base_spans(text), None)):
+            return None
+    return text
+
 
+def _decoded(body: str) -> bytes:
+    body = body[:len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
 
-def _blobs(text: str) -> Iterator[tuple[int, int, bytes]]:
+
+def _bodies(text: str) -> Iterator[tuple[int, int, str]]:
     """Stretches that may be base64: both alphabets, with or without padding, on one line or wrapped."""
     for m in WRAPPED.finditer(text):
-        body = re.sub("[\r\n]", "", m[0]).rstrip("=")
-        if len(body) % 4 != 1:
-            yield m.start(), m.end(), base64.b64decode(body + "=" * (-len(body) % 4))
+        body = BETWEEN.sub("", m[0]).rstrip("=").replace("-", "+").replace("_", "/")
+        if len(body) >= 12:
+            yield m.start(), m.end(), body
     for m in BASE64.finditer(text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 != 1:
-            yield m.start(), m.end(), base64.b64decode(body + "=" * (-len(body) % 4))
+        yield m.start(), m.end(), m[0].rstrip("=").replace("-", "+").replace("_", "/")
+
+
+def _from_base64(body: str, limit: int) -> Iterator[str | None]:
+    """What a stretch of base64 holds: streams from wherever one begins, else its text at the four alignments."""
+    whole = False
+    for m in HEADS.finditer(body):
+        head, at = _decoded(body[m.start():m.start() + HEAD]), m.start()
+        if len(body) - at > HEAD and not _begins(head):
+            continue
+        for piece in _unpacked(_decoded(body[at:]), limit):
+            whole |= at == 0 and piece is not None
+            yield None if piece is None else _text(piece)
+    if not whole:
+        for shift in range(4):
+            text = _content(_decoded(body[shift:]), limit)
+            if text:
+                yield text
+
+
+def _begins(head: bytes) -> bool:
+    """Whether the first bytes of a stream raise no error, though nothing may come out yet."""
+    try:
+        for _ in _member(_engine(head), head):
+            pass
+    except (zlib.error, OSError, lzma.LZMAError, EOFError, zstandard.ZstdError) as error:
+        return "memory" in str(error).lower()
+    return True
+
+
+def _below(layer: Layer) -> Callable[..., Iterator[Layer | None]]:
+    def made(start: int, end: int, texts: Iterator[str | None]) -> Iterator[Layer | None]:
+        place = layer.origin(start, end)
+        for text in texts:
+            if text is None:
+                yield None
+            elif text:
+                yield Layer(text, [(0, *place, False)])
+    return made
+
+
+def _streams(data: bytes, limit: int) -> Iterator[str | None]:
+    return (None if piece is None else _text(piece) for piece in _unpacked(data, limit))
+
+
+def _layers_of(layer: Layer, limit: int) -> Iterator[Layer | None]:
+    """The layers right below one, made as they are asked for."""
+    below = _below(layer)
+    if "%" in layer.text:
+        yield from filter(None, [_rewritten(layer, PERCENT, lambda run: _text(bytes.fromhex(run.replace("%", ""))))])
+        for m in PERCENT.finditer(layer.text):  # bytes of a compressed stream
+            yield from below(m.start(), m.end(), _streams(bytes.fromhex(m[0].replace("%", "")), limit))
+    if "\\" in layer.text or "&#" in layer.text:
+        yield from filter(None, [_rewritten(layer, ESCAPE, _escaped)])
+        for m in ESCAPE.finditer(layer.text):
+            if m[0].startswith("\\x"):
+                data = bytes(int(m[0][i:i + 2], 16) for i in range(2, len(m[0]), 4))
+                yield from below(m.start(), m.end(), _streams(data, limit))
+    for start, end, body in _bodies(layer.text):
+        yield from below(start, end, _from_base64(body, limit))
 
 
 def layers(text: str, limit: int = LAYER_BYTES) -> Iterator[Layer | None]:
-    """Every layer below the text, breadth first; None for one that is too large to unwrap.
+    """Every layer below the text, depth first, so that few are held at once; None for a stream cut or refused.
 
     A layer that was seen at the same place is not taken up again, so streams that unwrap to themselves end.
     """
-    if "%" not in text and "\\" not in text and "&#" not in text and not BASE64.search(text):
+    if "%" not in text and "\\" not in text and "&#" not in text and not BASE64.search(text) and not WRAPPED.search(text):
         return
-    todo, seen = deque([Layer(text, [(0, 0, len(text), True)])]), {(0, len(text), text)}
+    seen = {(0, len(text), _mark(text))}
+    todo = [_layers_of(Layer(text, [(0, 0, len(text), True)]), limit)]
     while todo:
-        layer = todo.popleft()
-        found = []
-        if "%" in layer.text:
-            found.append(_rewritten(layer, PERCENT, lambda run: _text(bytes.fromhex(run.replace("%", "")))))
-            for m in PERCENT.finditer(layer.text):  # bytes of a compressed stream
-                data = bytes.fromhex(m[0].replace("%", ""))
-                found.append(_below(layer, m.start(), m.end(), data, limit, packed=True))
-        if "\\" in layer.text or "&#" in layer.text:
-            found.append(_rewritten(layer, ESCAPE, _escaped))
-            for m in ESCAPE.finditer(layer.text):
-                if m[0].startswith("\\x"):
-                    data = bytes(int(m[0][i:i + 2], 16) for i in range(2, len(m[0]), 4))
-                    found.append(_below(layer, m.start(), m.end(), data, limit, packed=True))
-        found.extend(_below(layer, start, end, data, limit) for start, end, data in _blobs(layer.text))
-        for below in found:
-            if below is None:
-                continue
-            if isinstance(below, ValueError):
-                yield None
-                continue
-            place = (*below.origin(0, len(below.text)), below.text)
-            if place not in seen:
-                seen.add(place)
-                todo.append(below)
-                yield below
+        below = next(todo[-1], todo)
+        if below is todo:
+            todo.pop()
+        elif below is None:
+            yield None
+        elif (place := (*below.origin(0, len(below.text)), _mark(below.text))) not in seen:
+            seen.add(place)
+            yield below
+            todo.append(_layers_of(below, limit))
 
 
-def _below(layer: Layer, start: int, end: int, data: bytes, limit: int,
-           packed: bool = False) -> Layer | ValueError | None:
-    try:
-        inner = _unpacked(data, limit) if packed else None
-        text = (_text(inner) if inner else None) if packed else _content(data, limit)
-    except ValueError as error:
-        return error
-    return Layer(text, [(0, *layer.origin(start, end), False)]) if text else None
+def _mark(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def scan(text: str, limit: int = LAYER_BYTES) -> tuple[list[Span], list[Span], int]:
-    """Base spans, all spans, both in order, and the number of layers too large to unwrap."""
+    """Base spans, all spans, both in order, and the number of streams scanned in pieces or refused."""
     base = sorted(base_spans(text))
     every, skipped = set(base), 0
     for layer in layers(text, limit):
@@ -234,8 +326,9 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", limit
     ``base`` are secrets in the text itself. ``spans`` adds what decoded layers hold (percent and Unicode escapes,
     base64, compressed streams, nested in any order), mapped to the characters of the text they come from; a layer
     inside base64 or a compressed stream maps to the whole of it. A span that is there already is not added again.
-    ``skipped`` counts streams that come to more than ``limit`` bytes: they are reported, not unwrapped. NULL and
-    empty texts have no spans; repeated rows and NULL keys are kept; further columns are ignored. With ``keep_text``
+    Base64 is read at all four alignments and across lines, streams from wherever they begin in it. ``skipped`` counts
+    streams that come to more than ``limit`` bytes, which are scanned whole but in overlapping pieces, and streams whose
+    window is over WINDOW_BYTES, which are not unwrapped. NULL and empty texts have no spans; repeated rows and NULL keys are kept; further columns are ignored. With ``keep_text``
     the text, NULL as empty, comes second.
     """
     kept_columns = [key, "text"] if keep_text else [key]

@@ -96,3 +96,44 @@ def test_edges(spark):
     assert len(out) == len(TEXTS) + 1 and all(spans == "[]" for _, spans in out)
     assert s.scan_secrets(edge_docs(spark)).count() == len(TEXTS) + 2
     assert s.scan_secrets(empty_docs(spark)).count() == 0
+
+
+PLAIN = "password=hunter2222"
+
+
+def found(text, **options):
+    return [(a, b) for a, b, kind in s.scan(text, **options)[1] if kind == 0]
+
+
+@pytest.mark.parametrize("prefix", ["https://example.com/x/", "key_", "id-", "a/", "ab/", "abc/", "abcd+e_", "data:text/plain;base64,"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_base64_behind_a_prefix(prefix, pack):
+    blob = base64.b64encode(pack(PLAIN.encode())).decode()
+    assert found(f"see {prefix}{blob} there")
+
+
+@pytest.mark.parametrize("width", [4, 10, 11, 20, 47, 76])
+@pytest.mark.parametrize("lead", ["", "    ", "> ", "> > ", '"'])
+@pytest.mark.parametrize("pack", [bytes, zlib.compress, lzma.compress])
+def test_base64_wrapped(width, lead, pack):
+    blob = base64.b64encode(pack(b"x " * 30 + PLAIN.encode())).decode()
+    end = '"' if lead == '"' else ""
+    lines = "\n".join(f"{lead}{blob[i:i + width]}{end}" for i in range(0, len(blob), width))
+    assert found(f"Dear all,\n{lines}\n\nBye.")
+
+
+@pytest.mark.parametrize("data", ["café; password=hunter2222".encode("latin-1"), b"\0password=hunter2222", b"a\fpassword=hunter2222",
+                                  b"\x1b[1mpassword=hunter2222", b"\xff" + base64.b64encode(PLAIN.encode())])
+def test_base64_of_other_bytes(data):
+    assert found("x " + base64.b64encode(data).decode())
+
+
+def test_long_runs_end():
+    import random
+    import time
+    start = time.time()
+    data = random.Random(1).randbytes(1_000_000)
+    s.scan(base64.b64encode(data).decode())
+    s.scan(base64.encodebytes(data).decode())
+    s.scan("word\n" * 200_000)
+    assert time.time() - start < 30
