@@ -137,3 +137,31 @@ def test_long_runs_end():
     s.scan(base64.encodebytes(data).decode())
     s.scan("word\n" * 200_000)
     assert time.time() - start < 30
+
+
+@pytest.mark.parametrize("packs", [(gzip.compress,) * 3, (zlib.compress,) * 2, (bz2.compress,) * 2, (lzma.compress,) * 2, (zstandard.compress,) * 2, (gzip.compress, lzma.compress)])
+def test_every_member(packs):
+    data = b"".join(pack(b"nothing here. " * 9) for pack in packs) + packs[-1](PLAIN.encode())
+    blob = base64.b64encode(data).decode()
+    assert found(f"x {blob} y") and s.scan(blob)[2] == 0
+    assert found("".join(f"%{b:02X}" for b in data))
+
+
+def test_windows():
+    data = b"a " * 50 + PLAIN.encode()
+    assert found(base64.b64encode(lzma.compress(data, preset=9)).decode())
+    wide = lzma.compress(data, filters=[{"id": lzma.FILTER_LZMA2, "dict_size": 1 << 30}])
+    assert s.scan(base64.b64encode(wide).decode())[2] == 1
+    params = zstandard.ZstdCompressionParameters.from_level(3, window_log=30)
+    engine = zstandard.ZstdCompressor(compression_params=params).compressobj()
+    wide = engine.compress(b"abc " * 300_000 + data) + engine.flush()
+    assert s.scan(base64.b64encode(wide).decode())[2] == 1
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+@pytest.mark.parametrize("at", [100, 999_995, 1_499_990, 2_000_000, 4_999_000])
+def test_long_streams_are_scanned_whole(pack, at):
+    data = bytearray(b"ab " * 1_700_000)
+    data[at:at + len(PLAIN) + 2] = f" {PLAIN} ".encode()
+    blob = base64.b64encode(pack(bytes(data))).decode()
+    assert found(blob, limit=1_000_000) and s.scan(blob, limit=1_000_000)[2] == 1
