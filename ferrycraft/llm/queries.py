@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrycraft.llm import fm_decontam, line_quality, piece_codec, pivot_simhash, quality_qda, secret_scan, shard_packing, suffix_dedup, token_blocks, url_lists
+from ferrycraft.llm import (cosine_cells, fm_decontam, line_quality, piece_codec, pivot_simhash, quality_qda, secret_scan,
+                            shard_packing, son_collocations, spelling_variants, suffix_dedup, token_blocks, url_lists)
 from ferrycraft.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,3 +183,62 @@ def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_shard_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forty shards of near equal bytes; equal texts stay together."""
     return shard_packing.pack_shards(table(spark, sf_dir, "documents"), shards=40)
+
+
+@query()
+def op11_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of seven letters or more with their near words, the form each stands for, and the root of forms."""
+    return spelling_variants.spelling_variants(spelling_variants.count_words(table(spark, sf_dir, "documents")))
+
+
+@query("""
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT a AS node, a AS seen FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(low, vec_id) AS component_id, coalesce(low, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON a = vec_id
+LEFT JOIN (SELECT node, min(seen) AS low FROM reach GROUP BY node) ON node = vec_id
+""")
+def op12_cosine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of equal label linked at a cosine of 0.98 or more."""
+    return cosine_cells.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query(r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+    FROM documents),
+f AS (
+    SELECT lang, size, phrase, count(*) AS n FROM (
+        SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+        FROM pieces, unnest([1, 2, 3]) AS s(size), unnest(range(1, len(w) - size + 2)) AS t(i))
+    GROUP BY lang, size, phrase),
+totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS total FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, x.n AS l, y.n AS r,
+        CAST(1000000::HUGEINT * c.a * c.a // (x.n::HUGEINT * y.n) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:size], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+holders AS (
+    SELECT lang, part, max(a) AS most FROM (
+        SELECT lang, a, array_to_string(w[1:2], ' ') AS part FROM candidates WHERE size = 3
+        UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM candidates WHERE size = 3) GROUP BY lang, part)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+    total AS n, score
+FROM best b JOIN totals USING (lang) LEFT JOIN holders h ON h.lang = b.lang AND h.part = b.phrase
+WHERE most IS NULL OR 100 * most < 50 * a
+QUALIFY rank <= 2000
+""")
+def op13_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best two- and three-word phrases of each language."""
+    return son_collocations.collocations(table(spark, sf_dir, "documents"))
