@@ -42,7 +42,7 @@ def check_key(df: DataFrame, keys: Sequence[str], nulls: str = "reject", prefix:
     null is allowed. ``prefix`` compares the first characters of text keys. ``digest`` replaces text keys
     by their SHA-256, so long texts are not shuffled.
     """
-    types = dict(df.dtypes)
+    types, named = dict(df.dtypes), [F.col(f"`{c}`") for c in keys]
 
     def key(c: str) -> Column:
         value = F.col(f"`{c}`")
@@ -55,7 +55,7 @@ def check_key(df: DataFrame, keys: Sequence[str], nulls: str = "reject", prefix:
     has_null = _any_null(keys)
     if nulls == "distinct":
         rows = rows.where(~has_null)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy(*named).agg(F.count(F.lit(1)).alias("n"))
     if nulls == "reject":
         counts = counts.where((F.col("n") > 1) | has_null)
         problem = F.when(has_null, "null").otherwise("duplicate")
@@ -66,7 +66,7 @@ def check_key(df: DataFrame, keys: Sequence[str], nulls: str = "reject", prefix:
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows whose key occurs more than once."""
-    bad = check_key(df, keys, nulls="distinct").select(*keys)
+    bad = check_key(df, keys, nulls="distinct").select(*[F.col(f"`{k}`") for k in keys])
     return df.join(bad, list(keys), "left_semi")
 
 
@@ -82,7 +82,7 @@ def check_foreign_key(child: DataFrame, columns: Sequence[str], parent: DataFram
 def _key_counts(df: DataFrame, columns: Mapping[str, str], alias: str) -> DataFrame:
     """Rows per complete key; ``columns`` maps output names to the frame's columns."""
     keys = df.select(*[F.col(f"`{c}`").alias(k) for k, c in columns.items()])
-    return keys.where(~_any_null(list(columns))).groupBy(*columns).agg(F.count(F.lit(1)).alias(alias))
+    return keys.where(~_any_null(list(columns))).groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias(alias))
 
 
 def unmatched(keys: DataFrame, parents: DataFrame, columns: Iterable[str], marker: str) -> DataFrame:
@@ -92,7 +92,7 @@ def unmatched(keys: DataFrame, parents: DataFrame, columns: Iterable[str], marke
     meet every row of a hot key. The join reuses both groupings' partitioning.
     """
     marked = keys.join(parents, list(columns), "left")
-    return marked.where(F.col(marker).isNull()).select(*keys.columns)
+    return marked.where(F.col(marker).isNull()).select(*[F.col(f"`{c}`") for c in keys.columns])
 
 
 def orphan_rows(child: DataFrame, columns: Sequence[str], parent: DataFrame,
@@ -177,7 +177,7 @@ def check_expression(df: DataFrame, clause: str) -> DataFrame:
 
 def check_domain(df: DataFrame, column: str, allowed: Iterable | DataFrame) -> DataFrame:
     """Values outside the domain and their row counts. A large domain is given as a one-column DataFrame."""
-    values = df.where(F.col(f"`{column}`").isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    values = df.where(F.col(f"`{column}`").isNotNull()).groupBy(F.col(f"`{column}`")).agg(F.count(F.lit(1)).alias("n"))
     if isinstance(allowed, DataFrame):
         return unmatched(values, _key_counts(allowed, {column: allowed.columns[0]}, "__known"), [column], "__known")
     return values.where(~F.col(f"`{column}`").isin(*allowed))
@@ -194,7 +194,8 @@ def apply_delete(child: DataFrame, columns: Sequence[str], deleted: DataFrame, a
     if action == "CASCADE":
         return child.join(gone, list(columns), "left_anti")
     if action in ("RESTRICT", "NO ACTION"):
-        used = child.select(*columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0)
+        named = [F.col(f"`{c}`") for c in columns]
+        used = child.select(*named).groupBy(*named).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0)
         return gone.join(used, list(columns), "left_semi")
     if action in ("SET NULL", "SET DEFAULT"):
         fill = default if action == "SET DEFAULT" else {}

@@ -46,9 +46,9 @@ def document_indexes(indexes: DataFrame) -> DataFrame:
 def build_term_index(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, term)`` of every text, lower case. Repeats are dropped inside the row, without a shuffle; a key of
     several rows may repeat a term."""
-    words = F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}_]+")
+    words = F.split(F.lower(F.col(f"`{text}`")), r"[^\p{L}\p{N}_]+")
     terms = F.filter(F.array_distinct(words), lambda w: w != "")
-    return df.select(F.col(key), F.explode(terms).alias("term"))
+    return df.select(F.col(f"`{key}`"), F.explode(terms).alias("term"))
 
 
 def write_term_index(index: DataFrame, path: str, key: str, partitions: int | None = None,
@@ -60,5 +60,5 @@ def write_term_index(index: DataFrame, path: str, key: str, partitions: int | No
 def search_terms(index: DataFrame, key: str, terms: Iterable[str]) -> DataFrame:
     """Keys whose texts hold all the terms, taken together when a key has several rows."""
     wanted = sorted({t.lower() for t in terms})
-    return (index.where(F.col("term").isin(*wanted)).groupBy(key)
-            .agg(F.count_distinct("term").alias("matched")).where(F.col("matched") == len(wanted)).select(key))
+    return (index.where(F.col("term").isin(*wanted)).groupBy(F.col(f"`{key}`"))
+            .agg(F.count_distinct("term").alias("matched")).where(F.col("matched") == len(wanted)).select(F.col(f"`{key}`")))

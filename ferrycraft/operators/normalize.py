@@ -6,11 +6,12 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..functions.doc_types import variant_path
 from ..session import stage
 from .conform import one_pass
-from .reconcile import diff_tables
+from .reconcile import diff_tables, exact_sum, exact_value
 
 
 def document_array(doc: Column, steps: list[str]) -> Column:
@@ -101,20 +102,23 @@ def to_decimal(df: DataFrame, columns: Iterable[str], precision: int = 12, scale
 
 
 def money_totals(df: DataFrame, columns: Iterable[str], precision: int = 12, scale: int = 2) -> DataFrame:
-    """Per column: rows whose value changes or is lost at DECIMAL(p,s), and both exact sums."""
-    structs = []
+    """Per column: rows whose value changes or is lost at DECIMAL(p,s), and both exact sums as text, each at its scale.
+
+    ``unsummed`` counts values that have no exact decimal of the column's own scale (see ``exact_value``).
+    """
+    types, structs = {f.name: f.dataType for f in df.schema.fields}, []
     for c in columns:
-        exact = F.col(f"`{c}`").try_cast("decimal(28,10)")
-        money = F.col(f"`{c}`").try_cast(f"decimal({precision},{scale})")
+        column, kind = F.col(f"`{c}`"), DecimalType(precision, scale)
+        exact, _ = exact_value(column, types[c])
+        money = column.try_cast(kind)
+        before, unsummed = exact_sum(column, types[c])
         structs.append(F.struct(
             F.lit(c).alias("column_name"),
             F.count_if(money != exact).alias("changed"),
-            F.count_if(F.col(f"`{c}`").isNotNull() & money.isNull()).alias("lost"),
-            F.sum(exact).cast("decimal(38,10)").alias("sum_before"),
-            F.sum(money).cast(f"decimal(38,{scale})").alias("sum_after"),
-        ))
-    return one_pass(df, structs, "column_name string, changed bigint, lost bigint, sum_before decimal(38,10), "
-                    f"sum_after decimal(38,{scale})")
+            F.count_if(column.isNotNull() & money.isNull()).alias("lost"),
+            before.alias("sum_before"), exact_sum(money, kind)[0].alias("sum_after"), unsummed.alias("unsummed")))
+    return one_pass(df, structs, "column_name string, changed bigint, lost bigint, sum_before string, sum_after string, "
+                    "unsummed bigint")
 
 
 def dual_read_diff(documents: DataFrame, key: str, elements: Column, fields: Mapping[str, tuple[list[str], str]],

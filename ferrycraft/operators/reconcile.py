@@ -11,6 +11,9 @@ from pyspark.sql.types import (
     ArrayType,
     BinaryType,
     DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
     MapType,
     NumericType,
     StructType,
@@ -134,20 +137,115 @@ def observed_fingerprint(df: DataFrame, name: str = "fingerprint") -> tuple[Data
     return df.observe(seen, *fingerprint_columns(df)), seen
 
 
-def column_totals(df: DataFrame, scale: int = 4) -> DataFrame:
-    """Per column: rows, nulls, exact sum of numbers at ``scale`` digits, smallest and largest value as text."""
+# Digits of a limb of an exact sum: a sum of limbs stays exact in DECIMAL(38,0) for 10 ** 18 rows.
+_LIMB = 19
+# A number as binary floating point is summed by the decimal that prints it, where that has so many digits at most.
+_FLOAT_TYPE = DecimalType(38, 18)
+
+
+def _limbs(c: Column, t: DecimalType) -> list[Column]:
+    """The whole part above and below 10 ** 19, then the digits after the point in steps of 19, all but the first >= 0."""
+    base = F.lit(str(10 ** _LIMB)).cast("decimal(20,0)")
+    whole = F.floor(c).cast("decimal(38,0)")
+    below = F.pmod(whole, base).cast("decimal(19,0)")
+    out = [((whole - below) / base).cast("decimal(20,0)"), below]
+    if t.scale:
+        # 1.xxx prints without an exponent, so that the digits can be read off
+        one = F.lit(1).cast("decimal(1,0)")
+        digits = F.rpad(F.substring((F.pmod(c, one) + one).cast("string"), 3, t.scale), 2 * _LIMB, "0")
+        out += [F.substring(digits, 1, _LIMB).cast("decimal(19,0)"), F.substring(digits, 1 + _LIMB, _LIMB).cast("decimal(19,0)")]
+    return out
+
+
+def _sum_text(sums: list[Column], scale: int) -> Column:
+    """Sums of limbs as the digits of one number, carried and with its sign, at ``scale`` digits after the point."""
+    base = F.lit(str(10 ** _LIMB)).cast("decimal(20,0)")
+    limbs = F.array(*[F.coalesce(s, F.lit(0)).cast("decimal(38,0)") for s in sums])
+
+    def step(acc: Column, limb: Column) -> Column:
+        limb = limb + acc["carry"]
+        low = F.pmod(limb, base)
+        return F.struct(((limb - low) / base).cast("decimal(38,0)").alias("carry"), F.concat(
+            F.lpad(low.cast("decimal(19,0)").cast("string"), _LIMB, "0"), acc["digits"]).alias("digits"))
+
+    carried = lambda x: F.aggregate(F.reverse(x), F.struct(
+        F.lit(0).cast("decimal(38,0)").alias("carry"), F.lit("").alias("digits")), step)
+    sign = F.when(carried(limbs)["carry"] < 0, -1).otherwise(1)
+    plain = F.transform(F.array(sign), lambda s: F.struct(s.alias("sign"), carried(F.transform(
+        limbs, lambda x: (x * s).cast("decimal(38,0)"))).alias("sum")))[0]
+    digits = F.concat(plain["sum"]["carry"].cast("string"), plain["sum"]["digits"])
+    after = 2 * _LIMB if scale else 0
+    text = F.regexp_replace(F.left(digits, F.length(digits) - after), "^0+(?=.)", "")
+    if scale:
+        text = F.concat(text, F.lit("."), F.substring(F.right(digits, F.lit(after)), 1, scale))
+    return F.concat(F.when(plain["sign"] < 0, "-").otherwise(""), text)
+
+
+def exact_value(c: Column, t: DataType) -> tuple[Column, DecimalType]:
+    """A number as a DECIMAL of its own scale, NULL where none is equal to it.
+
+    Binary floating point takes the decimal that it prints as; NaN, infinities and values that need over 18 digits
+    after the point or 20 before have none, nor have the digits of a DECIMAL beyond the 36th after the point.
+    """
+    if isinstance(t, (FloatType, DoubleType)):
+        own, value = _FLOAT_TYPE, c.cast("string").try_cast(_FLOAT_TYPE)
+        value = F.when(value.cast(t) == c, value)
+    elif isinstance(t, DecimalType):
+        own = DecimalType(38, 36) if t.scale > 36 else t
+        value = c if own is t else F.when(c.try_cast(own) == c, c.try_cast(own))
+    else:
+        own, value = DecimalType(20, 0), c.cast("decimal(20,0)")
+    return value, own
+
+
+def exact_sum(c: Column, t: DataType) -> tuple[Column, Column]:
+    """Aggregates: the exact sum of a number column as text at the column's own scale, and the values left out of it.
+
+    A DECIMAL of any precision is summed whole, without overflow; see ``exact_value`` for what is left out and
+    counted. NULL where there is no value to sum.
+    """
+    value, own = exact_value(c, t)
+    sums = [F.sum(limb) for limb in _limbs(value, own)]
+    return F.when(F.count(value) > 0, _sum_text(sums, own.scale)), F.count_if(c.isNotNull() & value.isNull())
+
+
+def column_totals(df: DataFrame) -> DataFrame:
+    """Per column: rows, nulls, exact sum of numbers as text, values left out of it, estimated distinct values, smallest
+    and largest value as text. Nested columns are counted only.
+
+    The estimate is within two percent or so; it comes from a sketch, see ``distinct_sketches``.
+    """
     structs = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (ArrayType, MapType, StructType)):
-            continue
-        c = F.col(f"`{f.name}`")
-        number = isinstance(f.dataType, NumericType)
-        total = F.sum(c.try_cast(f"decimal(28,{scale})")).cast(f"decimal(38,{scale})") if number else \
-            F.lit(None).cast(f"decimal(38,{scale})")
+        c, t = F.col(f"`{f.name}`"), f.dataType
+        number, flat = isinstance(t, NumericType), not isinstance(t, (ArrayType, MapType, StructType, VariantType))
+        total, lost = exact_sum(c, t) if number else (F.lit(None).cast("string"), F.lit(0).cast("bigint"))
         structs.append(F.struct(
-            F.lit(f.name).alias("column_name"), F.count(F.lit(1)).alias("total_rows"),
-            F.count_if(c.isNull()).alias("nulls"), total.alias("exact_sum")))
-    return one_pass(df, structs, f"column_name string, total_rows bigint, nulls bigint, exact_sum decimal(38,{scale})")
+            F.lit(f.name).alias("column_name"), F.count(F.lit(1)).alias("total_rows"), F.count_if(c.isNull()).alias("nulls"),
+            total.alias("exact_sum"), lost.alias("unsummed"),
+            F.hll_sketch_estimate(F.hll_sketch_agg(value_text(c, t), F.lit(SKETCH_BITS))).alias("distinct_estimate"),
+            (value_text(F.min(c), t) if flat else F.lit(None).cast("string")).alias("smallest"),
+            (value_text(F.max(c), t) if flat else F.lit(None).cast("string")).alias("largest")))
+    return one_pass(df, structs, "column_name string, total_rows bigint, nulls bigint, exact_sum string, unsummed bigint, "
+                    "distinct_estimate bigint, smallest string, largest string")
+
+
+# Sketches of 2 ** 14 registers: a relative error of about one percent, 8 KB at most.
+SKETCH_BITS = 14
+
+
+def distinct_sketches(df: DataFrame) -> DataFrame:
+    """``column_name, rows, sketch``: what to keep of a batch or a partition, so that distinct counts can be merged."""
+    return one_pass(df, [F.struct(
+        F.lit(f.name).alias("column_name"), F.count(F.lit(1)).alias("rows"),
+        F.hll_sketch_agg(value_text(F.col(f"`{f.name}`"), f.dataType), F.lit(SKETCH_BITS)).alias("sketch"))
+        for f in df.schema.fields], "column_name string, rows bigint, sketch binary")
+
+
+def merged_distinct(sketches: DataFrame) -> DataFrame:
+    """``column_name, rows, distinct_estimate`` over all batches whose sketches are given; no batch is read again."""
+    return sketches.groupBy("column_name").agg(
+        F.sum("rows").alias("rows"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_estimate"))
 
 
 def reconcile_arrays(parents: DataFrame, key: str, array: str, children: DataFrame, child_key: str) -> DataFrame:
@@ -171,7 +269,7 @@ def diff_tables(left: DataFrame, right: DataFrame) -> DataFrame:
 
     Equal rows cancel as +1 and -1 in one grouping over whole rows (nulls equal), combined on the map side.
     """
-    columns = left.columns
+    columns = [F.col(f"`{c}`") for c in left.columns]
     signed = left.withColumn("__sign", F.lit(1)).unionByName(right.select(*columns).withColumn("__sign", F.lit(-1)))
     net = signed.groupBy(*columns).agg(F.sum("__sign").alias("__net")).where(F.col("__net") != 0)
     return net.select(*columns, F.greatest("__net", F.lit(0)).alias("left_extra"),
@@ -182,13 +280,14 @@ def diff_by_key(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> DataF
     """Keys missing on a side or with changed columns: ``keys``, ``change``, ``changed_columns``."""
     keys = list(keys)
     values = [c for c in left.columns if c not in keys]
-    tag = lambda df, side: df.select(*keys, F.struct(*values).alias(side))
+    quoted = lambda names: [F.col(f"`{c}`") for c in names]
+    tag = lambda df, side: df.select(*quoted(keys), F.struct(*quoted(values)).alias(side))
     both = tag(left, "l").join(tag(right, "r"), keys, "full_outer")
     changed = F.array_compact(F.array(*[
         F.when(~F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")), F.lit(c)) for c in values]))
     change = F.when(F.col("r").isNull(), "removed").when(F.col("l").isNull(), "added").when(
         F.size(changed) > 0, "changed")
-    return both.select(*keys, change.alias("change"), F.when(change == "changed", changed).alias(
+    return both.select(*quoted(keys), change.alias("change"), F.when(change == "changed", changed).alias(
         "changed_columns")).where(F.col("change").isNotNull())
 
 

@@ -25,4 +25,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import analytics, catalog, constraints, definitions, documents, normalize, plans, reconcile, sources, types  # noqa: E402,F401
+from . import analytics, catalog, constraints, definitions, documents, graph, normalize, plans, reconcile, sources, types  # noqa: E402,F401

@@ -98,10 +98,10 @@ def domain_profile(spark, d):
     return pf.profile_domains(events, events.columns)
 
 
-@query("""SELECT column_name, changed, 0::BIGINT AS lost, CAST(b AS DECIMAL(38,10)) AS sum_before, CAST(a AS DECIMAL(38,2)) AS sum_after FROM (
-SELECT 'l_extendedprice' AS column_name, 0::BIGINT AS changed, sum(CAST(l_extendedprice AS DECIMAL(28,10))) AS b, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS a FROM lineitem
-UNION ALL SELECT 'eighth', count(*) FILTER (l_quantity % 2 <> 0), sum(CAST(l_quantity / 8 AS DECIMAL(28,10))),
-sum(CAST(l_quantity / 8 AS DECIMAL(12,2))) FROM lineitem)""")
+@query("""SELECT 'l_extendedprice' AS column_name, 0::BIGINT AS changed, 0::BIGINT AS lost, 0::BIGINT AS unsummed,
+CAST(sum(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(38,18))) AS VARCHAR) AS sum_before, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS VARCHAR) AS sum_after FROM lineitem
+UNION ALL SELECT 'eighth', count(*) FILTER (l_quantity % 2 <> 0), 0, 0, CAST(sum(CAST(CAST(l_quantity / 8 AS VARCHAR) AS DECIMAL(38,18))) AS VARCHAR),
+CAST(sum(CAST(l_quantity / 8 AS DECIMAL(12,2))) AS VARCHAR) FROM lineitem""")
 def money_totals(spark, d):
     items = table(spark, d, "lineitem").select("l_extendedprice", (F.col("l_quantity") / 8).alias("eighth"))
     return nm.money_totals(items, ["l_extendedprice", "eighth"])

@@ -1,7 +1,10 @@
 """Reconciliation of source and target."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from ferrycraft.operators import hash_tree
 from ferrycraft.operators import reconcile as rc
 from ferrycraft.operators.documents import parse_documents
 from ferrycraft.operators.normalize import document_array, explode_child
@@ -59,14 +62,91 @@ def fingerprint(spark, d):
     return rc.fingerprint(lines.withColumn("l_returnflag", F.when(F.col("l_linenumber") != 3, F.col("l_returnflag"))))
 
 
-@query("""SELECT column_name, total_rows, nulls, CAST(exact_sum AS DECIMAL(38,4)) AS exact_sum FROM (
-SELECT 'o_orderkey' AS column_name, count(*) AS total_rows, 0::BIGINT AS nulls, sum(CAST(o_orderkey AS DECIMAL(28,4))) AS exact_sum FROM orders
-UNION ALL SELECT 'o_totalprice', count(*), count(*) FILTER (o_orderkey % 9 = 0), sum(CAST(o_totalprice AS DECIMAL(28,4))) FILTER (o_orderkey % 9 <> 0) FROM orders
-UNION ALL SELECT 'o_orderstatus', count(*), 0, NULL FROM orders)""")
+_ORDER_TOTALS = """SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_totalprice END AS o_totalprice, o_orderstatus,
+(CASE WHEN o_orderkey % 1009 = 0 THEN '1000000000000000000000000000001.00000' WHEN o_orderkey % 3 = 1 THEN '0.00001' ELSE '-0.00003' END)::DECIMAL(38,5) AS wide FROM orders"""
+
+
+def _exact(column, kind):
+    return f"CAST(sum(CAST(CAST({column} AS VARCHAR) AS DECIMAL({kind}))) AS VARCHAR)"
+
+
+@query(f"""SELECT 'o_orderkey' AS column_name, count(*) AS total_rows, 0::BIGINT AS nulls, {_exact('o_orderkey', '38,0')} AS exact_sum,
+0::BIGINT AS unsummed, true AS distinct_close, min(o_orderkey)::VARCHAR AS smallest, max(o_orderkey)::VARCHAR AS largest FROM ({_ORDER_TOTALS})
+UNION ALL SELECT 'o_totalprice', count(*), count_if(o_totalprice IS NULL), {_exact('o_totalprice', '38,18')}, 0, true,
+min(o_totalprice)::DECIMAL(38,2)::VARCHAR, max(o_totalprice)::DECIMAL(38,2)::VARCHAR FROM ({_ORDER_TOTALS})
+UNION ALL SELECT 'o_orderstatus', count(*), 0, NULL, 0, true, min(o_orderstatus), max(o_orderstatus) FROM ({_ORDER_TOTALS})
+UNION ALL SELECT 'wide', count(*), 0, {_exact('wide', '38,5')}, 0, true, min(wide)::VARCHAR, max(wide)::VARCHAR FROM ({_ORDER_TOTALS})""")
 def column_totals(spark, d):
+    """Sums to the last digit, 31-digit and tiny values among them; estimates within five percent of the exact counts."""
+    k = F.col("o_orderkey")
+    wide = F.when(k % 1009 == 0, "1000000000000000000000000000001.00000").when(k % 3 == 1, "0.00001").otherwise("-0.00003")
     orders = table(spark, d, "orders").select(
-        "o_orderkey", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_totalprice")).alias("o_totalprice"), "o_orderstatus")
-    return rc.column_totals(orders)
+        "o_orderkey", F.when(k % 9 != 0, F.col("o_totalprice")).alias("o_totalprice"), "o_orderstatus",
+        wide.cast("decimal(38,5)").alias("wide"))
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in orders.columns]).unpivot([], orders.columns, "column_name", "n")
+    totals = rc.column_totals(orders).join(exact, "column_name")
+    plain = lambda c: F.when(F.col("column_name") == "o_totalprice", F.col(c).cast("double").cast("decimal(38,2)")
+                             .cast("string")).otherwise(F.col(c)).alias(c)  # large doubles print with an exponent
+    close = F.abs(F.col("distinct_estimate") / F.col("n") - 1) < 0.05
+    return totals.select("column_name", "total_rows", "nulls", "exact_sum", "unsummed", close.alias("distinct_close"),
+                         plain("smallest"), plain("largest"))
+
+
+@query("""SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderdate', 'o_orderstatus']) AS column_name, n AS rows, true AS close
+FROM (SELECT count(*) AS n FROM orders)""")
+def merged_distinct(spark, d):
+    """Distinct counts from the sketches of five batches, within five percent of the exact counts over everything."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    parts = [rc.distinct_sketches(orders.where(F.col("o_orderkey") % 5 == i)) for i in range(5)]
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in orders.columns]).unpivot([], orders.columns, "column_name", "n")
+    merged = rc.merged_distinct(reduce(lambda a, b: a.unionByName(b), parts)).join(exact, "column_name")
+    return merged.select("column_name", "rows", (F.abs(F.col("distinct_estimate") / F.col("n") - 1) < 0.05).alias("close"))
+
+
+def _order_copies(spark, d):
+    """Orders and a copy that lost some rows of one key range, changed cells in it and gained rows behind it."""
+    left = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    k = F.col("o_orderkey")
+    own = (k >= 3000) & (k < 3200)
+    right = left.where(~(own & (k % 40 == 3))).withColumns({
+        "o_orderstatus": F.when(own & (k % 50 == 4), "X").otherwise(F.col("o_orderstatus")),
+        "o_totalprice": F.when(own & (k % 100 == 4), -1.0).otherwise(F.col("o_totalprice"))})
+    return left, right.unionByName(left.where(k.isin(7, 8)).withColumn("o_orderkey", k + 900000000))
+
+
+_LOST = "o_orderkey BETWEEN 3000 AND 3199 AND o_orderkey % 40 = 3"
+
+
+@query(f"""SELECT o_orderkey, 'removed' AS change, NULL AS column_name, NULL AS left_value, NULL AS right_value FROM orders WHERE {_LOST}
+UNION ALL SELECT o_orderkey + 900000000, 'added', NULL, NULL, NULL FROM orders WHERE o_orderkey IN (7, 8)
+UNION ALL SELECT o_orderkey, 'changed', 'o_orderstatus', o_orderstatus, 'X' FROM orders
+WHERE o_orderkey BETWEEN 3000 AND 3199 AND o_orderkey % 50 = 4 AND NOT ({_LOST})
+UNION ALL SELECT o_orderkey, 'changed', 'o_totalprice', CAST(o_totalprice AS VARCHAR), '-1.0' FROM orders
+WHERE o_orderkey BETWEEN 3000 AND 3199 AND o_orderkey % 100 = 4 AND NOT ({_LOST})""")
+def tree_diff_cells(spark, d):
+    """Changed cells, found by opening only key ranges whose hashes differ."""
+    return hash_tree.tree_diff(*_order_copies(spark, d), ["o_orderkey"], fanout=8, leaf_rows=64).cells
+
+
+# Every level from the formulas of the tree: a part is read when its range differs on the level above.
+@query(f"""WITH l AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_totalprice AS p FROM orders),
+r AS (SELECT k, CASE WHEN k BETWEEN 3000 AND 3199 AND k % 50 = 4 THEN 'X' ELSE s END AS s,
+  CASE WHEN k BETWEEN 3000 AND 3199 AND k % 100 = 4 THEN -1.0 ELSE p END AS p FROM l WHERE NOT (k BETWEEN 3000 AND 3199 AND k % 40 = 3)
+  UNION ALL SELECT k + 900000000, s, p FROM l WHERE k IN (7, 8)),
+shape AS (SELECT min(k) AS low, max(k) AS high, greatest((SELECT count(*) FROM l), (SELECT count(*) FROM r)) AS n
+  FROM (SELECT k FROM l UNION ALL SELECT k FROM r)),
+leaf AS (SELECT low, high - low + 1 AS span, (n + 63) // 64 AS leaves, (high - low + (n + 63) // 64) // ((n + 63) // 64) AS w FROM shape),
+levels AS (SELECT i AS level, low, CAST(least(w * pow(8, depth - 1 - i), span) AS BIGINT) AS width, CAST(least(w * pow(8, depth - i), span) AS BIGINT) AS above
+  FROM (SELECT *, (SELECT min(x) FROM range(1, 30) t(x) WHERE pow(8, x) >= leaves) AS depth FROM leaf), range(0, depth) t(i)),
+net AS (SELECT k, s, p, sum(sign) AS net, count(*) AS n FROM (SELECT *, 1 AS sign FROM l UNION ALL SELECT *, -1 FROM r) GROUP BY ALL),
+parts AS (SELECT level, width, (k - low) // width AS part, (k - low) // above AS up, sum(n) AS rows, bool_or(net <> 0) AS differs
+  FROM net, levels GROUP BY ALL),
+opened AS (SELECT DISTINCT level + 1 AS level, part AS up FROM parts WHERE differs)
+SELECT CAST(level AS INTEGER) AS level, width AS part_width, count(*) AS parts, count_if(differs) AS differing,
+  CAST(sum(rows) AS BIGINT) AS rows_read FROM parts WHERE level = 0 OR (level, up) IN (SELECT (level, up) FROM opened) GROUP BY ALL""")
+def tree_diff_levels(spark, d):
+    """Rows read on each level of the tree."""
+    return hash_tree.tree_diff(*_order_copies(spark, d), ["o_orderkey"], fanout=8, leaf_rows=64).levels
 
 
 @query("""SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(1 AS BIGINT) AS left_extra, CAST(0 AS BIGINT) AS right_extra
