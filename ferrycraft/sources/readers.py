@@ -10,6 +10,7 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from ..functions.text import parse_binary_literal
 from ..operators.documents import parse_documents
+from .split_csv import csv_records
 
 # The text that stands for NULL in staged CSV, and rows per round trip to a source.
 CSV_NULL = "\\N"
@@ -77,13 +78,24 @@ def read_collection(spark: SparkSession, uri: str, database: str, collection: st
     return parse_documents(raw)
 
 
-def load_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a staged CSV back as ``schema``; a value that does not parse fails the job."""
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def load_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True, line_sep: str = "\n") -> DataFrame:
+    """Read a staged CSV back as ``schema``; a value that does not parse fails the job.
+
+    A file is read by as many tasks as it makes splits, also where values hold line breaks (see ``split_csv``).
+    """
     raw = StructType([StructField(f.name, StringType() if isinstance(f.dataType, BinaryType) else f.dataType)
                       for f in schema.fields])
-    df = spark.read.schema(raw).options(**CSV_OPTIONS, emptyValue="", multiLine="true", mode="FAILFAST").csv(path)
+    options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "encoding")}
+    # ``multiLine`` keeps line breaks inside quotes as they are
+    row = F.from_csv(F.col("text"), _ddl(raw),
+                     options | {"emptyValue": "", "multiLine": "true", "mode": "FAILFAST"})
+    df = csv_records(spark, path, header, line_sep).select(row.alias("row")).select("row.*")
     return df.select(*[
-        (parse_binary_literal(F.col(f.name)) if isinstance(f.dataType, BinaryType) else F.col(f.name)).alias(f.name)
+        (parse_binary_literal(F.col(f"`{f.name}`")) if isinstance(f.dataType, BinaryType) else F.col(f"`{f.name}`")).alias(f.name)
         for f in schema.fields
     ])
 
