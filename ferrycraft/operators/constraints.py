@@ -13,10 +13,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BooleanType, DataType
 from pyspark.sql.utils import AnalysisException, ParseException
 
 from .conform import one_pass
+from .tried import tried_clause
 
 # Fixed value: index prefix length on text columns.
 TEXT_PREFIX = 191
@@ -149,7 +150,8 @@ def spark_clause(clause: str) -> str:
     for i, token in enumerate(tokens):
         following = next((t for t in tokens[i + 1:] if not t.isspace()), "")
         if token[0] == "[" and len(token) > 1:
-            token = f"`{token[1:-1]}`"
+            before = next((t.lower() for t in reversed(out) if not t.isspace()), "")
+            token = token[1:-1] if before == "as" else f"`{token[1:-1]}`"  # a bracketed type of a cast is no column
         elif following == "(" and token.lower() in _FUNCTIONS:
             token = _FUNCTIONS[token.lower()]
         elif token.lower() == "like" and "[" in following and following.endswith("'"):
@@ -171,8 +173,19 @@ def unresolved(df: DataFrame, clause: str) -> str | None:
 
 
 def check_expression(df: DataFrame, clause: str) -> DataFrame:
-    """Rows that break the clause; as in SQL, an unknown result passes."""
-    return df.where(~F.expr(spark_clause(clause)))
+    """Rows that break the clause; as in SQL, an unknown result passes, and so does a row that can't be evaluated."""
+    return df.where(~F.expr(tried_clause(spark_clause(clause))[0]))
+
+
+def unevaluated_rows(df: DataFrame, clause: str) -> DataFrame:
+    """Rows for which the clause would raise an error: a failed cast, a division by zero, an element beyond the end."""
+    return df.where(F.expr(tried_clause(spark_clause(clause))[1]))
+
+
+def in_domain(value: Column, kind: DataType, allowed: Iterable) -> Column:
+    """Whether a value is one of ``allowed``; those that are no value of the column's type are equal to none."""
+    same = [F.coalesce(value == F.lit(a).try_cast(kind), F.lit(False)) for a in allowed if a is not None]
+    return reduce(lambda a, b: a | b, same, F.lit(False))
 
 
 def check_domain(df: DataFrame, column: str, allowed: Iterable | DataFrame) -> DataFrame:
@@ -180,7 +193,7 @@ def check_domain(df: DataFrame, column: str, allowed: Iterable | DataFrame) -> D
     values = df.where(F.col(f"`{column}`").isNotNull()).groupBy(F.col(f"`{column}`")).agg(F.count(F.lit(1)).alias("n"))
     if isinstance(allowed, DataFrame):
         return unmatched(values, _key_counts(allowed, {column: allowed.columns[0]}, "__known"), [column], "__known")
-    return values.where(~F.col(f"`{column}`").isin(*allowed))
+    return values.where(~in_domain(F.col(f"`{column}`"), df.schema[column].dataType, allowed))
 
 
 def apply_delete(child: DataFrame, columns: Sequence[str], deleted: DataFrame, action: str,
@@ -225,12 +238,13 @@ class Constraint:
 
 
 def audit_constraints(tables: Mapping[str, DataFrame], constraints: Iterable[Constraint]) -> DataFrame:
-    """``constraint_name, kind, table_name, violations, status, reason`` per constraint.
+    """``constraint_name, kind, table_name, violations, unevaluated, status, reason`` per constraint.
 
     ``violations`` counts rows (for keys: rows beyond those allowed). All row-level constraints of a table
     share one scan; keys and references add one combined aggregate each. A reference to a parent key that
     is not unique is INVALID_PARENT. A constraint that can't be resolved against the tables (a clause with a function
-    that Spark lacks, a missing column or table) is SKIPPED with the reason, and the others are audited.
+    that Spark lacks, a missing column or table, a column of no comparable type) is SKIPPED with the reason, and the
+    others are audited. ``unevaluated`` counts rows that a CHECK raises an error for; they break nothing.
     """
     given, constraints, skipped = list(constraints), [], []
     for c in given:
@@ -238,23 +252,29 @@ def audit_constraints(tables: Mapping[str, DataFrame], constraints: Iterable[Con
         if reason is None:
             constraints.append(c)
         else:
-            skipped.append((c.name, c.kind, c.table, None, "SKIPPED", reason))
-    schema = "constraint_name string, kind string, table_name string, violations bigint, status string, reason string"
-    result = lambda c, violations: F.struct(
+            skipped.append((c.name, c.kind, c.table, None, None, "SKIPPED", reason))
+    schema = ("constraint_name string, kind string, table_name string, violations bigint, unevaluated bigint, "
+              "status string, reason string")
+    result = lambda c, violations, unevaluated=F.lit(0): F.struct(
         F.lit(c.name).alias("constraint_name"), F.lit(c.kind).alias("kind"), F.lit(c.table).alias("table_name"),
-        violations.cast("bigint").alias("violations"), F.lit(False).alias("bad_parent"))
+        violations.cast("bigint").alias("violations"), unevaluated.cast("bigint").alias("unevaluated"),
+        F.lit(False).alias("bad_parent"))
     parts = []
     by_table: dict[str, list[Column]] = {}
     for c in constraints:
+        failed = F.lit(False)
         if c.kind == "NOT NULL":
             broken = _any_null(c.columns)
         elif c.kind == "CHECK":
-            broken = ~F.expr(spark_clause(c.clause))
+            text, failing = tried_clause(spark_clause(c.clause))
+            broken, failed = ~F.expr(text), F.expr(failing)
         elif c.kind == "DOMAIN":
-            broken = ~F.col(f"`{c.columns[0]}`").isin(*c.allowed)
+            value = F.col(f"`{c.columns[0]}`")
+            broken = value.isNotNull() & ~in_domain(value, tables[c.table].schema[c.columns[0]].dataType, c.allowed)
         else:
             continue
-        by_table.setdefault(c.table, []).append(result(c, F.count_if(F.coalesce(broken, F.lit(False)))))
+        by_table.setdefault(c.table, []).append(result(
+            c, F.count_if(F.coalesce(broken, F.lit(False))), F.count_if(F.coalesce(failed, F.lit(False)))))
     parts += [tables[t].agg(F.array(*structs).alias("m")).select(F.inline("m")) for t, structs in by_table.items()]
     for c in constraints:
         if c.kind in ("PRIMARY KEY", "UNIQUE"):
@@ -286,13 +306,34 @@ def audit_constraints(tables: Mapping[str, DataFrame], constraints: Iterable[Con
 
 
 def _unresolved(tables: Mapping[str, DataFrame], c: Constraint) -> str | None:
-    for name, columns in ((c.table, c.columns), (c.ref_table, c.ref_columns)):
-        if name and name not in tables:
+    """Why a constraint can't be audited: what it names is missing, or its parts can't be put together."""
+    if c.kind not in ("NOT NULL", "PRIMARY KEY", "UNIQUE", "FOREIGN KEY", "CHECK", "DOMAIN"):
+        return f"unknown kind {c.kind}"
+    if c.kind != "CHECK" and not c.columns:
+        return "no columns named"
+    refs = (c.ref_columns or c.columns) if c.kind == "FOREIGN KEY" else ()
+    for name, columns in ((c.table, c.columns), *([(c.ref_table, refs)] if c.kind == "FOREIGN KEY" else [])):
+        if name not in tables:
             return f"no table {name}"
-        missing = [k for k in columns if name and k not in tables[name].columns]
+        missing = [k for k in columns if k not in tables[name].columns]
         if missing:
             return f"no column {', '.join(missing)} in {name}"
-    return unresolved(tables[c.table], c.clause) if c.kind == "CHECK" else None
+    if c.kind == "CHECK":
+        return unresolved(tables[c.table], c.clause) or unresolved(tables[c.table], tried_clause(spark_clause(c.clause))[1])
+    if c.kind == "FOREIGN KEY" and len(refs) != len(c.columns):
+        return f"{len(c.columns)} columns refer to {len(refs)}"
+    # what is left, a key of a type that can't be grouped or compared, shows when the plan is made
+    df = tables[c.table]
+    try:
+        if c.kind == "DOMAIN":
+            df.select(in_domain(F.col(f"`{c.columns[0]}`"), df.schema[c.columns[0]].dataType, c.allowed)).schema
+        elif c.kind in ("PRIMARY KEY", "UNIQUE"):
+            check_key(df, c.columns, c.nulls, c.prefix).schema
+        elif c.kind == "FOREIGN KEY":
+            check_foreign_key(df, c.columns, tables[c.ref_table], refs).schema
+    except Exception as e:  # noqa: BLE001  any reason is the answer
+        return str(e).splitlines()[0]
+    return None
 
 
 def constraint_tally(report: DataFrame) -> DataFrame:

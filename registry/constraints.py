@@ -169,19 +169,28 @@ RULES = [
     Constraint("ck_like", "CHECK", "orders", clause="(len([o_orderstatus])=(1) AND [o_orderpriority] like '[1-3]-%')"),
     Constraint("ck_bad", "CHECK", "orders", clause="(isdate([o_orderdate])=(1))"),
     Constraint("dm_gone", "DOMAIN", "lineitem", ("l_color",), allowed=("A",)),
+    Constraint("fk_no_column", "FOREIGN KEY", "lineitem", ("l_orderkey",), ref_table="orders"),
+    Constraint("dm_texts", "DOMAIN", "lineitem", ("l_linenumber",), allowed=("1", "2", "three")),
+    Constraint("ck_cast", "CHECK", "orders", clause="(CAST(left([o_orderpriority],(2)) AS [int])>(2) OR [o_orderstatus]='F')"),
+    Constraint("ck_ratio", "CHECK", "lineitem", clause="(([l_extendedprice]/([l_linenumber]-(1)))>(5000))"),
 ]
-_REPORT = """SELECT 'nn_order' AS constraint_name, 'NOT NULL' AS kind, 'lineitem' AS table_name, 0::BIGINT AS violations, 'VALID' AS status
-UNION ALL SELECT 'ck_price', 'CHECK', 'lineitem', count(*) FILTER (NOT (l_extendedprice > 0 AND l_discount <= 0.05)), 'VIOLATED' FROM lineitem
-UNION ALL SELECT 'dm_flag', 'DOMAIN', 'lineitem', count(*) FILTER (l_returnflag NOT IN ('A', 'R')), 'VIOLATED' FROM lineitem
-UNION ALL SELECT 'pk_line', 'PRIMARY KEY', 'lineitem', count(*) - count(DISTINCT (l_orderkey, l_linenumber)), 'VIOLATED' FROM lineitem
-UNION ALL SELECT 'fk_order', 'FOREIGN KEY', 'lineitem', count(*) FILTER (l_orderkey NOT IN (SELECT o_orderkey FROM orders)), 'VALID' FROM lineitem
-UNION ALL SELECT 'fk_line', 'FOREIGN KEY', 'orders', count(*) FILTER (o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)), 'INVALID_PARENT' FROM orders
-UNION ALL SELECT 'pk_order', 'PRIMARY KEY', 'orders', count(*) - count(DISTINCT o_orderkey), 'VALID' FROM orders
-UNION ALL SELECT 'ck_bal', 'CHECK', 'orders', count(*) FILTER (o_totalprice <= 1000),
+_REPORT = """SELECT 'nn_order' AS constraint_name, 'NOT NULL' AS kind, 'lineitem' AS table_name, 0::BIGINT AS violations, 0::BIGINT AS unevaluated, 'VALID' AS status
+UNION ALL SELECT 'ck_price', 'CHECK', 'lineitem', count(*) FILTER (NOT (l_extendedprice > 0 AND l_discount <= 0.05)), 0, 'VIOLATED' FROM lineitem
+UNION ALL SELECT 'dm_flag', 'DOMAIN', 'lineitem', count(*) FILTER (l_returnflag NOT IN ('A', 'R')), 0, 'VIOLATED' FROM lineitem
+UNION ALL SELECT 'pk_line', 'PRIMARY KEY', 'lineitem', count(*) - count(DISTINCT (l_orderkey, l_linenumber)), 0, 'VIOLATED' FROM lineitem
+UNION ALL SELECT 'fk_order', 'FOREIGN KEY', 'lineitem', count(*) FILTER (l_orderkey NOT IN (SELECT o_orderkey FROM orders)), 0, 'VALID' FROM lineitem
+UNION ALL SELECT 'fk_line', 'FOREIGN KEY', 'orders', count(*) FILTER (o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)), 0, 'INVALID_PARENT' FROM orders
+UNION ALL SELECT 'pk_order', 'PRIMARY KEY', 'orders', count(*) - count(DISTINCT o_orderkey), 0, 'VALID' FROM orders
+UNION ALL SELECT 'ck_bal', 'CHECK', 'orders', count(*) FILTER (o_totalprice <= 1000), 0,
 CASE WHEN count(*) FILTER (o_totalprice <= 1000) > 0 THEN 'VIOLATED' ELSE 'VALID' END FROM orders
-UNION ALL SELECT 'ck_like', 'CHECK', 'orders', count(*) FILTER (NOT regexp_matches(o_orderpriority, '^[1-3]-')), 'VIOLATED' FROM orders
-UNION ALL SELECT 'ck_bad', 'CHECK', 'orders', NULL, 'SKIPPED'
-UNION ALL SELECT 'dm_gone', 'DOMAIN', 'lineitem', NULL, 'SKIPPED'"""
+UNION ALL SELECT 'ck_like', 'CHECK', 'orders', count(*) FILTER (NOT regexp_matches(o_orderpriority, '^[1-3]-')), 0, 'VIOLATED' FROM orders
+UNION ALL SELECT 'ck_bad', 'CHECK', 'orders', NULL, NULL, 'SKIPPED'
+UNION ALL SELECT 'dm_gone', 'DOMAIN', 'lineitem', NULL, NULL, 'SKIPPED'
+UNION ALL SELECT 'fk_no_column', 'FOREIGN KEY', 'lineitem', NULL, NULL, 'SKIPPED'
+UNION ALL SELECT 'dm_texts', 'DOMAIN', 'lineitem', count(*) FILTER (l_linenumber NOT IN (1, 2)), 0, 'VIOLATED' FROM lineitem
+UNION ALL SELECT 'ck_cast', 'CHECK', 'orders', 0, count(*) FILTER (o_orderstatus <> 'F'), 'VALID' FROM orders
+UNION ALL SELECT 'ck_ratio', 'CHECK', 'lineitem', count(*) FILTER (l_linenumber > 1 AND l_extendedprice / (l_linenumber - 1) <= 5000),
+count(*) FILTER (l_linenumber = 1), 'VIOLATED' FROM lineitem"""
 
 
 def _report(spark, d):

@@ -59,7 +59,7 @@ UNION ALL SELECT DISTINCT 'deleted', 'lines', k, n, NULL, NULL FROM lines WHERE
 UNION ALL SELECT 'blocked', 'customers', root, 0, 'held_by', (SELECT min('{{"k":' || h.k || ',"n":' || h.n || '}}')
 FROM bought b JOIN held h ON h.up = b.k WHERE b.root = s.root) FROM stopped s
 UNION ALL SELECT 'changed', 'complaints', k, 0, 'about', 'SET NULL' FROM complaints WHERE up IN (SELECT k FROM gone)""")
-def cascade_delete(spark, d):
+def cascade_graph(spark, d):
     """Effect of deleting some customers on all tables: three levels, a cycle, and rows that hold their parents."""
     result = _cascade(spark, d)
     of = lambda name: F.get_json_object("key", f"$.{name}").cast("bigint")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ferrycraft.operators import constraints as ct
 from ferrycraft.operators import layout
 from ferrycraft.operators.constraints import Constraint
+from ferrycraft.operators.tried import tried_clause
 
 
 @pytest.fixture(scope="module")
@@ -149,3 +150,59 @@ def test_unresolved_constraints_are_skipped(spark):
     assert {v[:2] for v in out.values()} == {("SKIPPED", None)} and all(v[2] for v in out.values()) and len(out) == 5
     assert ct.audit_constraints(t, []).count() == 0
     assert ct.audit_constraints(t, rules[:1]).count() == 1
+
+
+@pytest.mark.parametrize("clause, bad, failing", [
+    ("cast([t] as int)>0", ["-1"], ["x"]), ("CAST([t] AS [int])>(0) or [t]='x'", ["-1"], []),
+    ("(10/[n])>(4)", [3], [0]), ("10 % -[n] = 1", [2, -1], [0]), ("[n] between 1 and 10/[n]", [], []),
+    ("bigint(t) >= 5", ["-1"], ["x"]), ("t::int <> 7", ["7"], ["x"]), ("element_at(a, n + 5) = 1", [], [0, 2, 3, 10]), ("to_date(t) > '2000-01-01'", [], ["-1", "7", "x"]),
+    ("[t] = 'a/0' or (([n])+((1)/([n])))>0", [-1], [0]), ("10 / (n - 2) < 100", [], [2])])
+def test_clauses_that_raise(spark, clause, bad, failing):
+    """Rows that would end the job are told apart; the others are judged as if each were evaluated alone."""
+    texts, numbers = ["-1", "7", "x", None], [-1, 0, 2, 3, 10, None]
+    column = "t" if "t" in clause.replace("between", "").replace("element_at", "").replace("cast", "").replace("int", "") and "n" not in clause.replace("int", "").replace("between", "") else "n"
+    rows = [(t, 5) for t in texts] if column == "t" else [("5", n) for n in numbers]
+    df = spark.createDataFrame(rows, "t string, n int").withColumn("a", F.array(*[F.lit(i) for i in (1, 1, 9, 1)]))
+    if "or" in clause and column == "n":
+        df = df.withColumn("t", F.lit("b"))
+    found = lambda out: sorted((r[column] for r in out.collect()), key=repr)
+    assert found(ct.unevaluated_rows(df, clause)) == sorted(failing, key=repr)
+    if clause not in ("10 % -[n] = 1", "element_at(a, n + 5) = 1", "(10/[n])>(4)", "[n] between 1 and 10/[n]"):
+        assert found(ct.check_expression(df, clause)) == sorted(bad, key=repr)
+    report = ct.audit_constraints({"x": df}, [Constraint("c", "CHECK", "x", clause=clause)]).first()
+    assert report["status"] in ("VALID", "VIOLATED") and report["unevaluated"] == len(failing)
+
+
+def test_one_bad_constraint_does_not_end_the_report(spark):
+    items = spark.createDataFrame([(1, "x"), (2, "9"), (3, None)], "id int, `t.x` string").withColumn("m", F.create_map(F.lit(1), F.lit(2)))
+    other = spark.createDataFrame([(1,)], "key int")
+    rules = [Constraint("fk", "FOREIGN KEY", "items", ("id",), ref_table="other"),
+             Constraint("fk_two", "FOREIGN KEY", "items", ("id",), ref_table="other", ref_columns=("key", "key")),
+             Constraint("fk_type", "FOREIGN KEY", "items", ("m",), ref_table="other", ref_columns=("key",)),
+             Constraint("dm", "DOMAIN", "items", ("id",), allowed=("1", "two", None)), Constraint("dm_map", "DOMAIN", "items", ("m",), allowed=(1,)),
+             Constraint("pk_map", "PRIMARY KEY", "items", ("m",)), Constraint("pk", "PRIMARY KEY", "items", ("t.x",)),
+             Constraint("none", "CHECK OPTION", "items"), Constraint("nothing", "UNIQUE", "items"),
+             Constraint("ck", "CHECK", "items", clause="cast([t.x] as int) > 10")]
+    out = {r["constraint_name"]: (r["status"], r["violations"], r["unevaluated"]) for r in
+           ct.audit_constraints({"items": items, "other": other}, rules).collect()}
+    skipped = {k for k, v in out.items() if v[0] == "SKIPPED"}
+    assert skipped >= {"fk", "fk_two", "fk_type", "none", "nothing"} and len(out) == len(rules)
+    assert out["dm"] == ("VIOLATED", 2, 0) and out["pk"] == ("VIOLATED", 1, 0) and out["ck"] == ("VIOLATED", 1, 1)
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "`x.y` int, `t.t` string")
+    parent = spark.createDataFrame([(2,)], "`x.y` int")
+    assert {(r["x.y"], r["problem"]) for r in ct.check_key(df, ["x.y"]).collect()} == {(1, "duplicate"), (None, "null")}
+    assert ct.duplicate_rows(df, ["x.y"]).count() == 2
+    assert [tuple(r) for r in ct.check_foreign_key(df, ["x.y"], parent).collect()] == [(1, 2)]
+    assert ct.orphan_rows(df, ["x.y"], parent).count() == 2
+    assert ct.check_domain(df, "t.t", ["a", "b"]).count() == 1
+    assert ct.apply_delete(df, ["x.y"], df.where("`x.y` = 1"), "RESTRICT").count() == 1
+
+
+def test_elements_beyond_the_end(spark):
+    df = spark.sql("SELECT explode(array(-1, 0, 3, 4, NULL)) AS n, array(5, 6, 7, 8) AS a")
+    text, failed = tried_clause("a[n] > 5")
+    assert sorted(r["n"] for r in df.where(F.expr(failed)).collect()) == [-1, 4]
+    assert [r["n"] for r in df.where(F.expr(text)).collect()] == [3]
