@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import accumulate
 from zlib import crc32
 
 import numpy as np
@@ -109,9 +111,14 @@ def grams(word: str, frequent: dict[str, int]) -> list[tuple[int, str, int, int,
     return found
 
 
-def affected(start: int, end: int, open_end: bool) -> int:
-    """The edits that affect a gram as a bit mask: bit 2i + 1 changes code point i, bit 2i inserts one before it."""
-    return (1 << (2 * end + (1 if open_end else 0))) - (1 << (2 * start + 1))
+def affected(start: int, end: int, open_end: bool) -> tuple[int, int]:
+    """The edits that affect a gram, from and to: edit 2i + 1 changes code point i, edit 2i inserts one before it."""
+    return 2 * start + 1, 2 * end + open_end
+
+
+@lru_cache(1 << 16)
+def _bit(gram: str) -> int:
+    return 1 << (xxhash.xxh64_intdigest(gram) & 63)
 
 
 def entries(word: str, frequent: dict[str, int]) -> tuple[list[int], int, int]:
@@ -121,22 +128,21 @@ def entries(word: str, frequent: dict[str, int]) -> tuple[list[int], int, int]:
     named by all up to its end, and one for edits on its left, named by all from its start. Words so short that an edit
     may affect all grams are in the lists of their deletion variants too.
     """
-    own = sorted(grams(word, frequent))
-    masks = [affected(start, end, open_end) for _, _, start, end, open_end in own]
-    signature = 0
-    for _, gram, *_ in own:
-        signature |= 1 << (xxhash.xxh64_intdigest(gram) & 63)
-    most = max((sum(m >> e & 1 for m in masks) for e in range(2 * len(word) + 1)), default=0)
-    keys, common = [], -1
-    for (_, _, start, end, _), mask in zip(own, masks):
-        keys.append(xxhash.xxh64_intdigest("<" + word[:end]))
-        keys.append(xxhash.xxh64_intdigest(">" + word[start:]))
-        common &= mask
-        if not common:
-            break
+    own, keys, signature = sorted(grams(word, frequent)), [], 0
+    change = [0] * (2 * len(word) + 2)
+    first, last = 0, 2 * len(word) + 1
+    for _, gram, start, end, open_end in own:
+        low, high = affected(start, end, open_end)
+        change[low] += 1
+        change[high] -= 1
+        signature |= _bit(gram)
+        if first < last:
+            keys.append("<" + word[:end])
+            keys.append(">" + word[start:])
+            first, last = max(first, low), min(last, high)
     if len(word) <= SHORTEST + LONGEST:  # one edit may affect all grams of the word, or of one a code point shorter
-        keys += (xxhash.xxh64_intdigest("-" + w) for w in [word, *(word[:i] + word[i + 1:] for i in range(len(word)))])
-    return list(dict.fromkeys(keys)), signature, most
+        keys += ["-" + w for w in [word, *(word[:i] + word[i + 1:] for i in range(len(word)))]]
+    return [xxhash.xxh64_intdigest(k) for k in dict.fromkeys(keys)], signature, max(accumulate(change))
 
 
 def _index(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
@@ -187,28 +193,27 @@ def _verified(a: np.ndarray, b: np.ndarray, length: np.ndarray, codes: np.ndarra
 
 def near_pairs(cells: np.ndarray, words: list[str], signatures: np.ndarray,
                most: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of pairs of one list that are one edit apart; rows come sorted by list.
+    """Positions of pairs of one list that are one edit apart; rows come sorted by list, then by length.
 
-    Rows are compared with the one ``step`` below them while any list is that long, so memory follows the rows.
+    Rows are compared with the one ``step`` below them while any list has one of no more than a code point more, so memory
+    follows the rows.
     """
     length = np.fromiter(map(len, words), np.int64, len(words))
     # one column more than the widest word, so that a shifted row ends in padding
     codes = np.frombuffer("".join(w[:WIDE].ljust(WIDE + 1, "\0") for w in words).encode("utf-32-le"), np.uint32)
     codes = codes.reshape(len(words), WIDE + 1)
-    ends = np.searchsorted(cells, cells, "right")
+    runs = np.concatenate([[0], np.cumsum(cells[1:] != cells[:-1])]) << 40
+    ends = np.searchsorted(runs + length, runs + length + 1, "right")
     left = np.flatnonzero(ends - np.arange(len(cells)) > 1)
     step = 1
     while len(left):
         for low in range(0, len(left), PAIRS):
             a = left[low:low + PAIRS]
             b = a + step
-            for test in (lambda a, b: np.abs(length[a] - length[b]) <= 1,
-                         lambda a, b: np.bitwise_count(signatures[a] & ~signatures[b]) <= most[a],
-                         lambda a, b: np.bitwise_count(signatures[b] & ~signatures[a]) <= most[b]):
-                kept = test(a, b)
-                a, b = a[kept], b[kept]
-            swap = length[a] > length[b]
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
+            kept = np.bitwise_count(signatures[a] & ~signatures[b]) <= most[a]
+            a, b = a[kept], b[kept]
+            kept = np.bitwise_count(signatures[b] & ~signatures[a]) <= most[b]
+            a, b = a[kept], b[kept]
             true = _verified(a, b, length, codes, words)
             if true.any():
                 yield a[true], b[true]
@@ -249,7 +254,7 @@ def _merged(keyed: DataFrame) -> DataFrame:
         if rest is not None:
             yield from pairs(rest)
 
-    spread = keyed.repartition(slots(keyed), "cell").sortWithinPartitions("cell")
+    spread = keyed.repartition(slots(keyed), "cell").sortWithinPartitions("cell", F.char_length("word"))
     return spread.mapInArrow(run, "a string, a_n long, b string, b_n long")
 
 
@@ -275,7 +280,7 @@ def near_words(words: DataFrame, often: int = OFTEN, cell_limit: int = CELL_LIMI
     dictionary, _ = gram_dictionary(words, often)
     # bounded by FREQUENT; frequent grams rank by their number, so that lists of rare ones are merged first
     frequent = {r["gram"]: r["n"] for r in dictionary.toLocalIterator()}
-    keyed = _index(words, frequent)
+    keyed = stage(_index(words, frequent), "lists")
     hot = stage(keyed.groupBy("cell").count().where(F.col("count") > cell_limit).select("cell"), "hot_lists")
     if hot.isEmpty():
         return _once(_merged(keyed))
