@@ -21,6 +21,8 @@ from .tried import tried_clause
 
 # Fixed value: index prefix length on text columns.
 TEXT_PREFIX = 191
+#: Tasks that the rows of one key are dealt to when references are repaired.
+SALTS = 8
 
 
 def check_not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -106,28 +108,46 @@ def orphan_rows(child: DataFrame, columns: Sequence[str], parent: DataFrame,
 
 def resolve_orphans(child: DataFrame, columns: Sequence[str], parent: DataFrame, how: str,
                     parent_columns: Sequence[str] | None = None,
-                    reassign_to: Mapping[str, object] | None = None) -> DataFrame:
-    """``delete`` and ``reassign`` return the repaired child; ``placeholder`` the parent with missing keys added."""
+                    reassign_to: Mapping[str, object] | None = None, salts: int = SALTS) -> DataFrame:
+    """``delete`` and ``reassign`` return the repaired child; ``placeholder`` the parent with missing keys added.
+
+    A key with a NULL part refers to nothing and stays as it is.
+    """
     parent_columns = list(parent_columns or columns)
     if how == "placeholder":
         missing = check_foreign_key(child, columns, parent, parent_columns).select(
             *[F.col(f"`{c}`").alias(p) for c, p in zip(columns, parent_columns, strict=True)])
         return parent.unionByName(missing, allowMissingColumns=True)
-    orphans = check_foreign_key(child, columns, parent, parent_columns).select(*columns)
+    marked = _marked(child, columns, parent, parent_columns, salts)
+    orphan = ~_any_null(columns) & F.col("__parent").isNull()
+    own = [F.col(f"`{c}`") for c in child.columns]
     if how == "delete":
-        return child.join(orphans, list(columns), "left_anti")
+        return marked.where(~orphan).select(*own)
     if how == "reassign":
         if not reassign_to:
             raise ValueError("reassign needs the replacement key")
-        marked = child.join(orphans.withColumn("__orphan", F.lit(True)), list(columns), "left")
         return marked.select(*[
-            (F.when(F.col("__orphan"), F.lit(reassign_to[c])).otherwise(F.col(f"`{c}`")) if c in reassign_to
-             else F.col(f"`{c}`")).alias(c)
-            for c in child.columns
-        ])
+            F.when(orphan, F.lit(reassign_to[c])).otherwise(value).alias(c) if c in reassign_to else value
+            for c, value in zip(child.columns, own)])
     raise ValueError(f"unknown resolution {how!r}")
 
 
+def _marked(child: DataFrame, columns: Sequence[str], parent: DataFrame, parent_columns: Sequence[str],
+            salts: int) -> DataFrame:
+    """The child rows with ``__parent``, NULL where the key has no parent; the child is read once.
+
+    Child rows are dealt by key and a hash of the whole row, and every parent key is held once for each of the salts,
+    so a key with a third of the rows is that many tasks, whatever the session's settings.
+    """
+    hashable = [F.col(f"`{f.name}`") for f in child.schema.fields if "map" not in f.dataType.simpleString()
+                and "variant" not in f.dataType.simpleString()]
+    dealt = child.withColumn("__salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
+    keys = _key_counts(parent, {f"__k{i}": p for i, p in enumerate(parent_columns)}, "__parent").withColumn(
+        "__of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    same = [F.col(f"`{c}`") == F.col(f"__k{i}") for i, c in enumerate(columns)]
+    return dealt.join(keys, [*same, F.col("__salt") == F.col("__of")], "left")
+
+
 # Functions of CHECK clauses that go by another name in Spark, with the same arguments.
 _FUNCTIONS = {"isnull": "coalesce", "len": "length", "datalength": "octet_length", "charindex": "locate",
               "getdate": "current_timestamp", "sysdatetime": "current_timestamp", "newid": "uuid"}

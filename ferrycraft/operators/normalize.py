@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -52,11 +53,11 @@ def assign_surrogate_keys(df: DataFrame, natural_key: Sequence[str], name: str =
     the written table, not a re-run, is what both steps read.
     """
     spark = df.sparkSession
-    keys = [F.col(f"`{k}`") for k in natural_key]
+    keys, own = ([F.col(f"`{k}`") for k in names] for names in (natural_key, df.columns))
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     mid = F.monotonically_increasing_id()
     numbered = ranged.sortWithinPartitions(*keys).withColumn("__mid", mid).select(
-        *df.columns,
+        *own,
         F.shiftright("__mid", 33).cast("int").alias("__part"),
         F.col("__mid").bitwiseAND((1 << 33) - 1).alias("__pos"),
     )
@@ -69,7 +70,44 @@ def assign_surrogate_keys(df: DataFrame, natural_key: Sequence[str], name: str =
         total += n
     lookup = spark.createDataFrame(offsets, "__part int, __offset bigint")
     return written.join(F.broadcast(lookup), "__part").select(
-        (F.col("__offset") + F.col("__pos")).alias(name), *df.columns)
+        (F.col("__offset") + F.col("__pos")).alias(name), *own)
+
+
+def extend_surrogate_keys(df: DataFrame, natural_key: Sequence[str], path: str, batch: int, name: str = "id",
+                          start: int = 1, partitions: int | None = None) -> DataFrame:
+    """The rows of a batch with the surrogate keys of a dictionary that is kept at ``path`` from batch to batch.
+
+    Natural keys of earlier batches keep their number; new ones continue it without a gap, in key order. A batch is a
+    folder of its own, so one that is run again replaces its own numbers by the same ones, and one that comes
+    before a batch already numbered is refused. A natural key with a NULL part gets none.
+    """
+    spark, keys = df.sparkSession, list(natural_key)
+    named = [F.col(f"`{k}`") for k in keys]
+    if batch < 0:
+        raise ValueError("batches count from 0")
+    known = key_dictionary(spark, path)
+    if known is not None:
+        numbered = known.agg(F.max("batch")).first()[0]
+        if numbered is not None and numbered > batch:
+            raise ValueError(f"batch {numbered} is numbered already; batch {batch} can't come after it")
+        known = known.where(F.col("batch") < batch).drop("batch")
+    new = df.select(*named).where(reduce(lambda a, b: a & b, [k.isNotNull() for k in named])).distinct()
+    first = start
+    if known is not None:
+        new = new.join(known.select(*named), keys, "left_anti")
+        top = known.agg(F.max(F.col(f"`{name}`"))).first()[0]
+        first = start if top is None else top + 1
+    added = assign_surrogate_keys(new, keys, name, first, partitions)
+    added.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    return resolve_keys(df, keys, key_dictionary(spark, path), keys, name)
+
+
+def key_dictionary(spark: SparkSession, path: str) -> DataFrame | None:
+    """Natural keys, surrogate key and ``batch`` of a kept dictionary; ``None`` before its first batch."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return None
+    return spark.read.parquet(path)
 
 
 def resolve_keys(child: DataFrame, columns: Sequence[str], parent: DataFrame, natural_key: Sequence[str],

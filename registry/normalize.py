@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ferrycraft.session import new_path
 from ferrycraft.operators import normalize as nm
 from ferrycraft.operators import profiling as pf
 from ferrycraft.operators.documents import parse_documents
@@ -116,3 +117,17 @@ def dual_read_diff(spark, d):
     children = nm.explode_child(docs, "o_orderkey", array, fields=ITEM_FIELDS).withColumn(
         "qty", F.when(F.col("product") % 50 == 7, F.col("qty") + 1).otherwise(F.col("qty")))
     return nm.dual_read_diff(docs, "o_orderkey", array, ITEM_FIELDS, children)
+
+
+@query("""WITH first AS (SELECT p_brand, p_type, dense_rank() OVER (ORDER BY p_brand, p_type) AS id
+FROM (SELECT DISTINCT p_brand, p_type FROM part WHERE p_partkey % 3 = 1)),
+more AS (SELECT p_brand, p_type, dense_rank() OVER (ORDER BY p_brand, p_type) + (SELECT count(*) FROM first) AS id
+FROM (SELECT DISTINCT p_brand, p_type FROM part WHERE (p_brand, p_type) NOT IN (SELECT (p_brand, p_type) FROM first)))
+SELECT p_partkey, id FROM part JOIN (SELECT * FROM first UNION ALL SELECT * FROM more) USING (p_brand, p_type)""")
+def kept_surrogate_keys(spark, d):
+    """Keys of a first batch stay in the second, which is run twice; new ones continue without a gap."""
+    parts, path = table(spark, d, "part").select("p_partkey", "p_brand", "p_type"), new_path(spark, "keys")
+    key = ["p_brand", "p_type"]
+    nm.extend_surrogate_keys(parts.where(F.col("p_partkey") % 3 == 1), key, path, 0)
+    nm.extend_surrogate_keys(parts, key, path, 1)
+    return nm.extend_surrogate_keys(parts, key, path, 1).select("p_partkey", "id")

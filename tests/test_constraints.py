@@ -206,3 +206,18 @@ def test_elements_beyond_the_end(spark):
     text, failed = tried_clause("a[n] > 5")
     assert sorted(r["n"] for r in df.where(F.expr(failed)).collect()) == [-1, 4]
     assert [r["n"] for r in df.where(F.expr(text)).collect()] == [3]
+
+
+def test_repair_reads_the_child_once(spark, tmp_path):
+    spark.range(600).select(F.when(F.col("id") < 200, 7).when(F.col("id") < 400, 5).otherwise(F.col("id") % 40).alias("k.k"), "id").write.parquet(f"{tmp_path}/c")
+    child = spark.read.parquet(f"{tmp_path}/c").union(spark.createDataFrame([(None, 1000)], "k long, id long"))
+    parent = spark.range(0, 40, 5).union(spark.range(0, 40, 5)).toDF("p")
+    one = spark.read.parquet(f"{tmp_path}/c")
+    for how, extra in (("delete", {}), ("reassign", {"reassign_to": {"k.k": -1}})):
+        plan = ct.resolve_orphans(one, ["k.k"], parent, how, ["p"], **extra)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1
+        out = ct.resolve_orphans(child, ["k.k"], parent, how, ["p"], **extra)
+        want = [(r["k.k"], r["id"]) for r in child.collect()]
+        good = lambda k: k is None or (k % 5 == 0 and 0 <= k < 40)
+        want = [(k, i) for k, i in want if good(k)] if how == "delete" else [(k if good(k) else -1, i) for k, i in want]
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)

@@ -118,3 +118,20 @@ def test_fingerprint_takes_every_type(spark):
         CAST(NULL AS array<int>) AS a""")
     assert rc.fingerprint(rows).first() == rc.fingerprint(turned).first()
     assert rc.fingerprint(rows.drop("v")).first()[1] != rc.fingerprint(rows).first()[1]
+
+
+def test_kept_surrogate_keys(spark, tmp_path):
+    path = f"{tmp_path}/keys"
+    rows = lambda *r: spark.createDataFrame(list(r), "`a.a` string, b int")
+    number = lambda df, batch: {(r["a.a"], r["b"]): r["id"] for r in nm.extend_surrogate_keys(df, ["a.a", "b"], path, batch).collect()}
+    one = number(rows(("x", 1), ("x", 1), ("y", 2), ("z", None)), 0)
+    assert one == {("x", 1): 1, ("y", 2): 2, ("z", None): None}
+    two = number(rows(("a", 1), ("y", 2), ("b", 0)), 1)
+    assert two == {("a", 1): 3, ("b", 0): 4, ("y", 2): 2}
+    assert number(rows(("a", 1), ("y", 2), ("b", 0)), 1) == two  # a batch that is run again
+    assert number(rows(("a", 1)), 2) == {("a", 1): 3}
+    assert number(rows(("c", 1), ("x", 1)), 3) == {("c", 1): 5, ("x", 1): 1}
+    with pytest.raises(ValueError):
+        number(rows(("q", 1)), 1)
+    held = [r["id"] for r in nm.key_dictionary(spark, path).collect()]
+    assert sorted(held) == [1, 2, 3, 4, 5]
