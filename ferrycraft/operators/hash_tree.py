@@ -58,15 +58,18 @@ def content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*values, F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in values]))
 
 
+def merged(parts: list[int], most: int = INTERVALS) -> list[tuple[int, int]]:
+    """Sorted numbers as ``most`` half-open intervals at most: the widest gaps stay out."""
+    gaps = sorted(range(1, len(parts)), key=lambda i: parts[i - 1] - parts[i])[:most - 1]
+    cuts = [0, *sorted(i for i in gaps if parts[i] - parts[i - 1] > 1), len(parts)]
+    return [(parts[a], parts[b - 1] + 1) for a, b in zip(cuts, cuts[1:])] if parts else []
+
+
 def _intervals(parts: DataFrame, total: int) -> list[tuple[int, int]]:
-    """The parts, from first to last, as ``INTERVALS`` intervals at most: the widest gaps stay out."""
+    """The parts as intervals; coarsened, so that no more than ``LISTED`` numbers come to the driver."""
     coarse = -(-total // LISTED)
     found = sorted(r[0] for r in parts.where("part >= 0").selectExpr(f"part div {coarse} AS p").distinct().collect())
-    if not found:
-        return []
-    gaps = sorted(range(1, len(found)), key=lambda i: found[i - 1] - found[i])[:INTERVALS - 1]
-    cuts = [0, *sorted(i for i in gaps if found[i] - found[i - 1] > 1), len(found)]
-    return [(found[a] * coarse, (found[b - 1] + 1) * coarse) for a, b in zip(cuts, cuts[1:])]
+    return [(a * coarse, b * coarse) for a, b in merged(found)]
 
 
 def tree_diff(left: DataFrame, right: DataFrame, keys: Iterable[str], fanout: int = FANOUT,

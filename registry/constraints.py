@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ferrycraft.operators import constraints as ct
-from ferrycraft.operators import layout
+from ferrycraft.operators import layout, postings
 from ferrycraft.operators.constraints import Constraint
 from ferrycraft.session import new_path, spread
 
@@ -219,6 +219,53 @@ def clustered_read(spark, d):
         F.col("l_shipdate").between(F.lit("1997-03-01").cast("timestamp"), F.lit("1997-03-31").cast("timestamp")))
 
 
+_AXES = [("l_partkey", 100, 140), ("l_suppkey", 3, 5), ("l_quantity", 10.0, 11.0)]
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS filter, count(*) AS matching, true AS skips FROM lineitem WHERE {c} BETWEEN {low} AND {high}"
+                          for c, low, high in _AXES))
+def curve_clustering(spark, d):
+    """Files dealt along a curve through three columns: a filter on any one of them skips some."""
+    path = new_path(spark, "lineitem-by-curve")
+    items = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_orderkey", "l_linenumber")
+    columns = [c for c, _, _ in _AXES]
+    layout.write_multi_clustered(items, path, columns, 64)
+    kept = spark.read.schema(items.schema).parquet(path)
+    matching = kept.agg(*[F.count_if(F.col(c).between(low, high)).alias(c) for c, low, high in _AXES]).unpivot(
+        [], columns, "filter", "matching")
+    return layout.files_to_read(kept, columns, _AXES).join(matching, "filter").select(
+        "filter", "matching", ((F.col("files_read") < F.col("files")) & (F.col("rows_read") >= F.col("matching"))).alias("skips"))
+
+
+def _postings(spark, d):
+    path = new_path(spark, "postings")
+    postings.write_postings(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", path)
+    return spark.read.parquet(f"{path}/blocks"), spark.read.parquet(f"{path}/lengths")
+
+
+_TERMS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+'), lambda x: x <> '')"
+
+
+@query(f"""SELECT doc_id AS doc, count(*) AS hits FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i
+FROM (SELECT doc_id, {_TERMS} AS w FROM documents)) WHERE w[i:i + 2] = ['gnu', 'general', 'public'] GROUP BY doc_id""")
+def phrase_search(spark, d):
+    """Three words one behind the other, from postings with positions."""
+    blocks, _ = _postings(spark, d)
+    return postings.search_phrase(blocks, "GNU General, public")
+
+
+@query(f"""WITH words AS (SELECT doc_id AS doc, {_TERMS} AS w FROM documents),
+lengths AS (SELECT doc, len(w) AS length FROM words WHERE len(w) > 0), n AS (SELECT count(*) AS total, avg(length) AS mean FROM lengths),
+tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(w) AS term FROM words) WHERE term IN ('public', 'the', 'license', 'edoution') GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
+SELECT doc, round(sum(ln(1 + (total - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 9) AS score
+FROM tf JOIN df USING (term) JOIN lengths USING (doc), n GROUP BY doc ORDER BY score DESC, doc LIMIT 25""")
+def ranked_search(spark, d):
+    """The best 25 documents for some words, ties by the smaller document."""
+    blocks, lengths = _postings(spark, d)
+    return postings.search_ranked(blocks, lengths, "the public license edoution", 25)
+
+
 @query("""SELECT DISTINCT term, doc_id FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+')) AS term
 FROM documents) WHERE term <> ''""")
 def term_index(spark, d):
