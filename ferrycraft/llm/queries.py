@@ -194,8 +194,8 @@ def op11_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH RECURSIVE usable AS (
     SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-    WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-        AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
@@ -227,7 +227,7 @@ cuts AS (
         CAST(1000000::HUGEINT * c.a * c.a // (x.n::HUGEINT * y.n) AS BIGINT) AS score
     FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
     JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
-    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:size], ' ')),
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:c.size], ' ')),
 best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 holders AS (
     SELECT lang, part, max(a) AS most FROM (
