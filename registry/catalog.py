@@ -92,6 +92,48 @@ def name_collisions(spark, d):
     return c.name_collisions(named)
 
 
+@query(f"""SELECT t.table_schema, t.table_name,
+list_reduce(list_transform(range(1, 2 + p_partkey % 7), lambda i: i || '=Col' || i || '=col' || i), lambda a, b: a || ',' || b) AS columns,
+list_reduce(list_transform(range(1 + p_partkey % 3, 0, -1), lambda i: 'col' || i), lambda a, b: a || ',' || b) AS primary_key,
+'fk_t' || p_partkey || '(' || CASE p_partkey % 2 WHEN 0 THEN 'col1' ELSE 'col1,col2' END || ')t' || (p_partkey // 2) || '(' ||
+CASE p_partkey % 2 WHEN 0 THEN 'key1' ELSE 'key1,key2' END || ')' AS foreign_keys,
+CASE WHEN p_partkey % 4 <> 0 AND p_partkey % 11 <> 0 THEN 'ix_t' || p_partkey || '(col2,col1)' || (p_partkey % 2 = 1) ELSE '' END AS indexes
+FROM {DICT_TABLES_SQL} t JOIN part ON t.table_name = 'T' || p_partkey WHERE table_type = 'BASE TABLE'""")
+def manifest(spark, d):
+    """Every list of the assembled manifest, entry by entry."""
+    built = c.build_manifest(
+        c.base_tables(inputs.dict_tables(spark, d)), c.table_columns(inputs.dict_columns(spark, d)),
+        primary=c.key_columns(inputs.dict_constraints(spark, d), inputs.dict_key_usage(spark, d)),
+        references=c.foreign_keys(inputs.dict_fk_columns(spark, d)),
+        indexes=c.table_indexes(inputs.dict_indexes(spark, d), inputs.dict_index_columns(spark, d)))
+    listed = lambda entries, show: F.coalesce(F.array_join(F.transform(entries, show), ","), F.lit(""))
+    names = lambda x: F.array_join(x, ",")
+    return built.select(
+        "table_schema", "table_name",
+        listed("columns", lambda x: F.concat_ws("=", x["ordinal_position"], x["column_name"], x["target_name"])).alias("columns"),
+        names("primary_key").alias("primary_key"),
+        listed("foreign_keys", lambda x: F.concat(x["fk_name"], F.lit("("), names(x["columns"]), F.lit(")"), x["ref_table"], F.lit("("),
+                                                  names(x["ref_columns"]), F.lit(")"))).alias("foreign_keys"),
+        listed("indexes", lambda x: F.concat(x["index_name"], F.lit("("), x["columns"], F.lit(")"), x["is_unique"])).alias("indexes"))
+
+
+@query("""SELECT 'T' || p_partkey AS table_name, 'ix' || p_partkey AS index_name, lower(replace(p_type, '.', '_')) || '_a,name' AS columns
+FROM part WHERE p_partkey % 3 <> 0""")
+def document_indexes(spark, d):
+    p = F.col("p_partkey")
+    indexes = table(spark, d, "part").select(
+        F.concat(F.lit("T"), p).alias("table_name"),
+        F.when(p % 3 == 0, "_id_").otherwise(F.concat(F.lit("ix"), p)).alias("index_name"),
+        F.array(F.concat("p_type", F.lit(".A")), F.lit("Name")).alias("keys"))
+    return layout.document_indexes(indexes).withColumn("columns", F.array_join("columns", ","))
+
+
+@query("""SELECT lower(p_name) AS target_table, count(*) AS tables FROM part GROUP BY 1 HAVING count(*) > 1""")
+def name_collisions(spark, d):
+    named = table(spark, d, "part").select(F.col("p_brand").alias("table_schema"), F.col("p_name").alias("table_name"))
+    return c.name_collisions(named)
+
+
 @query(f"""SELECT t.table_schema, t.table_name, 1 + p_partkey % 7 AS column_count,
 'pk' || (1 + p_partkey % 3) AS key_size, CASE WHEN p_partkey % 4 <> 0 AND p_partkey % 11 <> 0 THEN 1 ELSE 0 END AS index_count
 FROM {DICT_TABLES_SQL} t JOIN part ON t.table_name = 'T' || p_partkey WHERE table_type = 'BASE TABLE'""")

@@ -7,23 +7,27 @@ from ferrycraft.session import spread, stage
 from ferrycraft.sources.writers import definition_store as store
 
 from . import inputs, query, table
-from .inputs import DEFINITIONS_SQL
+from .inputs import DEFINITIONS_SQL, ORDER_ITEMS_TEXT_SQL
 
 
 def _orders(spark, d):
     return dc.parse_documents(inputs.order_documents(spark, d))
 
 
-@query("""SELECT o_orderkey, unnest([{'path': '_id', 'v': '{"$oid":"' || lpad(upper(to_hex(o_orderkey)), 24, '0') || '"}'},
-{'path': 'customer.key', 'v': '' || o_custkey}, {'path': 'customer.priority.level', 'v': '"' || o_orderpriority || '"'},
-{'path': 'status', 'v': '"' || o_orderstatus || '"'},
-{'path': 'placed', 'v': '{"$date":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '"}'},
-{'path': 'tags', 'v': '["' || o_orderstatus || '","' || o_orderpriority || '"]'}], recursive := true) FROM orders""")
+@query(f"""SELECT o_orderkey, unnest([{{'path': '_id', 'v': '{{"$oid":"' || lpad(upper(to_hex(o_orderkey)), 24, '0') || '"}}'}},
+{{'path': 'customer.key', 'v': '' || o_custkey}}, {{'path': 'customer.priority.level', 'v': '"' || o_orderpriority || '"'}},
+{{'path': 'status', 'v': '"' || o_orderstatus || '"'}}, {{'path': 'total', 'v': CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)}},
+{{'path': 'placed', 'v': '{{"$date":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '"}}'}}, {{'path': 'items', 'v': items}},
+{{'path': 'tags', 'v': '["' || o_orderstatus || '","' || o_orderpriority || '"]'}}], recursive := true)
+FROM orders JOIN {ORDER_ITEMS_TEXT_SQL} USING (o_orderkey)""")
 def flatten_documents(spark, d):
-    """Leaves of the nested order documents as (path, JSON text), but for the numbers with fractions."""
-    leaves = dc.flatten_documents(_orders(spark, d), keep=["o_orderkey"], max_depth=4)
-    flat = leaves.select("o_orderkey", F.array_join("steps", ".").alias("path"), F.to_json("value").alias("v"))
-    return flat.where(~F.col("path").isin("total", "items"))
+    """All leaves of the nested order documents as (path, JSON text), numbers with fractions by their value."""
+    docs = stage(_orders(spark, d).select("o_orderkey", "doc"), "order-docs")
+    flat = dc.flatten_documents(docs, keep=["o_orderkey"]).select(
+        "o_orderkey", F.array_join("steps", ".").alias("path"), F.to_json("value").alias("v"))
+    value = F.when(F.col("path") == "total", F.col("v").cast("decimal(18,2)").cast("string")).when(
+        F.col("path") == "items", inputs.items_text(F.col("v"))).otherwise(F.col("v"))
+    return flat.withColumn("v", value)
 
 
 def _schema(df, profile):
@@ -34,7 +38,9 @@ def _schema(df, profile):
 FROM (VALUES ('_id', 'CHAR(24)'), ('customer.key', 'INTEGER'), ('customer.priority.level', 'TEXT'), ('status', 'TEXT'),
 ('total', 'DOUBLE PRECISION'), ('placed', 'TIMESTAMPTZ'), ('tags', 'JSONB'), ('items', 'JSONB')) v(f, t)""")
 def infer_order_schema(spark, d):
-    return dc.infer_schema(_orders(spark, d), profile="pg", max_depth=4).select("field", "column_name", "target_type", "present")
+    """The levels of the documents are measured, and all are opened."""
+    docs = stage(_orders(spark, d).select("doc"), "order-docs")
+    return dc.infer_schema(docs, profile="pg").select("field", "column_name", "target_type", "present")
 
 
 @query("SELECT 'k' AS field, 'k' AS column_name, 'INT' AS target_type, count(*) AS present FROM events")
@@ -66,14 +72,15 @@ def project_events(spark, d):
     return dc.project_documents(docs, dc.infer_schema(docs), keep=["event_id"])
 
 
-@query("""SELECT lpad(upper(to_hex(o_orderkey)), 24, '0') AS _id, CAST(o_custkey AS INTEGER) AS customer_key,
+@query(f"""SELECT lpad(upper(to_hex(o_orderkey)), 24, '0') AS _id, CAST(o_custkey AS INTEGER) AS customer_key,
 o_orderpriority AS customer_priority_level, o_orderdate AS placed, o_orderstatus AS status,
-'["' || o_orderstatus || '","' || o_orderpriority || '"]' AS tags, o_totalprice AS total FROM orders""")
+'["' || o_orderstatus || '","' || o_orderpriority || '"]' AS tags, o_totalprice AS total, items
+FROM orders JOIN {ORDER_ITEMS_TEXT_SQL} USING (o_orderkey)""")
 def project_orders(spark, d):
     """Order documents parsed once into staged VARIANT, then inferred and projected."""
     docs = stage(_orders(spark, d).select("doc"), "order-docs")
     rows = dc.project_documents(docs, dc.infer_schema(docs))
-    return rows.drop("items").withColumn("placed", F.col("placed").cast("timestamp_ntz"))
+    return rows.withColumns({"items": inputs.items_text(F.col("items")), "placed": F.col("placed").cast("timestamp_ntz")})
 
 
 @query("""SELECT event_id AS _id, event_id + CASE WHEN event_id % 2 = 0 THEN 0 ELSE 0.25 END::DOUBLE AS n,
@@ -112,19 +119,17 @@ def orders_to_documents(spark, d):
     return dc.rows_to_documents(orders, keep=["o_orderkey"]).withColumnRenamed("o_orderkey", "k")
 
 
-@query("""SELECT column_name, count(*) AS n, count(*) FILTER (collides) AS colliding FROM (
-SELECT lower(replace(f, '.', '_')) AS column_name, f, count(*) OVER (PARTITION BY lower(replace(f, '.', '_'))) > 1 AS collides
-FROM (SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN p_brand || '.' || p_type WHEN 1 THEN p_brand || '_' || p_type
-ELSE upper(p_brand) || '.' || p_type END AS f FROM part)) GROUP BY column_name""")
+@query("""SELECT f AS field, name || CASE WHEN nth > 1 THEN '__' || nth ELSE '' END AS column_name, n > 1 AS collides FROM (
+SELECT f, name, row_number() OVER (PARTITION BY name ORDER BY f) AS nth, count(*) OVER (PARTITION BY name) AS n FROM (
+SELECT f, lower(replace(f, '.', '_')) AS name FROM (SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN p_brand || '.' || p_type
+WHEN 1 THEN p_brand || '_' || p_type ELSE upper(p_brand) || '.' || p_type END AS f FROM part)))""")
 def naming_collisions(spark, d):
-    """Field names that fold to one column name, found before any table is created."""
+    """Field names that fold to one column name, and the names they get."""
     p = F.col("p_partkey")
     fields = table(spark, d, "part").select(F.when(p % 3 == 0, F.concat("p_brand", F.lit("."), "p_type")).when(
         p % 3 == 1, F.concat("p_brand", F.lit("_"), "p_type")).otherwise(
         F.concat(F.upper("p_brand"), F.lit("."), "p_type")).alias("field")).distinct()
-    named = dc.target_names(fields)
-    base = F.regexp_replace("column_name", "__[0-9]+$", "").alias("column_name")
-    return named.groupBy(base).agg(F.count(F.lit(1)).alias("n"), F.count_if("collides").alias("colliding"))
+    return dc.target_names(fields).select("field", "column_name", "collides")
 
 
 @query(f"""SELECT schema, name, definition, 'Requires manual conversion' AS note FROM {DEFINITIONS_SQL}

@@ -195,12 +195,14 @@ def instant_documents(spark, d):
 
 
 def order_documents(spark, d):
-    """Orders as nested Extended JSON with an array of up to four items, all derived from the order's row."""
+    """Orders as nested Extended JSON with their lines as an array of items."""
     k = F.col("o_orderkey")
-    item = lambda i: F.struct(
-        ((k * 7 + i) % 200).alias("product"), (i + 1).alias("qty"), (k % 100 + i).cast("double").alias("price"))
-    items = F.transform(F.slice(F.array(*[F.lit(i) for i in range(4)]), F.lit(1), (k % 5).cast("int")), item)
-    return spread(table(spark, d, "orders")).select("o_orderkey", F.to_json(F.struct(
+    line = F.struct("l_linenumber", F.col("l_partkey").alias("product"), F.col("l_quantity").cast("int").alias("qty"),
+                    F.col("l_extendedprice").alias("price"))
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    items = F.transform(F.coalesce("lines", F.array()), lambda x: x.dropFields("l_linenumber"))
+    orders = table(spark, d, "orders").join(lines, k == F.col("l_orderkey"), "left")
+    return spread(orders).select("o_orderkey", F.to_json(F.struct(
         F.struct(F.lpad(F.hex(k), 24, "0").alias("$oid")).alias("_id"),
         F.struct(F.col("o_custkey").alias("key"), F.struct(F.col("o_orderpriority").alias("level")).alias("priority")).alias(
             "customer"),
@@ -209,5 +211,18 @@ def order_documents(spark, d):
         F.array("o_orderstatus", "o_orderpriority").alias("tags"), items.alias("items"))).alias("value"))
 
 
-ORDER_ITEMS_SQL = """(SELECT o_orderkey, CAST(i AS INTEGER) AS pos, (o_orderkey * 7 + i) % 200 AS product, CAST(i + 1 AS INTEGER) AS qty,
- CAST(o_orderkey % 100 + i AS DOUBLE) AS price FROM (SELECT o_orderkey, unnest(range(0, o_orderkey % 5)) AS i FROM orders))"""
+ORDER_ITEMS_SQL = """(SELECT l_orderkey AS o_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey
+ ORDER BY l_linenumber, l_partkey, CAST(l_quantity AS INTEGER), l_extendedprice) - 1 AS INTEGER) AS pos,
+ l_partkey AS product, CAST(l_quantity AS INTEGER) AS qty, l_extendedprice AS price
+ FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders))"""
+# The items of each order as one text, which both engines can print.
+ORDER_ITEMS_TEXT_SQL = f"""(SELECT o.o_orderkey, coalesce(items, '') AS items FROM orders o LEFT JOIN (SELECT o_orderkey,
+ string_agg(product || ':' || qty || ':' || CAST(price AS DECIMAL(18,2)), ';' ORDER BY pos) AS items
+ FROM {ORDER_ITEMS_SQL} GROUP BY o_orderkey) i USING (o_orderkey))"""
+
+
+def items_text(json):
+    """That text, from the JSON of an array of items."""
+    items = F.from_json(json, "array<struct<product: bigint, qty: int, price: double>>")
+    return F.array_join(F.transform(items, lambda x: F.concat_ws(
+        ":", x["product"], x["qty"], x["price"].cast("decimal(18,2)"))), ";")

@@ -9,7 +9,7 @@ from ferrycraft.operators import reconcile as rc
 from ferrycraft.operators.documents import parse_documents
 from ferrycraft.operators.normalize import document_array, explode_child
 
-from ferrycraft.session import spread
+from ferrycraft.session import spread, stage
 
 from . import query, table
 from .inputs import order_documents
@@ -41,11 +41,15 @@ def load_summary(spark, d):
     return rc.load_summary(_recon(spark, d))
 
 
-@query(f"""SELECT 'FAIL' AS overall, string_agg(table_name || ':' || status, ',' ORDER BY table_name) AS tables FROM ({_RECON})""")
+@query(f"""SELECT 4::BIGINT AS total_tables, count_if(status = 'PASS') AS passed, count_if(status <> 'PASS') AS failed, 'FAIL' AS overall,
+string_agg(table_name || ':' || s || ':' || g || ':' || matches || ':' || status || ':-', ',' ORDER BY table_name) AS tables
+FROM (SELECT *, source_rows AS s, target_rows AS g FROM ({_RECON}))""")
 def migration_report(spark, d):
+    """The whole report but the time it was made."""
+    entry = lambda t: F.concat_ws(":", t["table_name"], t["source_rows"], t["target_rows"], t["matches"], t["status"],
+                                  F.coalesce(t["issue"], F.lit("-")))
     return rc.migration_report(_recon(spark, d)).select(
-        F.col("summary.overall").alias("overall"),
-        F.array_join(F.transform("tables", lambda t: F.concat(t["table_name"], F.lit(":"), t["status"])), ",").alias("tables"))
+        "summary.*", F.array_join(F.transform("tables", entry), ",").alias("tables"))
 
 
 _LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -172,11 +176,13 @@ def diff_by_key(spark, d):
     return diff.withColumn("changed_columns", F.array_join("changed_columns", ","))
 
 
-@query("""SELECT o_orderkey AS parent_key, o_orderkey % 5 AS elements, o_orderkey % 5 - 1 AS child_rows FROM orders
-WHERE o_orderkey % 50 = 3 UNION ALL SELECT -1, 0, count(*) FROM orders WHERE o_orderkey % 50 = 4""")
+@query("""WITH n AS (SELECT l_orderkey AS k, count(*) AS c FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY 1)
+SELECT k AS parent_key, c AS elements, c - 1 AS child_rows FROM n WHERE k % 50 = 3
+UNION ALL SELECT -1, 0, count(*) FROM n WHERE k % 50 = 4 HAVING count(*) > 0""")
 def reconcile_arrays(spark, d):
     """Items exploded to a child table that lost some rows and has rows of an unknown parent."""
-    docs = parse_documents(order_documents(spark, d)).withColumn("items", document_array(F.col("doc"), ["items"]))
+    docs = stage(parse_documents(order_documents(spark, d)).select("o_orderkey", document_array(
+        F.col("doc"), ["items"]).alias("items")), "order-items")
     children = explode_child(docs, "o_orderkey", F.col("items"), fields={"qty": (["qty"], "int")})
     k = F.col("o_orderkey") % 50
     lost = children.where(~((k == 3) & (F.col("pos") == 0)))
