@@ -104,22 +104,40 @@ def target_type(rank: Column, profile: str) -> Column:
     return F.element_at(literal, rank)
 
 
+def _both_quotes(step: str) -> bool:
+    return "'" in step and '"' in step
+
+
 def variant_path(steps: list[str]) -> str:
     """Path that takes every step literally, dots and ``$`` included."""
     quoted = []
     for step in steps:
-        if "'" in step and '"' in step:
-            raise ValueError(f"field name with both quote characters: {step!r}")
+        if _both_quotes(step):
+            raise ValueError(f"a path can't hold a field name with both quote characters, see descend: {step!r}")
         quoted.append(f'["{step}"]' if "'" in step else f"['{step}']")
     return "$" + "".join(quoted)
 
 
+def descend(doc: Column, steps: list[str]) -> tuple[Column, str]:
+    """A document and the path in it that lead to ``steps``; names that no path can hold are looked up as map keys."""
+    last = max((i for i, step in enumerate(steps) if _both_quotes(step)), default=-1)
+    if last < 0:
+        return doc, variant_path(steps)
+    above, path = descend(doc, steps[:last])
+    return F.try_element_at(F.try_variant_get(above, path, "map<string,variant>"), F.lit(steps[last])), variant_path(steps[last + 1:])
+
+
+def value_at(doc: Column, steps: list[str], kind: str) -> Column:
+    """The value at ``steps`` as a type, NULL when it is missing or does not fit."""
+    return F.try_variant_get(*descend(doc, steps), kind)
+
+
 def read_value(doc: Column, steps: list[str], rank: int, kinds: int, profile: str) -> Column:
     """The value at ``steps`` as the Spark type of ``rank``; NULL when a step is missing or does not fit.
 
     ``kinds`` says which kinds the field holds, so only the wrappers that occur are looked for.
     """
-    path = variant_path(steps)
+    doc, path = descend(doc, steps)
     has = lambda *ks: any(kinds & (1 << k) for k in ks)
     get = lambda suffix, t: F.try_variant_get(doc, path + suffix, t)
     numbers = ["['$numberInt']", "['$numberLong']", "['$numberDouble']"] if has(WRAPPED) else []
@@ -170,4 +188,4 @@ def read_value(doc: Column, steps: list[str], rank: int, kinds: int, profile: st
 
 def is_missing(doc: Column, steps: list[str]) -> Column:
     """True where the document has no such field; an explicit null is present."""
-    return F.try_variant_get(doc, variant_path(steps), "variant").isNull()
+    return value_at(doc, steps, "variant").isNull()

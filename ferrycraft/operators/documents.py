@@ -156,7 +156,7 @@ def audit_projection(docs: DataFrame, schema: DataFrame | list[Row], profile: st
     source = F.col(doc)
     counts = []
     for r in rows:
-        raw = F.try_variant_get(source, dt.variant_path(r["steps"]), "variant")
+        raw = dt.value_at(source, r["steps"], "variant")
         held = raw.isNotNull() & ~F.is_variant_null(raw)
         lost = dt.read_value(source, r["steps"], r["rank"], r["kinds"], profile).isNull()
         counts.append(F.struct(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..functions.doc_types import variant_path
+from ..functions.doc_types import value_at
 from ..session import stage
 from .conform import one_pass
 from .reconcile import diff_tables, exact_sum, exact_value
@@ -17,7 +17,7 @@ from .reconcile import diff_tables, exact_sum, exact_value
 
 def document_array(doc: Column, steps: list[str]) -> Column:
     """Array of VARIANT at a path of a document; NULL when it is missing or no array."""
-    return F.try_variant_get(doc, variant_path(steps), "array<variant>")
+    return value_at(doc, steps, "array<variant>")
 
 
 def json_array(text: Column) -> Column:
@@ -36,7 +36,7 @@ def explode_child(df: DataFrame, key: str, elements: Column, value_type: str = "
     if fields:
         items = df.select(F.col(key), F.posexplode(elements).alias(position, "__e"))
         return items.select(key, position, *[
-            F.try_variant_get("__e", variant_path(steps), t).alias(name) for name, (steps, t) in fields.items()])
+            value_at(F.col("__e"), steps, t).alias(name) for name, (steps, t) in fields.items()])
     typed = F.transform(elements, lambda e: F.try_variant_get(e, "$", value_type))
     if distinct:
         return df.select(F.col(key), F.explode(F.array_distinct(typed)).alias(value)).where(

@@ -163,3 +163,14 @@ def test_depth(spark, text, depth):
 def test_nothing_to_audit(spark):
     docs = documents(spark, ["{}"])
     assert dc.audit_projection(docs, []).count() == 0
+
+
+def test_names_with_both_quotes(spark):
+    """A name that no path can hold doesn't stop the collection."""
+    lines = [{'it\'s "x"': {"a.b": {"'\"": 5}}, "k": 1}, {'it\'s "x"': {"a.b": {"'\"": 7}}, "k": 2}, {"k": 3}]
+    docs = dc.parse_documents(spark.createDataFrame([(json.dumps(x),) for x in lines], "value string"))
+    schema = dc.infer_schema(docs)
+    rows = dc.project_documents(docs, schema).collect()
+    name = next(c for c in rows[0].asDict() if c != "k")
+    assert sorted((r["k"], r[name]) for r in rows) == [(1, 5), (2, 7), (3, None)]
+    assert dc.audit_projection(docs, schema).agg(F.sum("lost")).first()[0] == 0
