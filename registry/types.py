@@ -12,18 +12,44 @@ from . import inputs, query, table
 from .inputs import DICT_COLUMNS_SQL, sql_literal
 
 
-def _case(mapping, fallback):
-    arms = " ".join(f"WHEN {sql_literal(k)} THEN {sql_literal(v)}" for k, v in mapping.items())
-    return f"CASE data_type {arms} ELSE {sql_literal(fallback)} END"
-
-
+# The target of each source type, frozen here so that a change in the tables of the library shows.
+_PG_PLAIN = """CASE data_type WHEN 'tinyint' THEN 'smallint' WHEN 'smallint' THEN 'smallint' WHEN 'int' THEN 'integer'
+ WHEN 'integer' THEN 'integer' WHEN 'bigint' THEN 'bigint' WHEN 'bit' THEN 'boolean' WHEN 'money' THEN 'numeric(19,4)'
+ WHEN 'smallmoney' THEN 'numeric(10,4)' WHEN 'float' THEN 'double precision' WHEN 'real' THEN 'real'
+ WHEN 'date' THEN 'date' WHEN 'time' THEN 'time' WHEN 'datetime' THEN 'timestamp' WHEN 'datetime2' THEN 'timestamptz'
+ WHEN 'smalldatetime' THEN 'timestamp' WHEN 'datetimeoffset' THEN 'timestamptz' WHEN 'text' THEN 'text'
+ WHEN 'ntext' THEN 'text' WHEN 'image' THEN 'bytea' WHEN 'binary' THEN 'bytea' WHEN 'varbinary' THEN 'bytea'
+ WHEN 'uniqueidentifier' THEN 'uuid' WHEN 'xml' THEN 'text' WHEN 'geography' THEN 'text' WHEN 'geometry' THEN 'text'
+ WHEN 'hierarchyid' THEN 'text' WHEN 'sql_variant' THEN 'text' WHEN 'rowversion' THEN 'bytea'
+ WHEN 'timestamp' THEN 'bytea' ELSE 'text' END"""
+_MYSQL_PLAIN = """CASE data_type WHEN 'tinyint' THEN 'TINYINT UNSIGNED' WHEN 'smallint' THEN 'SMALLINT'
+ WHEN 'int' THEN 'INT' WHEN 'integer' THEN 'INT' WHEN 'bigint' THEN 'BIGINT' WHEN 'bit' THEN 'TINYINT(1)'
+ WHEN 'money' THEN 'DECIMAL(19,4)' WHEN 'smallmoney' THEN 'DECIMAL(10,4)' WHEN 'float' THEN 'DOUBLE'
+ WHEN 'real' THEN 'FLOAT' WHEN 'date' THEN 'DATE' WHEN 'time' THEN 'TIME' WHEN 'datetime' THEN 'DATETIME'
+ WHEN 'datetime2' THEN 'DATETIME(6)' WHEN 'smalldatetime' THEN 'DATETIME' WHEN 'datetimeoffset' THEN 'DATETIME(6)'
+ WHEN 'text' THEN 'LONGTEXT' WHEN 'ntext' THEN 'LONGTEXT' WHEN 'image' THEN 'LONGBLOB' WHEN 'binary' THEN 'BLOB'
+ WHEN 'varbinary' THEN 'LONGBLOB' WHEN 'uniqueidentifier' THEN 'CHAR(36)' WHEN 'xml' THEN 'LONGTEXT'
+ WHEN 'geography' THEN 'LONGTEXT' WHEN 'geometry' THEN 'LONGTEXT' WHEN 'hierarchyid' THEN 'VARCHAR(256)'
+ WHEN 'sql_variant' THEN 'LONGTEXT' WHEN 'rowversion' THEN 'BIGINT UNSIGNED' WHEN 'timestamp' THEN 'BIGINT UNSIGNED'
+ ELSE 'LONGTEXT' END"""
+_BSON_PLAIN = """CASE data_type WHEN 'tinyint' THEN 'int' WHEN 'smallint' THEN 'int' WHEN 'int' THEN 'int'
+ WHEN 'integer' THEN 'int' WHEN 'bigint' THEN 'long' WHEN 'bit' THEN 'bool' WHEN 'money' THEN 'decimal128'
+ WHEN 'smallmoney' THEN 'decimal128' WHEN 'float' THEN 'double' WHEN 'real' THEN 'double'
+ WHEN 'decimal' THEN 'decimal128' WHEN 'numeric' THEN 'decimal128' WHEN 'date' THEN 'date' WHEN 'time' THEN 'string'
+ WHEN 'datetime' THEN 'date' WHEN 'datetime2' THEN 'date' WHEN 'smalldatetime' THEN 'date'
+ WHEN 'datetimeoffset' THEN 'date' WHEN 'char' THEN 'string' WHEN 'nchar' THEN 'string' WHEN 'varchar' THEN 'string'
+ WHEN 'nvarchar' THEN 'string' WHEN 'text' THEN 'string' WHEN 'ntext' THEN 'string' WHEN 'binary' THEN 'binData'
+ WHEN 'varbinary' THEN 'binData' WHEN 'image' THEN 'binData' WHEN 'uniqueidentifier' THEN 'string'
+ WHEN 'xml' THEN 'string' WHEN 'geography' THEN 'string' WHEN 'geometry' THEN 'string'
+ WHEN 'hierarchyid' THEN 'string' WHEN 'sql_variant' THEN 'string' WHEN 'rowversion' THEN 'long'
+ WHEN 'timestamp' THEN 'long' ELSE 'string' END"""
 _PG = f"""CASE WHEN data_type IN ('varchar', 'nvarchar', 'char', 'nchar') THEN
  CASE WHEN character_maximum_length IS NULL OR character_maximum_length = -1 THEN 'text'
  ELSE 'varchar(' || character_maximum_length || ')' END
  WHEN data_type IN ('decimal', 'numeric') THEN CASE WHEN numeric_precision IS NULL THEN 'numeric'
  WHEN numeric_scale IS NULL THEN 'numeric(' || numeric_precision || ')'
  ELSE 'numeric(' || numeric_precision || ',' || numeric_scale || ')' END
- WHEN data_type = 'float' AND numeric_precision <= 24 THEN 'real' ELSE {_case(st.PG_TYPES, 'text')} END"""
+ WHEN data_type = 'float' AND numeric_precision <= 24 THEN 'real' ELSE {_PG_PLAIN} END"""
 _MYSQL = f"""CASE WHEN data_type IN ('varchar', 'nvarchar') THEN
  CASE WHEN character_maximum_length IS NULL OR character_maximum_length = -1 THEN 'LONGTEXT'
  WHEN character_maximum_length > 16383 THEN 'MEDIUMTEXT' ELSE 'VARCHAR(' || character_maximum_length || ')' END
@@ -31,7 +57,7 @@ _MYSQL = f"""CASE WHEN data_type IN ('varchar', 'nvarchar') THEN
  THEN 'CHAR(' || character_maximum_length || ')' ELSE 'VARCHAR(255)' END
  WHEN data_type IN ('decimal', 'numeric') THEN CASE WHEN numeric_precision IS NULL THEN 'DECIMAL(18,4)'
  ELSE 'DECIMAL(' || numeric_precision || ',' || coalesce(numeric_scale, 0) || ')' END
- WHEN data_type = 'float' AND numeric_precision <= 24 THEN 'FLOAT' ELSE {_case(st.MYSQL_TYPES, 'LONGTEXT')} END"""
+ WHEN data_type = 'float' AND numeric_precision <= 24 THEN 'FLOAT' ELSE {_MYSQL_PLAIN} END"""
 
 
 def _mapped(spark, d, profile):
@@ -55,7 +81,7 @@ def map_types_mysql(spark, d):
     return _mapped(spark, d, "mysql")
 
 
-@query(_mapped_sql(_case(st.BSON_TYPES, "string")))
+@query(_mapped_sql(_BSON_PLAIN))
 def map_types_bson(spark, d):
     return _mapped(spark, d, "bson")
 
