@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_fm_decontam import plain as plain_passages
 from test_line_quality import plain as plain_counts
 from test_piece_codec import LIBRARY, whole
-from test_pivot_simhash import plain_components, plain_print
+from test_near_copies import plain_kept
 from test_secret_scan import plain_base
 
 import corpus_pipeline
@@ -64,11 +64,11 @@ def test_quality_rules(spark, docs):
 
 
 def test_simhash_near_dedup(spark, docs):
-    prints = {k: plain_print(t) for k, t in texts(docs) if k is not None}
-    home = plain_components(prints, 2)
+    """One document of every group linked by a five-word similarity of 0.8 or more, by all pairs."""
+    rows = [(k, t) for k, t in texts(docs) if k is not None]
     out = STAGES["simhash_near_dedup"](spark, docs, SF_DIR)
     assert out.columns == COLUMNS
-    assert sorted(k for k, _ in texts(out) if k is not None) == sorted(k for k in home if home[k] == k)
+    assert sorted(k for k, _ in texts(out) if k is not None) == sorted(rows[i][0] for i in plain_kept(rows))
     assert sum(k is None for k, _ in texts(out)) == 1
 
 
