@@ -38,7 +38,7 @@ SEGMENT = 1 << 18
 #: Chunks joined to a text, and texts tokenized in a call.
 JOINED, CALL = 500, 50
 #: Characters of chunks that a worker's table holds before it starts anew; results don't depend on it.
-TABLE_CHARS = 6 << 20
+TABLE_CHARS = 16 << 20
 
 
 class Encoder:
