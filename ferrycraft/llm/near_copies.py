@@ -1,8 +1,8 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, all of them.
 
-Two searches, each candidate verified on the shingle sets themselves. The first is quick: fingerprints of a few least
-hashes, by several orders, bring near copies together at distance zero, and each text is compared with the first of each
-of its cells. The second is whole: with shingles in one global order, common ones last, two similar texts share one of
+Two searches, each candidate verified on the shingle sets themselves. The first is quick: texts whose SimHash fingerprints
+differ in a few bits, found by ``pivot_simhash``; and where edits turn more bits, fingerprints of a few least hashes, by
+several orders, of which each text is compared with the first of each of its cells. The second is whole: with shingles in one global order, common ones last, two similar texts share one of
 their first few (prefix filtering: Chaudhuri et al., "A primitive operator for similarity joins in data cleaning",
 2006; shorter for the smaller text, and with a bound from places: Xiao et al., "Efficient similarity joins for
 near-duplicate detection", 2008). It compares only texts that the first search has not joined already, so a large
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ferrycraft.llm.blocks import blocks, slots, with_columns
 from ferrycraft.llm.components import components
+from ferrycraft.llm.pivot_simhash import links
 from ferrycraft.llm.son_collocations import bitmap
 from ferrycraft.session import stage
 
@@ -29,11 +30,15 @@ SEED = 42
 WIDTH = 5
 #: Similarity as a fraction, so that bounds are exact.
 SIMILAR = 4, 5
+#: Bits in which the SimHash fingerprints of candidates differ at most.
+RADIUS = 3
 #: At similarity 0.8 a pair meets in one of 16 fingerprints of 4 hashes with a probability of 0.9998.
 BANDS, LEAST = 16, 4
 #: Texts from which common shingles are learned, at most about; those found in so many of them are common; and how many
 #: of these are kept. The order decides how much is compared, not what is found.
 SAMPLE, COMMON, LISTED = 16384, 3, 1 << 19
+#: Shared shingles in front of one that its row tells, so that a pair is reported where it meets first.
+BEFORE = 3
 #: Shingles hashed in all orders at a time, and pairs looked at at a time.
 HASHES, PAIRS = 1 << 11, 1 << 20
 
@@ -66,6 +71,15 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return SIMILAR[1] * shared >= SIMILAR[0] * (len(a) + len(b) - shared)
 
 
+def simhash(own: np.ndarray) -> np.int64:
+    """The 64-bit SimHash of the set: bits set in over half of the hashes; without words 0."""
+    total = np.zeros(64, np.int64)
+    for low in range(0, len(own), HASHES):
+        bits = np.unpackbits(own[low:low + HASHES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        total += bits.sum(axis=0, dtype=np.uint32)
+    return np.packbits(2 * total > len(own), bitorder="little").view(np.int64)[0]
+
+
 def least_hashes(own: np.ndarray) -> np.ndarray:
     """The least hash of the set in each of the orders."""
     least = np.full(BANDS * LEAST, np.iinfo(np.uint64).max, np.uint64)
@@ -124,7 +138,8 @@ def odd_sketch(own: np.ndarray) -> np.ndarray:
 
 
 def signatures(named: DataFrame, common: np.ndarray) -> DataFrame:
-    """``(node, n, cells, first, sketch)`` for every distinct text: shingles, fingerprints, first shingles in order."""
+    """``(node, n, print, cells, first, sketch)`` for every distinct text: shingles, SimHash, least hashes, first shingles
+    in order."""
     held = named.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,14 +147,23 @@ def signatures(named: DataFrame, common: np.ndarray) -> DataFrame:
             sets = [shingles(t) for t in block.texts()]
             yield with_columns(
                 block, ["node"], n=pa.array([len(x) for x in sets], pa.int64()),
+                print=pa.array([simhash(x) for x in sets], pa.int64()),
                 cells=pa.array([_cells(least_hashes(x)).view(np.int64) for x in sets], pa.list_(pa.int64())),
                 first=pa.array([first_shingles(x, held.value).view(np.int64) for x in sets], pa.list_(pa.int64())),
                 sketch=pa.array([odd_sketch(x) for x in sets], pa.list_(pa.int64())))
 
-    made = "node binary, n long, cells array<long>, first array<long>, sketch array<long>"
+    made = "node binary, n long, print long, cells array<long>, first array<long>, sketch array<long>"
     return named.mapInArrow(run, made).dropDuplicates(["node"])
 
 
+def simhash_pairs(marked: DataFrame) -> DataFrame:
+    """``(a, b)``: pairs that connect all texts whose fingerprints are linked at ``RADIUS`` bits or fewer."""
+    prints = marked.groupBy("print").agg(F.min("id").alias("node"), F.count("*").alias("size"))
+    same = marked.select("id", "print").join(prints.where("size > 1").select("print", "node"), "print").where("id <> node")
+    return same.select(F.col("id").alias("a"), F.col("node").alias("b")).union(
+        links(stage(prints.select("print", "node"), "prints"), RADIUS)).distinct()
+
+
 def leader_pairs(marked: DataFrame) -> DataFrame:
     """``(a, b)``: each text with the first text of each cell that it is in."""
     cells = marked.select("id", F.explode("cells").alias("cell"))
@@ -152,11 +176,13 @@ def _meetings(rows: DataFrame) -> DataFrame:
 
     The smaller text must hold the shingle among its first ninth or so (``own``); sizes and places must leave room for
     enough shared shingles from there on; and the sketches must not differ in more bits than similar sets may in shingles.
+    Texts that share one of the ``BEFORE`` shingles in front have met there, with more room, and aren't told again.
     """
     p, q = SIMILAR
 
     def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        _, group, node, n, place, own, *sketch = rows
+        _, group, node, n, place, own, known, *more = rows
+        sketch, before = more[:4], more[4:]
         ends = np.searchsorted(rows[0], rows[0], "right")
         # groups are runs inside a shingle's rows; a row meets all rows behind its group's
         change = np.ones(len(group) + 1, bool)
@@ -181,14 +207,18 @@ def _meetings(rows: DataFrame) -> DataFrame:
             both = n[a] + n[b]
             kept = apart <= both - 2 * (-(-p * both // (p + q)))
             a, b = a[kept], b[kept]
+            met = np.zeros(len(a), bool)
+            for i, x in enumerate(before):
+                for j, y in enumerate(before):
+                    met |= (x[a] == y[b]) & (known[a] > i) & (known[b] > j)
+            a, b = a[~met], b[~met]
             if len(a):
-                # texts that share many shingles meet many times
                 met = np.unique(np.stack([node[a], node[b]], axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(met[:, 0]), pa.array(met[:, 1])], names=["a", "b"])
             low = high
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.zeros((10, 0), np.int64)
+        rest = np.zeros((11 + BEFORE, 0), np.int64)
         for batch in batches:
             rows = np.concatenate([rest, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
             if not rows.shape[1]:
@@ -199,9 +229,10 @@ def _meetings(rows: DataFrame) -> DataFrame:
         yield from pairs(rest)
 
     words = [F.col("sketch")[i].alias(f"s{i}") for i in range(4)]
-    spread = rows.select("h", "component", "id", "n", "place", "own", *words).repartition(
+    before = [f"b{i}" for i in range(BEFORE)]
+    spread = rows.select("h", "component", "id", "n", "place", "own", "known", *words, *before).repartition(
         slots(rows), "h").sortWithinPartitions("h", "component")
-    return spread.mapInArrow(run, "a long, b long").distinct()
+    return spread.mapInArrow(run, "a long, b long")
 
 
 def apart_pairs(marked: DataFrame, found: DataFrame) -> DataFrame:
@@ -221,17 +252,22 @@ def apart_pairs(marked: DataFrame, found: DataFrame) -> DataFrame:
             kept = known.value.has(hashes.view(np.uint64))
             place = np.arange(len(hashes)) - bounds[at]
             ids, n = (batch.column(i).to_numpy()[at][kept] for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n), pa.array(hashes[kept]), pa.array(place[kept])],
-                                             names=["id", "n", "h", "place"])
-
-    rows = marked.select("id", "n", "first").mapInArrow(run, "id long, n long, h long, place long")
+            hashes, at, place = hashes[kept], at[kept], place[kept]
+            nth = np.arange(len(at)) - np.searchsorted(at, at, "left")  # the shared ones in front in the same text
+            before = [np.concatenate([np.zeros(i, np.int64), hashes])[:len(hashes)] for i in range(1, BEFORE + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids, n, hashes, place, np.minimum(nth, BEFORE), *before)],
+                                             names=["id", "n", "h", "place", "known", *(f"b{i}" for i in range(BEFORE))])
+
+    rows = marked.select("id", "n", "first").mapInArrow(run, "id long, n long, h long, place long, known long" + "".join(
+        f", b{i} long" for i in range(BEFORE)))
     sketches = marked.select(F.col("id").alias("of"), "sketch")
     rows = rows.join(found, F.col("id") == F.col("node"), "left").select(
-        "h", F.coalesce("component", "id").alias("component"), "id", "n", "place", own.cast("long").alias("own"))
+        "h", F.coalesce("component", "id").alias("component"), "id", "n", "place", own.cast("long").alias("own"), "known",
+        *(f"b{i}" for i in range(BEFORE)))
     rows = stage(rows, "first_shingles")
     mixed = rows.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low <> high").select("h")
-    return _meetings(rows.join(mixed, "h", "left_semi").join(sketches, F.col("id") == F.col("of")))
+    return _meetings(rows.join(mixed, "h", "left_semi").join(sketches, F.col("id") == F.col("of"))).distinct()
 
 
 def verified(named: DataFrame, marked: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -259,7 +295,8 @@ def groups(docs: DataFrame) -> DataFrame:
     """
     named = _named(docs)
     marked = stage(signatures(named, common_shingles(named)).withColumn("id", F.monotonically_increasing_id()), "signatures")
-    quick = stage(verified(named, marked, stage(leader_pairs(marked), "pairs")), "links")
+    met = simhash_pairs(marked).union(leader_pairs(marked)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    quick = stage(verified(named, marked, stage(met.distinct(), "pairs")), "links")
     joined = components(quick)
     rest = stage(verified(named, marked, stage(apart_pairs(marked, joined), "pairs")), "links")
     names = marked.select("id", "node")

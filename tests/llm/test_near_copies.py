@@ -124,3 +124,41 @@ def test_rows_that_share_a_doc_id(spark):
     assert sorted(map(tuple, out.collect())) == [(1, c), (3, a), (7, b)]
     many = spark.createDataFrame([(5, f"{i} " + " ".join(f"{i}x{j}" for j in range(20))) for i in range(40)], "doc_id long, text string")
     assert STAGES["simhash_near_dedup"](spark, many, "").count() == 40
+
+
+def test_simhash_finds_near_copies(spark, monkeypatch):
+    """The SimHash search alone brings texts together, and is a part of the stage."""
+    rng = random.Random(4)
+    head = [f"w{i}" for i in range(900)]
+    texts = [" ".join(edited(rng, head, 1)) for _ in range(40)] + [" ".join(f"o{i}x{j}" for j in range(90)) for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    named = n._named(df)
+    marked = n.stage(n.signatures(named, n.common_shingles(named)).withColumn("id", n.F.monotonically_increasing_id()))
+    own = n.shingles(texts[0].encode())
+    bits = sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in own) > len(own))
+    assert int(n.simhash(own)) % (1 << 64) == bits
+    found = n.components(n.verified(named, marked, n.simhash_pairs(marked)))
+    assert 20 < found.count() <= 40 and found.select("component").distinct().count() <= 4
+    called = []
+    monkeypatch.setattr(n, "simhash_pairs", lambda marked, own=n.simhash_pairs: called.append(1) or own(marked))
+    assert STAGES["simhash_near_dedup"](spark, df, "").count() == 41 and called
+
+
+def test_pairs_that_share_much_are_told_once_or_so(spark, monkeypatch):
+    """Texts of a similarity of just under 0.8 share many first shingles; rows of pairs follow the pairs, not the shingles."""
+    rng = random.Random(5)
+    head = [f"w{i}" for i in range(2000)]
+    texts = [" ".join(head[:at] + [f"x{i}y{j}" for j in range(200)] + head[at + 200:]) for i, at in enumerate((0, 400, 900, 1500))]
+    told = []
+
+    def meetings(rows, own=n._meetings):
+        told.append(n.stage(own(rows)))
+        return told[-1]
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    named = n._named(df)
+    marked = n.stage(n.signatures(named, n.common_shingles(named)).withColumn("id", n.F.monotonically_increasing_id()))
+    monkeypatch.setattr(n, "_meetings", meetings)
+    n.apart_pairs(marked, spark.createDataFrame([], "node long, component long"))
+    pairs = told[-1].distinct().count()
+    assert pairs and told[-1].count() <= 3 * pairs
