@@ -15,10 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .hash_tree import LISTED, merged
 
 #: Documents and positions a block holds at most, about.
 BLOCK_DOCS, BLOCK_POSITIONS = 128, 4096
+#: Words packed at a time, about.
+HELD_WORDS = 1 << 21
 #: Saturation and length normalisation of the BM25 rank (Robertson and Zaragoza, 2009).
 K1, B = 1.2, 0.75
 
@@ -69,51 +72,102 @@ def unpack_block(first: int, data: bytes) -> tuple[np.ndarray, np.ndarray, np.nd
     return docs, counts, total - np.repeat(total[heads] - gaps[heads], counts)
 
 
+def _packed_lists(docs: np.ndarray, counts: np.ndarray, positions: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """``pack_block`` of each run of postings that begins at ``starts``."""
+    heads, n = np.cumsum(counts) - counts, np.diff(starts, append=len(docs))
+    first = heads[starts]
+    base = 2 * starts + first + np.arange(len(starts))  # a block is its number of documents, two lists as long, positions
+    values = np.zeros(len(starts) + 2 * len(docs) + len(positions), np.int64)
+    values[base] = n
+    of, nth = np.repeat(np.arange(len(starts)), n), np.arange(len(docs)) - np.repeat(starts, n)
+    gaps = np.diff(docs, prepend=docs[:1])
+    gaps[starts] = 0
+    values[base[of] + 1 + nth] = gaps
+    values[base[of] + 1 + n[of] + nth] = counts
+    steps = np.diff(positions, prepend=0)
+    steps[heads] = positions[heads]
+    values[np.repeat(base[of] + 1 + 2 * n[of] - first[of], counts) + np.arange(len(positions))] = steps
+    size = np.ones(len(values), np.int64)
+    for group in range(1, 10):
+        size += values >> (7 * group) > 0
+    ends = np.concatenate([[0], np.cumsum(size)])
+    offsets = ends[np.append(base, len(values))].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(_packed(values))])
+
+
 def build_postings(df: DataFrame, key: str, text: str, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Blocks of postings, and ``doc, length`` of every document with a term, from an integer key and a text column.
 
-    A document's rows are read together: a key of several rows counts positions on from row to row in no stated order,
-    so phrases don't span rows reliably; give each row its own key. NULL keys and texts have no postings.
+    Texts, not words, are shuffled: a task has a range of documents in order and packs the blocks of some millions of
+    words at a time, which are then clustered by term. A document's rows are read together: a key of several rows counts
+    positions on from row to row in no stated order, so phrases don't span rows reliably; give each row its own key. NULL
+    keys and texts have no postings.
     """
-    docs = df.select(F.col(f"`{key}`").cast("bigint").alias("doc"), words_of(F.col(f"`{text}`")).alias("words")).where(
-        "doc IS NOT NULL AND size(words) > 0")
-    lengths = docs.groupBy("doc").agg(F.sum(F.size("words")).cast("bigint").alias("length"))
-    # positions of a term are gathered inside the row, which a text's length bounds
-    terms = docs.select("doc", F.posexplode("words").alias("at", "term")).groupBy("term", "doc").agg(
-        F.sort_array(F.collect_list("at")).alias("positions"))
-    order = ["term", "doc"]
-    ranged = terms.repartitionByRange(partitions, *order) if partitions else terms.repartitionByRange(*order)
+    texts = df.select(F.col(f"`{key}`").cast("bigint").alias("doc"), F.col(f"`{text}`").alias("text")).where(
+        "doc IS NOT NULL AND text IS NOT NULL")
+    worded = lambda rows: rows.select("doc", words_of(F.col("text")).alias("words")).where("size(words) > 0")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        size = 0
-
-        def made(rows: list) -> tuple:
-            positions = [p for _, _, p in rows]
-            ids = np.array([d for _, d, _ in rows], np.int64)
-            return rows[0][0], int(ids[0]), int(ids[-1]), len(rows), pack_block(
-                ids, np.array([len(p) for p in positions], np.int64), np.concatenate([np.array(p, np.int64) for p in positions]))
-
-        def batch_of(done: list) -> pa.RecordBatch:
-            columns = list(zip(*done)) or [[]] * 5
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                              names=["term", "first", "last", "docs", "postings"])
-
+        def lengths_of(docs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            """A document's length as a row without a term."""
+            own, heads = np.unique(docs, return_index=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(len(own), pa.string()), pa.array(own), pa.array(np.add.reduceat(counts, heads)),
+                 pa.nulls(len(own), pa.int32()), pa.nulls(len(own), pa.binary())], names=["term", "first", "last", "docs", "postings"])
+
+        def made(docs: np.ndarray, counts: np.ndarray, words: pa.Array) -> pa.RecordBatch:
+            coded = words.dictionary_encode()
+            doc = np.repeat(docs, counts)
+            at = np.arange(len(doc)) - np.searchsorted(doc, doc, "left")
+            code = coded.indices.to_numpy()
+            order = np.argsort(code, kind="stable")
+            code, doc, at = code[order], doc[order], at[order]
+            new = np.ones(len(code), bool)
+            new[1:] = (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])
+            heads = np.flatnonzero(new)
+            code, doc, held = code[heads], doc[heads], np.diff(heads, append=len(at))
+            left = np.searchsorted(code, code, "left")
+            nth, before = (np.arange(len(code)) - left) // BLOCK_DOCS, (heads - heads[left]) // BLOCK_POSITIONS
+            cut = np.ones(len(code), bool)
+            cut[1:] = (code[1:] != code[:-1]) | (nth[1:] != nth[:-1]) | (before[1:] != before[:-1])
+            starts = np.flatnonzero(cut)
+            ends = np.append(starts[1:], len(code))
+            return pa.RecordBatch.from_arrays(
+                [coded.dictionary.take(pa.array(code[starts])), pa.array(doc[starts]), pa.array(doc[ends - 1]),
+                 pa.array((ends - starts).astype(np.int32)), _packed_lists(doc, held, at, starts)],
+                names=["term", "first", "last", "docs", "postings"])
+
+        def joined(rows: list) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+            return np.concatenate([x for x, _, _ in rows]), np.concatenate([x for _, x, _ in rows]), pa.concat_arrays(
+                [x for _, _, x in rows])
+
+        rows, size, enough = [], 0, HELD_WORDS
         for batch in batches:
-            done = []
-            for term, doc, positions in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and (held[0][0] != term or len(held) >= BLOCK_DOCS or size >= BLOCK_POSITIONS):
-                    done.append(made(held))
-                    held, size = [], 0
-                held.append((term, doc, positions))
-                size += len(positions)
-            yield batch_of(done)
-        if held:
-            yield batch_of([made(held)])
-
-    sorted_terms = ranged.sortWithinPartitions(*order).select("term", "doc", "positions")
-    return sorted_terms.mapInArrow(run, _SCHEMA), lengths
+            if not len(batch):
+                continue
+            words = batch.column(1)
+            rows.append((batch.column(0).to_numpy(), words.value_lengths().to_numpy().astype(np.int64), words.flatten()))
+            size += len(rows[-1][2])
+            if size >= enough:
+                docs, counts, words = joined(rows)
+                cut = int(np.searchsorted(docs, docs[-1], "left"))  # the last document may go on in the next batch
+                at = int(counts[:cut].sum())
+                if cut:
+                    yield lengths_of(docs[:cut], counts[:cut])
+                    yield made(docs[:cut], counts[:cut], words[:at])
+                rows, size = [(docs[cut:], counts[cut:], words[at:])], size - at
+                enough = HELD_WORDS + size
+        if rows:
+            rest = joined(rows)
+            yield lengths_of(*rest[:2])
+            yield made(*rest)
+
+    packed = stage(worded(texts.repartitionByRange("doc").sortWithinPartitions("doc")).mapInArrow(run, _SCHEMA), "blocks")
+    order = ["term", "first"]
+    blocks = packed.where("term IS NOT NULL")
+    lengths = packed.where("term IS NULL").select(F.col("first").alias("doc"), F.col("last").alias("length"))
+    ranged = blocks.repartitionByRange(partitions, *order) if partitions else blocks.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order), lengths
 
 
 def write_postings(df: DataFrame, key: str, text: str, path: str, partitions: int | None = None,
@@ -130,12 +184,15 @@ def read_postings(blocks: DataFrame, terms: Sequence[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for term, first, data in zip(*(batch.column(i).to_pylist() for i in (0, 1, 4))):
-                docs, counts, positions = unpack_block(first, data)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([term] * len(docs), pa.string()), pa.array(docs), pa.ListArray.from_arrays(
-                        pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(positions))],
-                    names=["term", "doc", "positions"])
+            if not len(batch):
+                continue
+            found = [unpack_block(first, data) for first, data in zip(*(batch.column(i).to_pylist() for i in (1, 4)))]
+            docs, counts, positions = (np.concatenate(x) for x in zip(*found))
+            of = np.repeat(np.arange(len(found)), [len(x) for x, _, _ in found])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(of)), pa.array(docs), pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(positions))],
+                names=["term", "doc", "positions"])
 
     return wanted.mapInArrow(run, "term string, doc bigint, positions array<bigint>")
 
@@ -166,12 +223,13 @@ def search_phrase(blocks: DataFrame, phrase: str) -> DataFrame:
     if not terms:
         return blocks.sparkSession.createDataFrame([], "doc bigint, hits bigint")
     found = read_postings(candidate_blocks(blocks, terms), terms)
-    # each place votes for the start it would belong to; a start with all votes is a hit
-    shifts = F.array(*[F.struct(F.lit(t).alias("of"), F.lit(i).cast("bigint").alias("at")) for i, t in enumerate(terms)])
-    votes = found.select("doc", "positions", F.explode(F.filter(shifts, lambda s: s["of"] == F.col("term"))).alias("s")).select(
-        "doc", F.explode(F.transform("positions", lambda p: p - F.col("s.at"))).alias("start"))
-    hits = votes.groupBy("doc", "start").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(terms))
-    return hits.groupBy("doc").agg(F.count(F.lit(1)).alias("hits"))
+    # a document's places of all terms meet in one row, as starts that they would belong to; common ones are hits
+    names = list(dict.fromkeys(terms))
+    places = found.groupBy("doc").agg(*[F.flatten(F.collect_list(F.when(F.col("term") == t, F.col("positions")))).alias(
+        f"p{i}") for i, t in enumerate(names)])
+    starts = [F.expr(f"transform(p{names.index(t)}, p -> p - {i})") for i, t in enumerate(terms)]
+    hits = F.size(reduce(F.array_intersect, starts)).cast("bigint")
+    return places.select("doc", hits.alias("hits")).where("hits > 0")
 
 
 def search_ranked(blocks: DataFrame, lengths: DataFrame, query: str, n: int = 10) -> DataFrame:

@@ -107,3 +107,26 @@ def test_curve_of_hot_and_empty_columns(spark, tmp_path):
     layout.write_multi_clustered(df.limit(0), f"{tmp_path}/y", ["a", "b"], 3)
     with pytest.raises(ValueError):
         layout.write_multi_clustered(df, f"{tmp_path}/z", ["a", "b"], 3, bits=40)
+
+
+def test_blocks_are_packed_as_one_by_one(spark, monkeypatch):
+    """Whatever number of words is packed at a time; a document of several rows is one posting, its places count on."""
+    rows = [(k % 17, " ".join(f"w{(k * i) % 7}" for i in range(k % 11))) for k in range(120)] + [(None, "w1"), (3, None)]
+    df = spark.createDataFrame(rows, "k long, t string").repartition(5)
+    for held in (1, 40, 1 << 21):
+        monkeypatch.setattr(p, "HELD_WORDS", held)
+        blocks, lengths = p.build_postings(df, "k", "t")
+        blocks, words = blocks.collect(), Counter((k, w) for k, t in rows if k is not None for w in (t or "").split())
+        found, places = {}, {}
+        for b in blocks:
+            docs, counts, positions = p.unpack_block(b["first"], bytes(b["postings"]))
+            assert bytes(b["postings"]) == p.pack_block(docs, counts, positions)
+            assert (docs[0], docs[-1], len(docs)) == (b["first"], b["last"], b["docs"])
+            ends = counts.cumsum()
+            for d, low, high in zip(docs.tolist(), (ends - counts).tolist(), ends.tolist()):
+                assert (d, b["term"]) not in found
+                found[d, b["term"]] = high - low
+                places.setdefault(d, []).extend(positions[low:high].tolist())
+        assert found == words
+        assert all(sorted(x) == list(range(len(x))) for x in places.values())
+        assert {r["doc"]: r["length"] for r in lengths.collect()} == {d: len(x) for d, x in places.items()}
