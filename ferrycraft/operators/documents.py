@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,9 @@ from ..functions import doc_types as dt
 from ..functions.text import target_column
 from .conform import one_pass
 
+#: Shapes and leaf paths of a collection up to which documents are read by path. More of them are opened level by level.
+SHAPES, PATHS = 1000, 256
+
 
 def parse_documents(lines: DataFrame, text: str = "value", doc: str = "doc") -> DataFrame:
     """Add the parsed document; malformed text gives NULL (see ``malformed_documents``)."""
@@ -53,18 +58,79 @@ def level_bound(docs: DataFrame, doc: str = "doc", near: int = 16) -> int:
     return most if most <= near else document_depth(docs, doc)
 
 
+def document_shapes(docs: DataFrame, doc: str = "doc", most: int | None = None) -> list[StructType] | None:
+    """The different shapes of the documents that are objects, or None where there are more than ``most`` (``SHAPES``).
+
+    What types the leaves have is not told apart where that makes numbers of other precision.
+    """
+    shape = F.regexp_replace(F.schema_of_variant(F.col(doc)), r"(`[^`]*`)|DECIMAL\([0-9]+,[0-9]+\)", "$1")
+    most = SHAPES if most is None else most
+    found = docs.select(shape.alias("shape")).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        return None
+
+    def ddl(token: re.Match) -> str:
+        text = token[0]
+        if text.startswith("OBJECT<"):
+            return "STRUCT<"
+        return text if text.startswith("`") else ": VOID" if text == ": " else f"`{text}`"
+
+    return [StructType.fromDDL(re.sub(r"`(?:[^`]|``)*`|OBJECT<|: (?=[,>])|\w+(?=: )", ddl, r["shape"]))
+            for r in found if r["shape"] and r["shape"].startswith("OBJECT<")]
+
+
+def _leaf_paths(shapes: list[StructType]) -> dict[tuple[str, ...], set[str]]:
+    """What stands at each path of the shapes: a leaf (``value`` or ``wrapper``) or a document that is ``opened``."""
+    found: dict[tuple[str, ...], set[str]] = {}
+    todo = [((), s) for s in shapes]
+    while todo:
+        path, kind = todo.pop()
+        wrapper = isinstance(kind, StructType) and path and any(n.startswith("$") for n in kind.names)
+        nested = isinstance(kind, StructType) and not wrapper
+        found.setdefault(path, set()).add("opened" if nested else "wrapper" if wrapper else "value")
+        if nested:
+            todo += [((*path, f.name), f.dataType) for f in kind.fields]
+    return found
+
+
+def _leaves_by_path(docs: DataFrame, doc: str, keep: list[str], found: dict[tuple[str, ...], set[str]]) -> DataFrame:
+    """The leaves, each read by its path: no level is copied out of the document on the way."""
+    source = F.col(f"`{doc}`")
+    nested = lambda path: F.exists(F.array(dt.value_at(source, list(path), "map<string,variant>")), lambda m: m.isNotNull() & ~F.exists(
+        F.map_keys(m), lambda k: F.startswith(k, F.lit("$"))))
+    cells = []
+    for path in sorted(p for p, kinds in found.items() if kinds - {"opened"}):
+        # the same path may be a leaf in one document and opened in another, and lead through a wrapper in a third
+        through = [p for p in (path[:n] for n in range(1, len(path))) if "wrapper" in found[p]]
+        held = [nested(p) for p in through] + ([~nested(path)] if "opened" in found[path] else [])
+        value = dt.value_at(source, list(path), "variant")
+        cells += [F.array(*map(F.lit, path)), F.when(reduce(lambda a, b: a & b, held), value) if held else value]
+    if not cells:
+        return docs.select(*keep, F.array().cast("array<string>").alias("steps"), source.alias("value")).limit(0)
+    return docs.select(*keep, F.stack(F.lit(len(cells) // 2), *cells).alias("steps", "value")).where("value IS NOT NULL")
+
+
 def flatten_documents(docs: DataFrame, doc: str = "doc", keep: Iterable[str] = (),
                       max_depth: int | None = None) -> DataFrame:
     """One row per leaf: ``keep`` columns, ``steps`` (key path), ``value`` (VARIANT).
 
-    Nested documents are opened level by level inside the row, so the scan is read once and only leaves are
-    emitted. Arrays and ``$`` wrappers are leaves; an empty nested document has none. The number of levels is
-    measured first, so give documents that are parsed already; with ``max_depth`` it is not, and a deeper
-    document fails the job rather than losing fields.
+    Arrays and ``$`` wrappers are leaves; an empty nested document has none. The shapes of the documents are looked
+    up first, so give documents that are parsed already, and then each leaf is read by its path. A collection of more
+    shapes or paths than ``SHAPES`` and ``PATHS`` (data as field names) is opened level by level inside the row, as
+    many levels as are measured; with ``max_depth`` nothing is looked up, and a deeper document fails the job
+    rather than losing fields.
     """
     keep = list(keep)
-    max_depth = max_depth or level_bound(docs, doc)
+    if max_depth is None:
+        shapes = document_shapes(docs, doc)
+        found = _leaf_paths(shapes) if shapes is not None else None
+        if found is not None and len(found) <= PATHS:
+            return _leaves_by_path(docs, doc, keep, found)
+    return _leaves_by_level(docs, doc, keep, max_depth or level_bound(docs, doc))
+
 
+def _leaves_by_level(docs: DataFrame, doc: str, keep: list[str], max_depth: int) -> DataFrame:
+    """The leaves of any documents: each level of a document is opened out of the one above, inside the row."""
     def entries(fields: str, prefix: str) -> str:
         return (f"transform(map_entries({fields}), e -> struct({prefix}array(e.key)) as steps, e.value as value, "
                 f"{dt.nested_object('e.value')} as fields))")

@@ -160,7 +160,7 @@ def flatten_deep_documents(spark, d):
     """Documents of thirty levels: the depth is taken from the data."""
     opened = "".join('{"l%d":' % i for i in range(1, 31))
     text = F.concat(F.lit(opened), F.col("p_partkey"), F.lit("}" * 29), F.lit(',"s":"'), F.col("p_brand"), F.lit('"}}'))
-    lines = table(spark, d, "part").select("p_partkey", F.replace(text, F.lit("}" * 29 + ","), F.lit("}" * 28 + ",")).alias("value"))
+    lines = spread(table(spark, d, "part").select("p_partkey", "p_brand")).select("p_partkey", F.replace(text, F.lit("}" * 29 + ","), F.lit("}" * 28 + ",")).alias("value"))
     docs = stage(dc.parse_documents(lines).select("p_partkey", "doc"), "deep")
     leaves = dc.flatten_documents(docs, keep=["p_partkey"])
     return leaves.select("p_partkey", F.array_join("steps", ".").alias("path"), F.to_json("value").alias("v"))

@@ -174,3 +174,26 @@ def test_names_with_both_quotes(spark):
     name = next(c for c in rows[0].asDict() if c != "k")
     assert sorted((r["k"], r[name]) for r in rows) == [(1, 5), (2, 7), (3, None)]
     assert dc.audit_projection(docs, schema).agg(F.sum("lost")).first()[0] == 0
+
+
+@pytest.mark.parametrize("limits", [(1000, 256), (1, 256), (1000, 2)])
+def test_leaves_by_path_and_by_level_are_the_same(spark, monkeypatch, limits):
+    """Paths that are leaves, wrappers and opened documents in turn, odd names, and collections of too many shapes or paths."""
+    texts = ['{"a":1,"OBJECT":{"DECIMAL(1,2)":1.5,"select":null}}', '{"a":{"$oid":"x","b":2},"n":1.25}', '{"a":{"b":3,"c":{}},"n":10.5}',
+             '{"a":{}}', '{"a":{"b":{"$x":{"y":1}}}}', '{"a":{"b":{"y":[1,{"z":2}]}}}', '{"x`y":{"é":{"":1,"it\'s \\"q\\"":2}}}', '{"$oid":{"k":1}}',
+             "5", "[]", "null", "{", '{"l\\nn":{"A":1,"a":2},"1x":{"b.c":3}}', '{"DECIMAL(3,4)":1,"v":"OBJECT<"}']
+    docs = dc.parse_documents(spark.createDataFrame(list(enumerate(texts)), "i int, value string"))
+    shown = lambda df: sorted((r["i"], tuple(r["steps"]), r["v"]) for r in df.select("i", "steps", F.to_json("value").alias("v")).collect())
+    want = shown(dc._leaves_by_level(docs, "doc", ["i"], dc.level_bound(docs)))
+    monkeypatch.setattr(dc, "SHAPES", limits[0])
+    monkeypatch.setattr(dc, "PATHS", limits[1])
+    assert shown(dc.flatten_documents(docs, keep=["i"])) == want and len(want) == 17
+
+
+def test_no_level_is_copied_on_the_way_to_a_leaf(spark):
+    """Thirty levels are one path, and numbers of other precision no other shape."""
+    deep = "".join('{"l%d":' % i for i in range(30))
+    docs = documents(spark, [f"{deep}{10 ** i + 0.5}{'}' * 30}" for i in range(8)])
+    assert len(dc.document_shapes(docs)) == 1
+    plan = dc.flatten_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_entries" not in plan and "stack(1" in plan
