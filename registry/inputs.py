@@ -199,10 +199,13 @@ def order_documents(spark, d):
     k = F.col("o_orderkey")
     line = F.struct("l_linenumber", F.col("l_partkey").alias("product"), F.col("l_quantity").cast("int").alias("qty"),
                     F.col("l_extendedprice").alias("price"))
-    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    # both sides are dealt by the order's key once, over enough tasks for the texts that are made of the joined rows
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines = table(spark, d, "lineitem").repartition(tasks, "l_orderkey").groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(line)).alias("lines"))
     items = F.transform(F.coalesce("lines", F.array()), lambda x: x.dropFields("l_linenumber"))
-    orders = table(spark, d, "orders").join(lines, k == F.col("l_orderkey"), "left")
-    return spread(orders).select("o_orderkey", F.to_json(F.struct(
+    orders = table(spark, d, "orders").repartition(tasks, "o_orderkey").join(lines, k == F.col("l_orderkey"), "left")
+    return orders.select("o_orderkey", F.to_json(F.struct(
         F.struct(F.lpad(F.hex(k), 24, "0").alias("$oid")).alias("_id"),
         F.struct(F.col("o_custkey").alias("key"), F.struct(F.col("o_orderpriority").alias("level")).alias("priority")).alias(
             "customer"),
