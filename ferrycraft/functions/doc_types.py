@@ -155,8 +155,10 @@ def read_value(doc: Column, steps: list[str], rank: int, kinds: int, profile: st
         value = get("", "boolean")
         return value.cast("int") if profile == "mysql" else value
     if rank == RANK[DATETIME] or (rank == RANK[DATE] and has(DATETIME)):
+        # A text with a colon is no number, and a cast that fails costs more than all the rest.
+        number = F.when(~F.contains(get("['$date']", "string"), F.lit(":")), get("['$date']", "bigint"))
         return first([
-            F.timestamp_millis(get("['$date']", "bigint")),
+            F.timestamp_millis(number),
             F.timestamp_millis(get("['$date']['$numberLong']", "bigint")),
             get("['$date']", "timestamp"),
             # A number would be read as seconds since 1970.
