@@ -21,14 +21,13 @@ from ..operators.constraints import Constraint, audit_constraints
 from ..operators.definitions import compatibility_gate, scan_definitions
 from ..operators.documents import (
     infer_schema,
-    malformed_documents,
     parse_documents,
     project_documents,
     rows_to_documents,
     schema_rows,
 )
 from ..operators.reconcile import load_metrics, migration_report, reconcile_counts
-from ..session import new_path
+from ..session import STAGED, new_path
 from ..sources.writers import write_table
 
 
@@ -105,16 +104,17 @@ def migrate_documents(spark: SparkSession, collections: Mapping[str, DataFrame],
         def run():
             seen, staged = Observation(), new_path(spark, "documents")
             parsed = parse_documents(collections[name].select("value"))
-            malformed = F.count_if(F.col("value").isNotNull() & F.col("doc").isNull())
-            parsed.observe(seen, malformed.alias("malformed"), F.count("doc").alias("good")).select("doc").where(
-                "doc IS NOT NULL").write.parquet(staged)
+            malformed = F.col("value").isNotNull() & F.col("doc").isNull()
+            counted = parsed.observe(seen, F.count_if(malformed).alias("malformed"), F.count("doc").alias("good"))
+            counted.select("doc", F.when(malformed, F.col("value")).alias("value")).where(
+                "doc IS NOT NULL OR value IS NOT NULL").write.options(**STAGED).parquet(staged)
+            kept = spark.read.schema("doc variant, value string").parquet(staged)
             if bad := seen.get["malformed"]:
                 rejected[name] = bad
-                malformed_documents(collections[name].select("value")).write.mode(mode).text(
-                    f"{target}/_rejected/{name.lower()}")
+                kept.where("doc IS NULL").select("value").write.mode(mode).text(f"{target}/_rejected/{name.lower()}")
                 if not seen.get["good"]:
                     raise ValueError(f"{bad} malformed documents")
-            docs = spark.read.schema("doc variant").parquet(staged)
+            docs = kept.where("doc IS NOT NULL").select("doc")
             schema = schema_rows(infer_schema(docs, profile=profile, sample=sample))
             return project_documents(docs, schema, profile), f"{target}/{name.lower()}", "parquet"
         return run
