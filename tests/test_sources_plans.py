@@ -169,3 +169,18 @@ def test_scratch_drops_what_was_staged(spark):
         path = gone.inputFiles()[0].removeprefix("file:")
         assert os.path.exists(path)
     assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3
+
+
+def test_a_collection_with_malformed_lines_is_read_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    lines = spark.createDataFrame([('{"a":1}',), ('{"a":',), ('{"a":2}',), (None,)], "value string").mapInArrow(counted, "value string")
+    done = mg.migrate_documents(spark, {"c": lines}, f"{tmp_path}/rows")
+    assert done.rejected == {"c": 1} and read.value == 4
+    assert [r["value"] for r in spark.read.text(f"{tmp_path}/rows/_rejected/c").collect()] == ['{"a":']
+    assert sorted(r["a"] for r in spark.read.parquet(f"{tmp_path}/rows/c").collect()) == [1, 2]
