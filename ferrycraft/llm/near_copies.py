@@ -40,7 +40,9 @@ SAMPLE, COMMON, LISTED = 16384, 3, 1 << 19
 #: Shared shingles in front of one that its row tells, so that a pair is reported where it meets first.
 BEFORE = 3
 #: Shingles hashed in all orders at a time, and pairs looked at at a time.
-HASHES, PAIRS = 1 << 11, 1 << 20
+HASHES, PAIRS = 1 << 11, 1 << 18
+#: Bytes of text whose shingles are held at a time.
+TAKEN_BYTES = 1 << 20
 
 _DRAWN = np.random.default_rng(SEED).integers(0, 1 << 63, (2 + WIDTH, BANDS * LEAST), dtype=np.uint64)
 _FLIPS, _FACTORS = _DRAWN[0][:, None], _DRAWN[1][:, None] * np.uint64(2) + np.uint64(1)
@@ -110,7 +112,7 @@ def common_shingles(named: DataFrame) -> np.ndarray:
     chosen = named.where(F.pmod(F.xxhash64("node"), F.lit(1 << 40)) < int(share * (1 << 40))).dropDuplicates(["node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, TAKEN_BYTES):
             own, n = np.unique(np.concatenate([shingles(t) for t in block.texts()]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], names=["h", "n"])
 
@@ -143,7 +145,7 @@ def signatures(named: DataFrame, common: np.ndarray) -> DataFrame:
     held = named.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, TAKEN_BYTES):
             sets = [shingles(t) for t in block.texts()]
             yield with_columns(
                 block, ["node"], n=pa.array([len(x) for x in sets], pa.int64()),

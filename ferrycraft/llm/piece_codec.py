@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 from collections.abc import Iterator
 from itertools import chain
 
@@ -24,6 +25,16 @@ MARK = "▁"
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Characters of chunks that a worker's table holds before it starts anew; results don't depend on it.
 TABLE_CHARS = 4 << 20
+#: Bytes of text taken at a time.
+TAKEN_BYTES = 1 << 20
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _ids(packed: bytes) -> list[int]:
+    return np.frombuffer(packed, "<u4").tolist()
 
 
 class Codec:
@@ -37,29 +48,36 @@ class Codec:
         self.splits &= self.model.encode(probe, out_type=str) == [
             p for c in self.chunks(probe) for p in self.model.encode(c[1:], out_type=str) or [c]]
         self.bare = [self.model.piece_to_id(MARK)]
-        self.table: dict[str, list[int]] = {}
+        self.table: dict[str, bytes] = {}
         self.held = 0
 
     @staticmethod
     def chunks(text: str) -> list[str]:
         return CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """The library's ids of each text, with begin and end ids."""
-        begin, end = [self.model.bos_id()], [self.model.eos_id()]
+    def clear(self) -> None:
+        self.table.clear()
+        self.held = 0
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The library's ids of each text, with begin and end ids, as little-endian unsigned 32-bit integers."""
+        begin, end = _packed([self.model.bos_id()]), _packed([self.model.eos_id()])
         if not self.splits:  # pieces may cross markers: whole texts are segmented
-            return [begin + ids + end for ids in self.model.encode(texts, num_threads=1)]
+            return [begin + _packed(ids) + end for ids in self.model.encode(texts, num_threads=1)]
         split = [self.chunks(t) for t in texts]
         if self.held > TABLE_CHARS:
-            self.table.clear()
-            self.held = 0
+            self.clear()
         fresh = list(set(chain.from_iterable(split)).difference(self.table))
         # The library sets a marker before every text, which stands for the first one of the chunk.
         ids = self.model.encode([c[1:] for c in fresh], num_threads=1) if fresh else []
-        self.table.update((c, i or self.bare) for c, i in zip(fresh, ids, strict=True))
+        self.table.update((c, _packed(i or self.bare)) for c, i in zip(fresh, ids, strict=True))
         self.held += sum(map(len, fresh))
         find = self.table.__getitem__
-        return [begin + list(chain.from_iterable(map(find, s))) + end for s in split]
+        return [begin + b"".join(map(find, s)) + end for s in split]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """The library's ids of each text, with begin and end ids."""
+        return [_ids(i) for i in self.packed(texts)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.model.decode(ids) if ids else []
@@ -70,10 +88,6 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def _packed(ids: list[list[int]]) -> pa.Array:
-    return pa.array([np.array(i, "<u4").tobytes() for i in ids], pa.binary())
-
-
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
     """``(key, ids)`` for every row, with ``decoded`` also the text that the ids decode to.
 
@@ -84,10 +98,15 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
-        for block in blocks(batches):
-            ids = own.encode([t.decode() for t in block.texts()])
-            made = {"ids": _packed(ids)} | ({"decoded": pa.array(own.decode(ids), pa.string())} if decoded else {})
-            yield with_columns(block, [key], **made)
+        try:
+            for block in blocks(batches, TAKEN_BYTES):
+                ids = own.packed([t.decode() for t in block.texts()])
+                made = {"ids": pa.array(ids, pa.binary())}
+                if decoded:
+                    made["decoded"] = pa.array([own.model.decode(_ids(i)) for i in ids], pa.string())
+                yield with_columns(block, [key], **made)
+        finally:  # the worker outlives the task, and may have other work next
+            own.clear()
 
     source = texts_of(docs, key, text=text)
     made = {"ids": F.lit(b"")} | ({"decoded": F.lit("")} if decoded else {})
@@ -99,7 +118,7 @@ def decode(encoded: DataFrame, model: str, key: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            ids = [np.frombuffer(i or b"", "<u4").tolist() for i in batch.column(1).to_pylist()]
+            ids = [_ids(i or b"") for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.decode(ids), pa.string())],
                                              names=[key, "decoded"])
 

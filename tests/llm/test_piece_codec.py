@@ -54,3 +54,27 @@ def test_edges_and_decoding(spark):
     assert p.encode(empty_docs(spark), MODEL).count() == 0
     nothing = spark.createDataFrame([(1, None)], "doc_id long, ids binary")
     assert p.decode(nothing, MODEL).first()["decoded"] == ""
+
+
+def test_a_task_leaves_no_table_behind():
+    """A worker that goes on to other work holds no chunks; while it encodes, ids are held packed."""
+    codec = p.Codec(MODEL)
+    packed = codec.packed(["some words  here", ""])
+    assert [np.frombuffer(i, "<u4").tolist() for i in packed] == [whole("some words  here"), whole("")]
+    assert codec.table and all(isinstance(i, bytes) for i in codec.table.values())
+    codec.clear()
+    assert not codec.table and codec.held == 0
+
+
+def test_workers_tables_are_empty_after_a_query(spark):
+    import pyarrow as pa
+
+    def held(batches):
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"n": [len(p.codec(MODEL).table)]})
+
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(20)], "doc_id long, text string").repartition(8)
+    assert p.encode(docs, MODEL).count() == 20
+    p.encode(docs, MODEL).write.format("noop").mode("overwrite").save()
+    assert {r["n"] for r in spark.range(16).repartition(8).mapInArrow(held, "n long").collect()} == {0}
