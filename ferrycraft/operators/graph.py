@@ -42,7 +42,11 @@ class CascadeResult:
 
 def row_key(columns: Iterable[str]) -> Column:
     """A row's key as JSON, the same for all tables whatever the columns' types."""
-    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
+    return _json(F.struct(*_quoted(columns)))
+
+
+def _json(row: Column | str) -> Column:
+    return F.to_json(row, {"ignoreNullFields": "false"})
 
 
 def _quoted(names: Iterable[str]) -> list[Column]:
@@ -63,20 +67,25 @@ class _Cascade:
             used.setdefault(r.parent, set()).update(r.parent_columns)
         self.columns = {t: sorted(c) for t, c in used.items()}
 
+    def used(self, table: str) -> Column:
+        return F.struct(*_quoted(self.columns.get(table, [])) or [F.lit(1).alias("none")])
+
     def slim(self, table: str) -> DataFrame:
-        return self.tables[table].select(row_key(self.keys[table]).alias("node"), F.struct(
-            *[F.col(f"`{c}`") for c in self.columns.get(table, [])] or [F.lit(1).alias("none")]).alias("row"))
+        return self.tables[table].select(row_key(self.keys[table]).alias("node"), self.used(table).alias("row"))
 
     def children(self, r: Reference, parents: DataFrame) -> DataFrame:
-        """``child_node, child_row, parent_node`` of the rows that refer to ``parents``; the many side is on the left."""
+        """``child_node, child_row, parent_node`` of the rows that refer to ``parents``; the many side is on the left.
+
+        Keys become texts behind the join, so a round makes those of the rows that it finds.
+        """
         named = [f"k{i}" for i in range(len(r.columns))]
-        child = self.slim(r.table).select(
-            F.col("node").alias("child_node"), F.col("row").alias("child_row"),
-            *[F.col(f"row.`{c}`").alias(k) for c, k in zip(r.columns, named)])
+        child = self.tables[r.table].select(
+            F.struct(*_quoted(self.keys[r.table])).alias("child_key"), self.used(r.table).alias("child_row"),
+            *[F.col(f"`{c}`").alias(k) for c, k in zip(r.columns, named)])
         parent = parents.select(F.col("node").alias("parent_node"),
                                 *[F.col(f"row.`{c}`").alias(f"p{k}") for c, k in zip(r.parent_columns, named)])
         return child.join(parent, [F.col(k) == F.col(f"p{k}") for k in named]).select(
-            "child_node", "child_row", "parent_node")
+            _json("child_key").alias("child_node"), "child_row", "parent_node")
 
     def staying(self, r: Reference, reached: dict[str, DataFrame]) -> DataFrame:
         """Rows that refer to reached ones by ``r`` and aren't reached themselves."""
@@ -174,15 +183,17 @@ def _held(holders: list[DataFrame], steps: DataFrame | None) -> DataFrame | None
     if held.isEmpty() or steps is None:
         return None if held.isEmpty() else held
     steps = stage(steps.distinct(), "steps")
+    held = held.withColumn("new", F.lit(True))
     while True:
-        at = held.select(F.col("table_name").alias("child_table"), F.col("node").alias("child_node"), "by")
+        at = held.where("new").select(F.col("table_name").alias("child_table"), F.col("node").alias("child_node"), "by")
         up = steps.join(at, ["child_table", "child_node"]).select(
-            F.col("parent_table").alias("table_name"), F.col("parent_node").alias("node"), "by")
+            F.col("parent_table").alias("table_name"), F.col("parent_node").alias("node"), "by", F.lit(None).alias("was"))
         # the least holder travels, so that the answer doesn't depend on the order of rounds
-        merged = stage(least(held.union(up)), "held")
-        if merged.exceptAll(held).isEmpty():
-            return merged
-        held = merged
+        known = held.select("table_name", "node", "by", F.col("by").alias("was"))
+        held = stage(known.union(up).groupBy("table_name", "node").agg(F.min("by").alias("by"), F.min("was").alias("was")).select(
+            "table_name", "node", "by", (F.col("was").isNull() | (F.col("by") < F.col("was"))).alias("new")), "held")
+        if held.where("new").isEmpty():
+            return held.drop("new")
 
 
 def _reaching(edges: DataFrame, colors: DataFrame) -> DataFrame:

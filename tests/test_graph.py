@@ -114,3 +114,13 @@ def test_no_references(spark):
     out = g.load_order(spark.createDataFrame([("a",), ("b",)], "table_name string"),
                        spark.createDataFrame([], "table_name string, ref_table string"))
     assert sorted(tuple(r) for r in out.collect()) == [("a", 0, None, None), ("b", 0, None, None)]
+
+
+def test_keys_become_texts_behind_the_join(spark):
+    """A round of a cascade writes JSON keys of the rows that it finds, not of whole tables."""
+    a, b = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(10, 1)], "k int, x int")
+    work = g._Cascade({"a": a, "b": b}, {"a": ["k"], "b": ["k"]}, [Reference("r", "b", ("x",), "a", ("k",), "CASCADE")])
+    found = work.children(work.references[0], g.stage(work.slim("a")))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructsToJson" in plan[:plan.index("Join")] and "StructsToJson" not in plan[plan.index("Join"):]
+    assert [r["child_node"] for r in found.collect()] == ['{"k":10}']
