@@ -197,23 +197,27 @@ def _held(holders: list[DataFrame], steps: DataFrame | None) -> DataFrame | None
 
 
 def _reaching(edges: DataFrame, colors: DataFrame) -> DataFrame:
-    """``node, color``: the largest color that reaches each node along ``a`` to ``b``."""
+    """``node, color``: the largest color that reaches each node along ``a`` to ``b``; only new colors travel on."""
+    colors = colors.withColumn("new", F.lit(True))
     while True:
-        carried = edges.join(colors.withColumnsRenamed({"node": "a"}), "a").select(F.col("b").alias("node"), "color")
-        new = stage(colors.union(carried).groupBy("node").agg(F.max("color").alias("color")), "colors")
-        if new.exceptAll(colors).isEmpty():
-            return new
-        colors = new
+        carried = edges.join(colors.where("new").select(F.col("node").alias("a"), "color"), "a").select(
+            F.col("b").alias("node"), "color", F.lit(None).alias("was"))
+        known = colors.select("node", "color", F.col("color").alias("was"))
+        colors = stage(known.union(carried).groupBy("node").agg(F.max("color").alias("color"), F.max("was").alias("was")).select(
+            "node", "color", (F.col("was").isNull() | (F.col("color") > F.col("was"))).alias("new")), "colors")
+        if colors.where("new").isEmpty():
+            return colors.drop("new")
 
 
 def _core(edges: DataFrame) -> DataFrame:
     """Edges between nodes that have edges in and out; what is peeled off lies on no cycle."""
+    left = edges.count()
     while True:
         ends = edges.select(F.col("b").alias("a")).distinct(), edges.select(F.col("a").alias("b")).distinct()
-        new = stage(edges.join(ends[0], "a", "left_semi").join(ends[1], "b", "left_semi"), "core")
-        if new.count() == edges.count():
-            return new
-        edges = new
+        edges = stage(edges.join(ends[0], "a", "left_semi").join(ends[1], "b", "left_semi"), "core")
+        before, left = left, edges.count()
+        if left == before:
+            return edges
 
 
 def strong_components(edges: DataFrame) -> DataFrame:
@@ -221,7 +225,8 @@ def strong_components(edges: DataFrame) -> DataFrame:
 
     Nodes on no cycle are peeled off first. Then forward and backward steps of labels (Orzan's coloring): the largest
     name that reaches a node colors it, and the nodes of a color that reach back to that name are one component. Each
-    pass settles a component at least in every part that is left.
+    pass settles a component at least in every part that is left. A component has one color, so edges between colors are
+    cut before the next pass, and what they held between two cycles is peeled off.
     """
     edges = stage(edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL").distinct(), "edges")
     nodes = stage(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), "nodes")
@@ -232,15 +237,14 @@ def strong_components(edges: DataFrame) -> DataFrame:
         color = lambda n: colors.select(F.col("node").alias(n), F.col("color").alias(f"c{n}"))
         inside = stage(edges.join(color("a"), "a").join(color("b"), "b").where("ca = cb").select("a", "b"), "inside")
         found = stage(colors.where("node = color"), "found")
-        while True:
-            back = inside.join(found.select(F.col("node").alias("b"), "color"), "b").select(F.col("a").alias("node"), "color")
-            more = stage(found.union(back).distinct(), "found")
-            if more.count() == found.count():
-                break
-            found = more
+        fresh = found
+        while not fresh.isEmpty():
+            back = inside.join(fresh.select(F.col("node").alias("b"), "color"), "b").select(F.col("a").alias("node"), "color")
+            fresh = stage(back.distinct().join(found.select("node"), "node", "left_anti"), "found")
+            found = found.union(fresh)
         done = done.union(found)
         settled = lambda n: found.select(F.col("node").alias(n))
-        edges = stage(edges.join(settled("a"), "a", "left_anti").join(settled("b"), "b", "left_anti"), "edges")
+        edges = stage(inside.join(settled("a"), "a", "left_anti").join(settled("b"), "b", "left_anti"), "edges")
     least = done.groupBy("color").agg(F.min("node").alias("component"))
     homes = done.join(least, "color").select(F.col("node").alias("of"), "component")
     return nodes.join(homes, F.col("node") == F.col("of"), "left").select("node", F.coalesce("component", "node").alias("component"))
@@ -264,15 +268,21 @@ def load_order(tables: DataFrame, references: DataFrame) -> DataFrame:
     own = lambda n, c: home.select(F.col("table_name").alias(n), F.col("component").alias(c))
     between = stage(known.join(own("table_name", "a"), "table_name").join(own("ref_table", "b"), "ref_table").where(
         "a <> b").select("a", "b").distinct(), "between")
-    levels = stage(home.select("component").distinct().withColumn("level", F.lit(0)), "levels")
-    while True:
-        above = between.join(levels.select(F.col("component").alias("b"), "level"), "b").groupBy("a").agg(
-            (F.max("level") + 1).alias("above"))
-        new = stage(levels.join(above, F.col("component") == F.col("a"), "left").select(
-            "component", F.greatest("level", F.coalesce("above", F.lit(0))).alias("level")), "levels")
-        if new.exceptAll(levels).isEmpty():
-            break
-        levels = new
+    # a component follows when the last one that it refers to has come: each reference is followed once
+    asks = between.groupBy("a").agg(F.count(F.lit(1)).alias("asks"))
+    asked = stage(between.join(asks, "a"), "between")
+    ready = stage(home.select("component").distinct().join(
+        asks.select(F.col("a").alias("component")), "component", "left_anti"), "levels")
+    levels, waiting = ready.withColumn("level", F.lit(0)), asked.select("a", "asks", F.lit(0).cast("long").alias("come")).limit(0)
+    level = 0
+    while not ready.isEmpty():
+        level += 1
+        come = asked.join(ready.select(F.col("component").alias("b")), "b").select(
+            "a", "asks", F.lit(1).cast("long").alias("come"))
+        met = stage(waiting.union(come).groupBy("a", "asks").agg(F.sum("come").alias("come")), "met")
+        ready = met.where("come = asks").select(F.col("a").alias("component"))
+        waiting = met.where("come < asks")
+        levels = levels.union(ready.withColumn("level", F.lit(level)))
     own_loop = known.where("table_name = ref_table").select("table_name", F.lit(True).alias("loop"))
     sizes = home.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     cyclic = (F.col("size") > 1) | F.coalesce("loop", F.lit(False))

@@ -116,6 +116,30 @@ def test_no_references(spark):
     assert sorted(tuple(r) for r in out.collect()) == [("a", 0, None, None), ("b", 0, None, None)]
 
 
+def test_rounds_of_a_load_order_follow_each_reference_once(spark, monkeypatch):
+    """Rows staged over all rounds follow the references, also on a long chain with cycles on it."""
+    n = 12
+    references = [(f"t{i:03}", f"t{i - 1:03}") for i in range(1, n)] + [(f"t{i:03}", f"t{i + 1:03}") for i in range(3, n, 5)]
+    staged, own = [], g.stage
+
+    def counting(df, label="stage"):
+        out = own(df, label)
+        staged.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(g, "stage", counting)
+    tables = spark.createDataFrame([(f"t{i:03}",) for i in range(n)], "table_name string")
+    out = g.load_order(tables, spark.createDataFrame(references, "table_name string, ref_table string"))
+    cycles = [(i, i + 1) for i in range(3, n - 1, 5)]
+    want, level = {}, -1
+    for i in range(n):
+        pair = next((c for c in cycles if i in c), None)
+        level += not (pair and i == pair[1])
+        want[f"t{i:03}"] = (level, f"t{pair[0]:03}" if pair else None, 2 if pair else None)
+    assert {r[0]: tuple(r)[1:] for r in out.collect()} == want
+    assert sum(rows for label, rows in staged if label in ("levels", "met")) <= 2 * n
+
+
 def test_keys_become_texts_behind_the_join(spark):
     """A round of a cascade writes JSON keys of the rows that it finds, not of whole tables."""
     a, b = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(10, 1)], "k int, x int")
