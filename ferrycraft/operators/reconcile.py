@@ -157,6 +157,23 @@ def _limbs(c: Column, t: DecimalType) -> list[Column]:
     return out
 
 
+def _limb_sums(c: Column, t: DecimalType) -> list[Column]:
+    """Aggregates: the sums of a number's limbs.
+
+    Where the type leaves room, the whole part and what is behind the point are summed as they are, without splitting
+    digits of each row: exact for 10 ** 10 rows.
+    """
+    if t.precision - t.scale > 20 or t.scale > 18:
+        return [F.sum(limb) for limb in _limbs(c, t)]
+    whole = F.floor(c).cast("decimal(20,0)")
+    zero = F.lit(0).cast("decimal(38,0)")
+    if not t.scale:
+        return [zero, F.sum(whole)]
+    after = F.sum((c - whole).cast(DecimalType(t.scale + 1, t.scale)))
+    base = F.lit(str(10 ** _LIMB)).cast("decimal(20,0)")
+    return [zero, F.sum(whole), (after * base).cast("decimal(38,0)"), zero]
+
+
 def _sum_text(sums: list[Column], scale: int) -> Column:
     """Sums of limbs as the digits of one number, carried and with its sign, at ``scale`` digits after the point."""
     base = F.lit(str(10 ** _LIMB)).cast("decimal(20,0)")
@@ -205,7 +222,7 @@ def exact_sum(c: Column, t: DataType) -> tuple[Column, Column]:
     counted. NULL where there is no value to sum.
     """
     value, own = exact_value(c, t)
-    sums = [F.sum(limb) for limb in _limbs(value, own)]
+    sums = _limb_sums(value, own)
     return F.when(F.count(value) > 0, _sum_text(sums, own.scale)), F.count_if(c.isNotNull() & value.isNull())
 
 

@@ -125,3 +125,17 @@ def test_sketches_merge(spark):
     found = {r["column_name"]: r for r in rc.merged_distinct(kept).collect()}
     assert abs(found["a"]["distinct_estimate"] - 20000) < 600 and abs(found["b"]["distinct_estimate"] - 60000) < 1800
     assert found["c"]["distinct_estimate"] == 0 and found["d"]["distinct_estimate"] == 1 and found["a"]["rows"] == 60000
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(12,2)", "decimal(38,18)", "decimal(20,0)", "decimal(18,18)"])
+def test_sums_of_short_numbers_split_no_digits(spark, kind):
+    """Numbers that leave room are summed as they are, with the same digits, also far from zero on either side."""
+    whole = 0 if kind == "decimal(18,18)" else 99999 if kind == "double" else 10 ** 9
+    values = [D(w) + D(f) / 8 for w in (whole, -whole, whole // 7, 0) for f in ((0,) if kind == "decimal(20,0)" else (1, -3, 5))] * 3
+    cut = 2 if kind == "decimal(12,2)" else 3
+    values = [round(v, cut) for v in values] + [None]
+    df = spark.createDataFrame([(None if v is None else str(v),) for v in values], "x string").select(F.col("x").cast(kind))
+    total = df.agg(rc.exact_sum(F.col("x"), df.schema["x"].dataType)[0].alias("s"))
+    assert D(total.first()["s"]) == sum(v for v in values if v is not None)
+    plan = total._jdf.queryExecution().analyzed().toString()
+    assert "rpad" not in plan[plan.rindex("Aggregate"):] if "Aggregate" in plan else False
