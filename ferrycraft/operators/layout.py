@@ -28,12 +28,14 @@ def applicable_indexes(indexes: DataFrame, columns: DataFrame) -> DataFrame:
     """Add ``applicable``: every index column exists in its table.
 
     ``indexes``: table_name, index_name, columns (array). ``columns``: table_name, column_name. Index columns
-    are matched one by one, so no table's column list is gathered.
+    are matched one by one, so no table's column list is gathered. Both joins are merged, never broadcast: few bytes of
+    files may make many columns, and every task would hold them all.
     """
     parts = indexes.select("table_name", "index_name", F.explode("columns").alias("column_name"))
-    absent = parts.join(columns.select("table_name", "column_name"), ["table_name", "column_name"], "left_anti")
+    known = columns.select("table_name", "column_name").hint("merge")
+    absent = parts.join(known, ["table_name", "column_name"], "left_anti")
     bad = absent.select("table_name", "index_name").distinct().withColumn("__absent", F.lit(True))
-    return indexes.join(bad, ["table_name", "index_name"], "left").withColumn(
+    return indexes.join(bad.hint("merge"), ["table_name", "index_name"], "left").withColumn(
         "applicable", F.col("__absent").isNull()).drop("__absent")
 
 

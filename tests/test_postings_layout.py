@@ -130,3 +130,14 @@ def test_blocks_are_packed_as_one_by_one(spark, monkeypatch):
         assert found == words
         assert all(sorted(x) == list(range(len(x))) for x in places.values())
         assert {r["doc"]: r["length"] for r in lengths.collect()} == {d: len(x) for d, x in places.items()}
+
+
+def test_applicable_indexes_broadcast_nothing(spark):
+    """Columns that few bytes of input make are not held whole by every task, however small Spark takes them to be."""
+    tables = spark.range(40).select(F.concat(F.lit("T"), "id").alias("table_name"), "id")
+    columns = tables.select("table_name", F.explode(F.sequence(F.lit(0), F.col("id") % 4)).alias("o")).select(
+        "table_name", F.concat(F.lit("c"), "o").alias("column_name"))
+    indexes = tables.select("table_name", F.lit("ix").alias("index_name"), F.array(F.lit("c0"), F.lit("c2")).alias("columns"))
+    out = layout.applicable_indexes(indexes, columns)
+    assert {r["table_name"]: r["applicable"] for r in out.collect()} == {f"T{i}": i % 4 >= 2 for i in range(40)}
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
