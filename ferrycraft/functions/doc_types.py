@@ -51,14 +51,17 @@ def _int_kind(value: Column, path: str) -> Column:
     return F.when(number.between(-2147483648, 2147483647), INT).otherwise(BIGINT)
 
 
-def value_kind(value: Column, shape: Column) -> Column:
+def value_kind(value: Column, shape: Column, names: Column | None = None) -> Column:
     """Kind of one value; ``shape`` is ``schema_of_variant(value)``, passed in so it is computed once.
 
-    A JSON number with a fraction parses as an exact decimal but stands for a double.
+    A JSON number with a fraction parses as an exact decimal but stands for a double. With the ``names`` of an object's
+    fields the value is looked at for the size of a whole number only.
     """
+    if names is None:
+        names = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+
     def wrapper(key: str, beside: str | None = None) -> Column:
         """The key is the object's only one (or stands with ``beside``): further fields must not be lost."""
-        names = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
         alone = F.size(names) == 1
         if beside:
             alone = alone | ((F.size(names) == 2) & F.array_contains(names, beside))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -16,6 +17,7 @@ from pyspark.sql.types import (
     DecimalType,
     DoubleType,
     FloatType,
+    LongType,
     MapType,
     StructType,
     TimestampNTZType,
@@ -24,6 +26,7 @@ from pyspark.sql.types import (
 
 from ..functions import doc_types as dt
 from ..functions.text import target_column
+from ..session import stage
 from .conform import one_pass
 
 #: Shapes and leaf paths of a collection up to which documents are read by path. More of them are opened level by level.
@@ -63,9 +66,17 @@ def document_shapes(docs: DataFrame, doc: str = "doc", most: int | None = None)
 
     What types the leaves have is not told apart where that makes numbers of other precision.
     """
-    shape = F.regexp_replace(F.schema_of_variant(F.col(doc)), r"(`[^`]*`)|DECIMAL\([0-9]+,[0-9]+\)", "$1")
+    found = _counted_shapes(docs, doc, most)
+    return None if found is None else [shape for shape, _ in found]
+
+
+def _counted_shapes(docs: DataFrame, doc: str, most: int | None = None,
+                    decimals: bool = False) -> list[tuple[StructType, int]] | None:
+    """The shapes with the number of their documents; only with ``decimals`` a decimal is told apart from a null."""
+    numbers = r"(`[^`]*`|DECIMAL)(?:\([0-9]+,[0-9]+\))?" if decimals else r"(`[^`]*`)|DECIMAL\([0-9]+,[0-9]+\)"
+    shape = F.regexp_replace(F.schema_of_variant(F.col(doc)), numbers, "$1")
     most = SHAPES if most is None else most
-    found = docs.select(shape.alias("shape")).distinct().limit(most + 1).collect()
+    found = docs.groupBy(shape.alias("shape")).count().limit(most + 1).collect()
     if len(found) > most:
         return None
 
@@ -73,33 +84,62 @@ def document_shapes(docs: DataFrame, doc: str = "doc", most: int | None = None)
         text = token[0]
         if text.startswith("OBJECT<"):
             return "STRUCT<"
+        if text == "ARRAY<":  # of decimals
+            return "ARRAY<VOID"
         return text if text.startswith("`") else ": VOID" if text == ": " else f"`{text}`"
 
-    return [StructType.fromDDL(re.sub(r"`(?:[^`]|``)*`|OBJECT<|: (?=[,>])|\w+(?=: )", ddl, r["shape"]))
+    return [(StructType.fromDDL(re.sub(r"`(?:[^`]|``)*`|OBJECT<|ARRAY<(?=>)|: (?=[,>])|\w+(?=: )", ddl, r["shape"])), r["count"])
             for r in found if r["shape"] and r["shape"].startswith("OBJECT<")]
 
 
-def _leaf_paths(shapes: list[StructType]) -> dict[tuple[str, ...], set[str]]:
-    """What stands at each path of the shapes: a leaf (``value`` or ``wrapper``) or a document that is ``opened``."""
-    found: dict[tuple[str, ...], set[str]] = {}
-    todo = [((), s) for s in shapes]
+def _walked(shape: StructType) -> Iterator[tuple[tuple[str, ...], DataType, str]]:
+    """Paths of a shape with the types there: a leaf (``value`` or ``wrapper``) or a document that is ``opened``."""
+    todo: list[tuple[tuple[str, ...], DataType]] = [((), shape)]
     while todo:
         path, kind = todo.pop()
         wrapper = isinstance(kind, StructType) and path and any(n.startswith("$") for n in kind.names)
         nested = isinstance(kind, StructType) and not wrapper
-        found.setdefault(path, set()).add("opened" if nested else "wrapper" if wrapper else "value")
+        yield path, kind, "opened" if nested else "wrapper" if wrapper else "value"
         if nested:
             todo += [((*path, f.name), f.dataType) for f in kind.fields]
+
+
+def _leaf_paths(shapes: list[StructType]) -> dict[tuple[str, ...], set[str]]:
+    """What stands at each path of the shapes."""
+    found: dict[tuple[str, ...], set[str]] = {}
+    for shape in shapes:
+        for path, _, what in _walked(shape):
+            found.setdefault(path, set()).add(what)
     return found
 
 
-def _leaves_by_path(docs: DataFrame, doc: str, keep: list[str], found: dict[tuple[str, ...], set[str]]) -> DataFrame:
-    """The leaves, each read by its path: no level is copied out of the document on the way."""
+def _told_leaves(spark: SparkSession, shapes: list[tuple[StructType, int]]) -> tuple[DataFrame, set[tuple[str, ...]]]:
+    """Leaves that the shapes tell all of, ``(steps, value, shape, names, n)`` for ``n`` documents, and the other paths.
+
+    Others are those with whole numbers, whose size no shape tells; their values must be read.
+    """
+    leaves = [(path, kind, n) for shape, n in shapes for path, kind, what in _walked(shape) if what != "opened"]
+    others = {path for path, kind, _ in leaves
+              if isinstance(kind, LongType) or isinstance(kind, StructType) and "$numberLong" in kind.names}
+    told: Counter = Counter()
+    for path, kind, n in leaves:
+        if path not in others:
+            names = tuple(kind.names) if isinstance(kind, StructType) else ()
+            text = f"OBJECT<`{names[0]}`: " if names else kind.simpleString().upper()
+            told[path, text, names] += n
+    rows = [(list(path), text, list(names), n) for (path, text, names), n in told.items()]
+    return spark.createDataFrame(rows, "steps array<string>, shape string, names array<string>, n bigint").withColumn(
+        "value", F.lit(None).cast("variant")), others
+
+
+def _leaves_by_path(docs: DataFrame, doc: str, keep: list[str], found: dict[tuple[str, ...], set[str]],
+                    only: set[tuple[str, ...]] | None = None) -> DataFrame:
+    """The leaves (``only`` those at some paths), each read by its path: no level is copied out of the document on the way."""
     source = F.col(f"`{doc}`")
     nested = lambda path: F.exists(F.array(dt.value_at(source, list(path), "map<string,variant>")), lambda m: m.isNotNull() & ~F.exists(
         F.map_keys(m), lambda k: F.startswith(k, F.lit("$"))))
     cells = []
-    for path in sorted(p for p, kinds in found.items() if kinds - {"opened"}):
+    for path in sorted(p for p, kinds in found.items() if kinds - {"opened"} and (only is None or p in only)):
         # the same path may be a leaf in one document and opened in another, and lead through a wrapper in a third
         through = [p for p in (path[:n] for n in range(1, len(path))) if "wrapper" in found[p]]
         held = [nested(p) for p in through] + ([~nested(path)] if "opened" in found[path] else [])
@@ -159,23 +199,35 @@ def infer_schema(docs: DataFrame, doc: str = "doc", profile: str = "pg", sample:
     """One row per field path: ``field, steps, rank, kinds, present, column_name, target_type``.
 
     Widening is the maximum of a rank, so it is combined on the map side and shuffles one row per field
-    and task. ``sample``: a whole number reads the first documents, a fraction a random share,
+    and task. The shapes of the documents tell the kinds and numbers of most leaves; where there are whole numbers the
+    values are read, and all of them in collections of too many shapes (see ``flatten_documents``). ``sample``: a whole number reads the first documents, a fraction a random share,
     or with ``sample_by`` the share of keys with the lowest MD5, the same in every run and engine.
     """
     if isinstance(sample, float) and sample_by:
         digest = F.conv(F.left(F.md5(F.col(sample_by).cast("string")), F.lit(8)), 16, 10).cast("bigint")
         docs = docs.where(digest < int(sample * (1 << 32)))
-    elif isinstance(sample, float):
-        docs = docs.sample(fraction=sample, seed=seed)
     elif sample:
-        docs = docs.limit(sample)
-    leaves = flatten_documents(docs, doc, max_depth=max_depth)
-    shaped = leaves.withColumn("shape", F.schema_of_variant(F.col("value")))
-    typed = shaped.withColumn("kind", dt.value_kind(F.col("value"), F.col("shape"))).select(
-        "steps", dt.kind_rank(F.col("kind")).alias("rank"), dt.kind_mask(F.col("kind"), F.col("shape")).alias("mask"),
-    )
-    fields = typed.groupBy("steps").agg(
-        F.max("rank").alias("rank"), F.bit_or("mask").alias("kinds"), F.count(F.lit(1)).alias("present"),
+        picked = docs.sample(fraction=sample, seed=seed) if isinstance(sample, float) else docs.limit(sample)
+        docs = stage(picked.select(doc), "sampled")  # looked at twice, so the same rows each time
+    shapes = _counted_shapes(docs, doc, decimals=True) if max_depth is None else None
+    found = _leaf_paths([shape for shape, _ in shapes]) if shapes is not None else {}
+    told = None
+    if shapes is not None and len(found) <= PATHS:
+        told, others = _told_leaves(docs.sparkSession, shapes)
+        leaves = _leaves_by_path(docs, doc, [], found, others)
+    else:
+        leaves = flatten_documents(docs, doc, max_depth=max_depth)
+
+    def typed(rows: DataFrame, names: Column | None = None) -> DataFrame:
+        kinds = rows.withColumn("kind", dt.value_kind(F.col("value"), F.col("shape"), names))
+        return kinds.select("steps", dt.kind_rank(F.col("kind")).alias("rank"),
+                            dt.kind_mask(F.col("kind"), F.col("shape")).alias("mask"), "n")
+
+    cells = typed(leaves.withColumns({"shape": F.schema_of_variant(F.col("value")), "n": F.lit(1).cast("bigint")}))
+    if told is not None:
+        cells = cells.union(typed(told, F.col("names")))
+    fields = cells.groupBy("steps").agg(
+        F.max("rank").alias("rank"), F.bit_or("mask").alias("kinds"), F.sum("n").alias("present"),
     )
     named = fields.withColumn("field", F.array_join("steps", ".")).withColumn(
         "target_type", dt.target_type(F.col("rank"), profile))

@@ -197,3 +197,27 @@ def test_no_level_is_copied_on_the_way_to_a_leaf(spark):
     assert len(dc.document_shapes(docs)) == 1
     plan = dc.flatten_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "map_entries" not in plan and "stack(1" in plan
+
+
+ODD = ['{"x":1.25,"y":null,"w":{"$numberLong":"7","z":1},"n":{"$numberDouble":"1.5"}}', '{"x":null,"y":12345.5,"w":{"$oid":"aa"}}',
+       '{"x":{"x":2},"w":{"b":{"$weird":1,"c":2}},"DECIMAL(3,1)":1.5,"e":{}}', '{"x":{"x":"s"},"w":{"$o":{"b":5}},"k":5000000000}',
+       '{"a.b":[1.5],"c":{"$regularExpression":{"pattern":"p","options":""}},"k":1,"q`q":1.5}', "[1]", "7", "{", "{}"]
+
+
+def test_shapes_tell_what_values_tell(spark):
+    docs = documents(spark, ODD + list(map(json.dumps, [{"k": "5000000000"}, {"k": True}, {"x": "t", "y": 1e300}])))
+    told = {tuple(r["steps"]): r for r in dc.infer_schema(docs).collect()}
+    assert told == {tuple(r["steps"]): r for r in dc.infer_schema(docs, max_depth=6).collect()}
+    assert len(told) > 10
+    leaves = [dc.flatten_documents(docs, max_depth=n).selectExpr("steps", "to_json(value) v").collect() for n in (None, 6)]
+    assert sorted(leaves[0]) == sorted(leaves[1])
+
+
+def test_only_whole_numbers_are_read(spark, monkeypatch):
+    """The shapes tell all other leaves, so these are not taken out of the documents."""
+    read, by_path = [], dc._leaves_by_path
+    monkeypatch.setattr(dc, "_leaves_by_path", lambda *a, **b: read.append(by_path(*a, **b)) or read[-1])
+    docs = documents(spark, [json.dumps({"k": i, "t": "s", "a": {"f": 1.5, "on": True}, "l": [i]}) for i in range(5)])
+    got = {r["field"]: (r["target_type"], r["present"]) for r in dc.infer_schema(docs).collect()}
+    assert got == {"k": ("INTEGER", 5), "t": ("TEXT", 5), "a.f": ("DOUBLE PRECISION", 5), "a.on": ("BOOLEAN", 5), "l": ("JSONB", 5)}
+    assert [r["steps"] for r in read[0].select("steps").distinct().collect()] == [["k"]]
