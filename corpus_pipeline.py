@@ -7,7 +7,7 @@ carried through as one value, so extra ones may have any names.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrycraft.llm import fm_decontam, line_quality, near_copies, piece_codec, secret_scan
@@ -39,12 +39,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     where rows share a doc_id; documents without a doc_id all stay.
     """
     named = docs.where("doc_id IS NOT NULL")
-    rows = named.select(F.struct("*").alias("doc"), near_copies.digest(F.col("text")).alias("own"))
-    placed = rows.join(near_copies.groups(named), F.col("own") == F.col("node"), "left")
-    first = Window.partitionBy("home").orderBy("doc.doc_id", "own")
-    one = placed.select("doc", "own", F.coalesce("component", "own").alias("home")).withColumn(
-        "place", F.row_number().over(first)).where("place = 1").select("doc.*")
-    return one.select([F.col(f"`{c}`") for c in docs.columns]).union(docs.where("doc_id IS NULL"))
+    kept = near_copies.first_of_each(named, "doc_id").select("doc.*")
+    return kept.select([F.col(f"`{c}`") for c in docs.columns]).union(docs.where("doc_id IS NULL"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

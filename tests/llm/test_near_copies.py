@@ -1,9 +1,12 @@
 import random
+import time
+from pathlib import Path
 
 import pytest
 from edge import edge_docs, empty_docs
 
 import corpus_pipeline
+from ferrycraft import session
 from ferrycraft.llm import near_copies as n
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -162,3 +165,78 @@ def test_pairs_that_share_much_are_told_once_or_so(spark, monkeypatch):
     n.apart_pairs(marked, spark.createDataFrame([], "node long, component long"))
     pairs = told[-1].distinct().count()
     assert pairs and told[-1].count() <= 3 * pairs
+
+
+def marked_of(spark, texts):
+    named = n._named(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    return named, n.stage(n.signatures(named, n.common_shingles(named)).withColumn("id", n.F.monotonically_increasing_id()))
+
+
+def test_tables_and_shuffle_files_go_with_their_step(spark):
+    rows = made(6, heads=8)
+    shared = Path(session.shared_dir(spark).removeprefix("file:"))
+    dirs = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {str(f): f.stat().st_size for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+
+    old, files = set(shared.iterdir()), shuffled()
+    n.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert [p.name.split("-")[0] for p in set(shared.iterdir()) - old] == ["near_copies"]
+    wide = session.settle(spark, lambda: spark.range(400_000).repartition(4).select((n.F.rand(1) * 1e18).cast("long").alias("x")), "wide")
+    assert wide.count() == 400_000
+    for _ in range(40):
+        left = sum(size for f, size in shuffled().items() if f not in files)
+        if left < 1_000_000:
+            break
+        time.sleep(0.25)
+    assert left < 1_000_000
+
+
+def test_unrelated_texts_of_frequent_words_hardly_meet(spark, monkeypatch):
+    """Five frequent words in a row are in many texts by chance: such shingles come late though no sample tells them."""
+    monkeypatch.setattr(n, "SAMPLE", 10)
+    rng = random.Random(7)
+    texts = [" ".join(f"f{rng.randrange(8)}" if rng.random() < 0.7 else f"w{rng.randrange(10 ** 9)}" for _ in range(600)) for _ in range(300)]
+    _, marked = marked_of(spark, texts)
+    assert n.apart_pairs(marked, spark.createDataFrame([], "node long, component long")).count() < 10
+
+
+def test_only_texts_of_likely_pairs_are_shuffled(spark, monkeypatch):
+    rng = random.Random(8)
+    head = [f"w{i}" for i in range(900)]
+    texts = [" ".join(head), " ".join(edited(rng, head, 2))] + [" ".join(head[:450] + [f"o{i}x{j}" for j in range(450)]) for i in range(10)]
+    named, marked = marked_of(spark, texts)
+    ids = sorted(r["id"] for r in marked.collect())
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if a > b], "a long, b long")
+    staged = []
+
+    def kept(df, label="stage", own=n.stage):
+        staged.append((label, own(df, label)))
+        return staged[-1][1]
+
+    monkeypatch.setattr(n, "stage", kept)
+    assert n.verified(named, marked, pairs).count() == 1
+    assert [df.count() for label, df in staged if label == "texts"] == [2]
+
+
+def test_wide_sketches_never_part_similar_texts():
+    rng = random.Random(9)
+    for size in (1, 40, 63, 64, 700, 3000):
+        for _ in range(40):
+            words = [f"w{rng.randrange(10 ** 6)}" for _ in range(size + 4)]
+            a = n.shingles(" ".join(words).encode())
+            b = n.shingles(" ".join(edited(rng, words, rng.randrange(1 + len(words) // 30)) + words[:rng.randrange(3)]).encode())
+            assert n.may_be_similar(len(a), n.wide_sketch(a), len(b), n.wide_sketch(b)) or not n.similar(a, b)
+    other = n.shingles(" ".join(f"o{i}" for i in range(3000)).encode())
+    assert not n.may_be_similar(len(a), n.wide_sketch(a), len(other), n.wide_sketch(other))
+
+
+def test_shingles_that_meet_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(n, "MANY", 0)
+    monkeypatch.setattr(n, "leader_pairs", lambda marked: marked.select("id", "id").toDF("a", "b").limit(0))
+    rows, parts = made(10, heads=10), set()
+    monkeypatch.setattr(n, "_first_rows", lambda *given, own=n._first_rows: parts.add(given[2:]) or own(*given))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {tuple(r) for r in STAGES["simhash_near_dedup"](spark, df, "").collect()} == {rows[i] for i in plain_kept(rows)}
+    assert len(parts) > 1
